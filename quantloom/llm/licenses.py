@@ -35,7 +35,7 @@ def rule_table() -> Column:
     return F.array(*(F.struct(F.lit(p).alias("priority"), F.lit(label).alias("label"), F.lit(score).alias("score"), F.lit(kw).alias("keyword"), F.lit(rx).alias("regex")) for p, label, score, kw, rx in rules()))
 
 
-def anchors(least: int = 5) -> list[str]:
+def anchors(least: int = 7) -> list[str]:
     """A few parts of words of which every keyword contains one: a text without them contains no keyword."""
     left, found = sorted({keyword for *_, keyword, _ in rules()}), []
     while left:

@@ -10,8 +10,19 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .licenses import license_scan
+from .packing import pack
 from .quality import compression_bands
 from .token_cache import token_counts
+from .warc import round_trip
+
+
+def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = round_trip(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type", "response.refers_to", F.col("request.record_id").alias("request_id"), F.col("metadata.record_id").alias("metadata_id")).drop("request_id", "metadata_id")
+
+
+def op2_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
