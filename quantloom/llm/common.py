@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import sys
 import tempfile
@@ -71,6 +72,9 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
+    # Shuffle files of the finished job go once its plan is collected.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import contamination
 from .licenses import license_scan
+from .line_dedup import line_dedup
+from .ngram_join import link_components
 from .packing import pack
 from .quality import compression_bands
 from .token_cache import token_counts
+from .toxicity import toxicity
 from .warc import round_trip
 
 
@@ -33,6 +37,22 @@ def op5_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
+def op8_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
