@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .attention_lm import attention_scores
 from .common import table
 from .decontaminate import contamination
 from .licenses import license_scan
@@ -33,6 +34,10 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op4_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
