@@ -1,8 +1,60 @@
-"""The corpus pipeline: stages over documents (filled in as the operators land)."""
+"""The corpus pipeline: toxicity, line dedup, near duplicates, decontamination, packing.
 
+Each stage works on all that its predecessor kept, is written as Parquet in the shared folder and read
+again by the next. All but the last return the columns of `documents`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from quantloom.llm.common import scratch, table
+from quantloom.llm.decontaminate import decontaminate
+from quantloom.llm.line_dedup import line_dedup
+from quantloom.llm.ngram_join import drop_near_duplicates
+from quantloom.llm.packing import pack
+from quantloom.llm.toxicity import drop_toxic
+
+#: Models and 64-bit joins: no SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup(docs, drop_emptied=True)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", lines),
+    ("ngram_join", near_duplicates),
+    ("decontamination", benchmark),
+    ("packing", packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path := scratch(spark, f"stage-{name}"))
+        docs = spark.read.parquet(path)
+    return docs

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -176,22 +177,43 @@ class Scan:
         return hits, names, matches
 
 
+@dataclass
+class Clean:
+    """Rows without hits, with all of their columns."""
+
+    scan: Scan
+    text: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text=self.text, max_bytes=self.scan.shard_bytes):
+            two = pa.RecordBatch.from_arrays([pa.array(range(b.num_rows)), b.column(self.text)], names=["i", "text"])
+            (found,) = self.scan(iter([two]))
+            yield b.filter(pa.compute.equal(pa.compute.list_value_length(found.column(2)), 0))
+
+
+def item_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> tuple[int, Iterator[Broadcast]]:
+    """How many blocks there are, and each of them, broadcast when asked for."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t")).where("i is not null and t is not null")
+    blocks = max(1, -(-(items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // block_bytes))
+
+    def each() -> Iterator[Broadcast]:
+        for k in range(blocks):
+            part = items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).orderBy("i").collect()
+            yield benchmark.sparkSession.sparkContext.broadcast(Items.of([(r.i, r.t.encode()) for r in part], window))
+
+    return blocks, each()
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: int = 16 << 20, block_bytes: int = 16 << 20, with_matches: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_words, hits (word positions in some window), items, and the maximal matches if asked for."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t")).where("i is not null and t is not null")
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
+    blocks, each = item_blocks(benchmark, window, block_bytes)
     narrow = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     if blocks > 1:
         rows = cut(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(text_col).cast("string").alias("_text"), F.col(id_col).alias("_id")), "decontaminate")
         narrow = rows.select("_row", "_text")
     key = narrow.columns[0]
-    found = []
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).orderBy("i").collect()
-        block = spark.sparkContext.broadcast(Items.of([(r.i, r.t.encode()) for r in part], window))
-        found.append(in_batches(narrow, Scan(block, shard_bytes, with_matches), f"`{key}` {narrow.schema[0].dataType.simpleString()}, {HITS}"))
+    schema = f"`{key}` {narrow.schema[0].dataType.simpleString()}, {HITS}"
+    found = [in_batches(narrow, Scan(block, shard_bytes, with_matches), schema) for block in each]
     if blocks == 1:
         return found[0]
     every = found[0]
@@ -207,3 +229,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = scan(docs, benchmark, id_col=id_col, **options)
     ids = F.array_join(F.array_sort("items"), ",")
     return found.select(id_col, "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: int = 16 << 20, block_bytes: int = 16 << 20, text_col: str = "text") -> DataFrame:
+    """The rows of docs in which no window of any item occurs, columns unchanged."""
+    for block in item_blocks(benchmark, window, block_bytes)[1]:
+        docs = in_batches(docs, Clean(Scan(block, shard_bytes, False), docs.columns.index(text_col)), docs.schema)
+    return docs

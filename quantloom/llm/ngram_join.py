@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import cut, in_batches, record_batch, slices, worker_store
 from .components import components
@@ -84,21 +85,24 @@ class Sets:
     whole: bool
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         longs = pa.list_(pa.int64())
         for b in slices(batches):
-            sizes, ids, lists = [], [], []
+            sizes, ids, hashes, lists = [], [], [], []
             for t in b.column(1).cast(pa.binary()).to_pylist():
                 h, length = shingles(t, self.n)
                 with np.errstate(over="ignore"):
                     one, two = mix(h + U(1)).sum(dtype=U), mix(h ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U)
                     cid = mix(np.array([one ^ (two * U(0x9E3779B97F4A7C15)) + U(len(h))], U))
+                hashes.append(xxhash.xxh3_64_intdigest(t or b"") - (1 << 63))
                 sizes.append(len(h))
                 ids.append(int(cid.view(np.int64)[0]))
                 if not self.whole:
                     prefix = len(h) - -(-self.percent * len(h) // 100) + 1
                     h = h[np.lexsort((h, -length))[:prefix]]
                 lists.append(h.view(np.int64))
-            yield record_batch([b.schema.names[0], "size", "class", "tokens"], [b.schema.types[0], pa.int64(), pa.int64(), longs], [b.column(0), sizes, ids, pa.array(lists, longs)])
+            yield record_batch([b.schema.names[0], "size", "class", "text_hash", "tokens"], [b.schema.types[0], *[pa.int64()] * 3, longs], [b.column(0), sizes, ids, hashes, pa.array(lists, longs)])
 
 
 def needed(a: Column, b: Column, percent: int) -> Column:
@@ -127,10 +131,10 @@ def adaptive_prefixes(sets: DataFrame, percent: int, most: int, verify_cost: flo
     return chosen.where("_o.times > 1").select(F.col("_o.token").alias("token"), "class", "size", "pos", "k")
 
 
-def link_components(docs: DataFrame, n: int = 5, percent: int = 80, most: int = 3, verify_cost: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id (the smallest id reachable by links of at least percent/100)."""
+def linked(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float, id_col: str, text_col: str) -> DataFrame:
+    """Per row: doc_id, size, text_hash, component_id."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"doc_id {texts.schema[0].dataType.simpleString()}, size long, class long, tokens array<long>"
+    schema = f"doc_id {texts.schema[0].dataType.simpleString()}, size long, class long, text_hash long, tokens array<long>"
     first = cut(in_batches(texts, Sets(n, percent, False), schema), "prefixes")
     linkable = first.where("doc_id is not null and size > 0")
     classes = linkable.groupBy("class").agg(F.min("doc_id").alias("rep"))
@@ -167,4 +171,34 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, most: int =
     least = of_class.groupBy("root").agg(F.min("rep").alias("component_id"))
     member = of_class.join(least, "root").select(F.col("class").alias("_class"), "component_id")
     out = first.join(member, (first["class"] == member["_class"]) & (first["size"] > 0) & first["doc_id"].isNotNull(), "left")
-    return out.select(F.col("doc_id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "size", "text_hash", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def link_components(docs: DataFrame, n: int = 5, percent: int = 80, most: int = 3, verify_cost: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id (the smallest id reachable by links of at least percent/100)."""
+    return linked(docs, n, percent, most, verify_cost, id_col, text_col).select(F.col("doc_id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+
+
+@dataclass
+class TextHash:
+    text: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            hashes = [xxhash.xxh3_64_intdigest(t or b"") - (1 << 63) for t in b.column(self.text).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hashes, pa.int64())], names=[*b.schema.names, "_hash"])
+
+
+def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, most: int = 3, verify_cost: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each component: that with the smallest id, of equal ids one text.
+
+    Rows that repeat both id and text are one document and stay or go together.
+    """
+    rows = linked(docs, n, percent, most, verify_cost, id_col, text_col).where("size > 0 and doc_id is not null")
+    rows = cut(rows, "members")
+    kept = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    gone = rows.join(kept, "component_id").where(F.struct("doc_id", "text_hash") != F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
+    hashed = in_batches(docs, TextHash(docs.columns.index(text_col)), StructType([*docs.schema.fields, StructField("_hash", LongType())]))
+    return hashed.join(cut(gone, "gone"), (F.col(id_col) == F.col("_gone")) & (F.col("_hash") == F.col("_gone_hash")), "left_anti").drop("_hash")

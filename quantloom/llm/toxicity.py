@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -177,7 +178,7 @@ class Score:
             known.clear()
             worker_store("restored").clear()
             held["of"] = self.weights.value
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=16 << 20):
             rows = np.array([self.features(t or "", worker_store("restored"), known) for t in b.column(1).to_pylist()]).reshape(-1, 3)
             if self.curve is None:
                 cols = [pa.array(rows[:, k]) for k in range(3)]
@@ -201,8 +202,8 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most_weights: int = 20_000, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, held_out, score, predicted."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most_weights: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> tuple[Broadcast, Broadcast, tuple[float, ...]]:
+    """Restoration model, weights and curve."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema[0].dataType.simpleString()
@@ -231,13 +232,41 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most_weig
     # The curve is fitted on the half that its weights haven't seen; scores use the weights of both halves.
     clean, toxic = (every.clean0 + every.clean1, every.toxic0 + every.toxic1) if every else (0, 0)
     half = spark.sparkContext.broadcast(weights_of("clean0", "toxic0", 3))
-    fit = in_batches(rows.where("_half = 1").select("toxic", "text"), Score(restore, half, None, ("toxic", "a", "b", "c")), "toxic int, a double, b double, c double").toPandas()
+    curve_rows = in_batches(rows.where("_half = 1").select("toxic", "text"), Score(restore, half, None, ("toxic", "a", "b", "c")), "toxic int, a double, b double, c double").toPandas()
     weights = spark.sparkContext.broadcast(weights_of("clean0 + clean1", "toxic0 + toxic1", 6))
-    share = float(fit["toxic"].mean()) if len(fit) else 0.0
+    share = float(curve_rows["toxic"].mean()) if len(curve_rows) else 0.0
     if 0 < share < 1 and half.value:
-        curve = logistic(fit[["a", "b", "c"]].to_numpy(), fit["toxic"].to_numpy())
+        curve = logistic(curve_rows[["a", "b", "c"]].to_numpy(), curve_rows["toxic"].to_numpy())
     else:
         share = toxic / (clean + toxic) if clean + toxic and not 0 < share < 1 else share
         curve = (float(np.log((share + 1e-13) / (1 - share + 1e-13))), 0.0, 0.0, 0.0)
-    scored = in_batches(texts, Score(restore, weights, curve, ("doc_id", "score")), f"doc_id {kind}, score double")
+    return restore, weights, curve
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per row: id, held_out, score, predicted."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    scored = in_batches(texts, Score(*model, ("doc_id", "score")), f"doc_id {texts.schema[0].dataType.simpleString()}, score double")
     return scored.select(F.col("doc_id").alias(id_col), held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@dataclass
+class Pass:
+    """Rows whose score stays below the threshold, with all of their columns."""
+
+    score: Score
+    threshold: float
+    text: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text=self.text):
+            two = pa.RecordBatch.from_arrays([pa.array(range(b.num_rows)), b.column(self.text)], names=["i", "text"])
+            (scored,) = self.score(iter([two]))
+            yield b.filter(pa.compute.less(scored.column(1), self.threshold))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that aren't rejected, columns unchanged."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
+    return in_batches(docs, Pass(Score(*model, ("i", "score")), threshold, docs.columns.index(text_col)), docs.schema)
