@@ -7,8 +7,9 @@ prefix reads more postings but asks for k shared shingles before a pair is verif
 smaller of its two k.
 
 1. Equal sets are one class (128 bits of signature give the class id), so copies are never paired.
-2. Prefixes for k = 1 under an order that needs no statistics (longer shingles first) show which classes
-   share a prefix shingle with another one at all. The rest, most of a corpus, can have no link.
+2. Prefixes with k as large as the rest of the prefix, under an order that needs no statistics (longer
+   shingles first), show which classes share k prefix shingles with any others. The rest, most of a
+   corpus, can have no link.
 3. Only for these, all shingles are counted, ordered by frequency, and k is chosen.
 4. Per shingle, each class is verified against one pivot, the class with the fewest rarer shingles.
    Links give first components.
@@ -78,6 +79,12 @@ def shingles(text: bytes | None, n: int) -> tuple[np.ndarray, np.ndarray]:
     return out, length[at]
 
 
+def screen(size: int, percent: int) -> tuple[int, int]:
+    """(slack, k): of the first slack + k shingles of a set with a link, k are shared at least."""
+    slack = size - -(-percent * size // 100)
+    return slack, min(max(1, slack), size - slack)
+
+
 @dataclass
 class Sets:
     n: int
@@ -99,8 +106,7 @@ class Sets:
                 sizes.append(len(h))
                 ids.append(int(cid.view(np.int64)[0]))
                 if not self.whole:
-                    prefix = len(h) - -(-self.percent * len(h) // 100) + 1
-                    h = h[np.lexsort((h, -length))[:prefix]]
+                    h = h[np.lexsort((h, -length))[: sum(screen(len(h), self.percent))]]
                 lists.append(h.view(np.int64))
             yield record_batch([b.schema.names[0], "size", "class", "text_hash", "tokens"], [b.schema.types[0], *[pa.int64()] * 3, longs], [b.column(0), sizes, ids, hashes, pa.array(lists, longs)])
 
@@ -139,10 +145,11 @@ def linked(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float,
     linkable = first.where("doc_id is not null and size > 0")
     classes = linkable.groupBy("class").agg(F.min("doc_id").alias("rep"))
 
-    single = linkable.join(classes, (linkable["class"] == classes["class"]) & (linkable["doc_id"] == classes["rep"]), "left_semi").dropDuplicates(["class"])
-    postings = cut(single.select(F.col("doc_id").alias("rep"), F.explode("tokens").alias("token")), "postings")
+    single = cut(linkable.join(classes, (linkable["class"] == classes["class"]) & (linkable["doc_id"] == classes["rep"]), "left_semi").dropDuplicates(["class"]).select("doc_id", "size", "tokens"), "single")
+    slack = F.col("size") - F.ceil(percent * F.col("size") / F.lit(100.0) - F.lit(1e-9))
+    postings = single.select(F.col("doc_id").alias("rep"), F.least(F.greatest(slack, F.lit(1)), F.col("size") - slack).cast("int").alias("k"), F.explode("tokens").alias("token"))
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("token")
-    alive = cut(postings.join(shared, "token", "left_semi").select("rep").distinct(), "alive")
+    alive = cut(postings.join(shared, "token", "left_semi").groupBy("rep", "k").agg(F.count(F.lit(1)).alias("times")).where("times >= k").select("rep").distinct(), "alive")
 
     sets = in_batches(texts.join(alive, texts["doc_id"] == alive["rep"], "left_semi"), Sets(n, percent, True), schema)
     sets = cut(sets.where("size > 0").select("class", "size", "tokens").dropDuplicates(["class"]), "sets")
