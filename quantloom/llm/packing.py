@@ -39,28 +39,68 @@ from .token_cache import worker_encoder
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, input_ids binary, _order long"
 
 
+#: A full stop or comma after a letter and before white space is a token of its own for this tokenizer.
+STOP = re.compile("(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([.,])(?=[ \n]|$)")
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
+A_TO_Z = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
 @dataclass
 class WordCoder:
-    """Ids of whole texts through a bounded table of frequent words."""
+    """Ids of whole texts through bounded tables of recent words: a full table becomes the older one.
+
+    Texts are split at spaces, line feeds and single stops, which the tokenizer splits at too, and A-Z are
+    lower-cased, which it does too. New words of plain letters are encoded as one line: each ends in an
+    id that carries the word-end mark. Other words are encoded each for itself.
+    """
 
     path: str
-    most: int = 300_000
+    most: int = 250_000
     #: Words longer than this aren't kept.
     longest: int = 40
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def encode(self, words: list[str]) -> dict[str, bytes]:
         encode = worker_encoder(self.path)
-        table: dict[str, bytes] = worker_store(f"words {self.path}")
-        split = re.compile(r"[ \n]+").split
-        per_text = [split(t) for t in texts]
-        new = [w for w in {w for ws in per_text for w in ws} if w not in table]
-        if len(table) + len(new) > self.most:
-            table.clear()
-            new = list({w for ws in per_text for w in ws})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, ids in zip(part, encode(part), strict=True):
-                table[w] = np.asarray(ids, "<u4").tobytes()
+        held = worker_store(f"words {self.path}")
+        if "ends" not in held:
+            from tokenizers import Tokenizer
+
+            tok = Tokenizer.from_file(self.path)
+            held["ends"] = np.array([(tok.id_to_token(i) or "").endswith("</w>") for i in range(tok.get_vocab_size())])
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if PLAIN.fullmatch(w)]
+        for i in range(0, len(plain), 5_000):
+            part = plain[i : i + 5_000]
+            ids = np.asarray(encode([" ".join(part)])[0], "<u4")
+            ends = np.flatnonzero(held["ends"][ids]) + 1
+            if len(ends) == len(part):
+                data, starts = ids.tobytes(), [0, *(4 * ends[:-1]).tolist()]
+                out.update((w, data[a:z]) for w, a, z in zip(part, starts, (4 * ends).tolist(), strict=True))
+        rest = [w for w in words if w not in out]
+        for i in range(0, len(rest), 20_000):
+            part = rest[i : i + 20_000]
+            out.update(zip(part, (np.asarray(ids, "<u4").tobytes() for ids in encode(part)), strict=True))
+        return out
+
+    def words(self, text: str) -> list[str]:
+        if "<|" not in text:  # lower case mustn't make special tokens
+            text = text.lower() if text.isascii() else text.encode().translate(A_TO_Z).decode()
+        text = STOP.sub(r" \1", text)
+        return text.replace("\n", " ").split(" ")
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        held = worker_store(f"words {self.path}")
+        table: dict[str, bytes] = held.setdefault("new", {})
+        per_text = [self.words(t) for t in texts]
+        here = set().union(*per_text)
+        missing = here.difference(table)
+        if len(table) + len(missing) > self.most:
+            held["old"], held["new"] = table, (table := {})
+            missing = here
+        old = held.get("old", {})
+        new = [w for w in missing if w not in old]
+        table.update((w, old[w]) for w in missing.difference(new))
+        table.update(self.encode(new))
         out = [b"".join(map(table.__getitem__, ws)) for ws in per_text]
         for w in new:
             if len(w) > self.longest:
@@ -76,7 +116,7 @@ class Cut:
     with_ids: bool
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = WordCoder(self.path), np.uint32(self.end_id).astype("<u4").tobytes()
+        coder, end = WordCoder(self.path, most=600_000), np.uint32(self.end_id).astype("<u4").tobytes()
         step = 4 * self.capacity
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         names = [x.split()[0] for x in PIECES.split(", ")]
