@@ -37,14 +37,16 @@ def units(lines: Column, min_words: int, window: int, divisor: int) -> Column:
     def of(lh: Column) -> Column:
         last = F.size(lh) - 1
         every = F.sequence(F.lit(0), last)
-        rolled = lambda i: F.aggregate(F.slice(lh, F.greatest(i + 2 - window, F.lit(1)), F.least(i + 1, F.lit(window))), F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x))
+        rolled = lambda i: F.xxhash64(F.slice(lh, F.greatest(i + 2 - window, F.lit(1)), F.least(i + 1, F.lit(window))))
         ends = F.filter(every, lambda i: (i == last) | (F.pmod(rolled(i), F.lit(divisor)) == 0))
-        chunks = F.transform(ends, lambda e, k: F.struct(F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1).alias("start"), e.alias("end")))
-        spans = F.transform(chunks, lambda c: F.struct(c["start"].alias("start"), (c["end"] - c["start"] + 1).alias("n")))
+        spans = F.transform(ends, lambda e, k: F.struct(F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1).alias("start"), e.alias("end")))
+        spans = F.transform(spans, lambda c: F.struct(c["start"].alias("start"), (c["end"] - c["start"] + 1).alias("n")))
         pairs = F.when(last > 0, F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.struct(i.alias("start"), F.lit(2).alias("n"))))
-        long_lines = F.transform(F.filter(every, lambda i: F.regexp_count(F.get(lines, i), F.lit(WORDS)) >= min_words), lambda i: F.struct(i.alias("start"), F.lit(1).alias("n")))
-        all_spans = F.array_distinct(F.concat(F.filter(spans, lambda s: s["n"] > 1), F.coalesce(pairs, F.slice(spans, 1, 0)), long_lines))
-        return F.transform(all_spans, lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), F.aggregate(F.slice(lh, s["start"] + 1, s["n"]), s["n"].cast("long"), lambda a, x: F.xxhash64(a, x)).alias("hash")))
+        # A line of so many words has that many characters and the gaps between them.
+        long_lines = F.transform(F.filter(every, lambda i: (F.length(F.get(lines, i)) >= 2 * min_words - 1) & (F.regexp_count(F.get(lines, i), F.lit(WORDS)) >= min_words)), lambda i: F.struct(i.alias("start"), F.lit(1).alias("n")))
+        # Chunks of two lines are among the pairs.
+        all_spans = F.concat(F.filter(spans, lambda s: s["n"] > 2), F.coalesce(pairs, F.slice(spans, 1, 0)), long_lines)
+        return F.transform(all_spans, lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), F.xxhash64(F.slice(lh, s["start"] + 1, s["n"])).alias("hash")))
 
     # A one-element transform binds the hashes once.
     return F.get(F.transform(F.array(hashes), of), F.lit(0))
@@ -57,14 +59,18 @@ def line_dedup(docs: DataFrame, min_words: int = 50, window: int = 2, divisor: i
     """
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_d"), F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_t"))
-    spans = keyed.where("_t <> ''").select("_id", "_h", F.explode(units(F.split("_t", "\n"), min_words, window, divisor)).alias("u")).select("_id", "_h", "u.start", "u.n", F.col("u.hash").alias("hash"))
+    # The lines are a column: within a lambda, an expression would be split anew for every line.
+    split = keyed.where("_t <> ''").select("_id", "_h", F.split("_t", "\n").alias("_lines"))
+    spans = split.select("_id", "_h", F.explode(units(F.col("_lines"), min_words, window, divisor)).alias("u")).select("_id", "_h", "u.start", "u.n", F.col("u.hash").alias("hash"))
     spans = cut(spans, "lines")
     repeated = spans.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("hash")
     mine = spans.join(repeated, "hash", "left_semi").groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "n", "hash")).alias("_units"))
 
     # Byte comparison: equal hashes are grouped by the chunk's text.
-    texts = keyed.select("_id", "_h", "_t").alias("k")
-    held = texts.join(mine.alias("m"), F.col("k._id").eqNullSafe(F.col("m._id")) & (F.col("k._h") == F.col("m._h"))).select("k._id", "k._h", F.split("k._t", "\n").alias("_lines"), F.explode("m._units").alias("u"))
+    # Texts travel once; documents without a repeated chunk pass from this table to the result.
+    met = keyed.join(mine.select(F.col("_id").alias("_mid"), F.col("_h").alias("_mh"), "_units"), F.col("_id").eqNullSafe(F.col("_mid")) & (F.col("_h") == F.col("_mh")), "left").select("_d", "_id", "_h", "_units")
+    met = cut(met, "texts").withColumn("_t", F.col("_d")[text_col].cast("string"))
+    held = met.where("_units is not null").select("_id", "_h", F.split("_t", "\n").alias("_lines"), F.explode("_units").alias("u"))
     part = F.slice("_lines", F.col("u.start") + 1, F.col("u.n"))
     chunks = cut(held.select("_id", "_h", "u.start", "u.n", "u.hash", F.array_join(part, "\n").alias("chunk"), F.transform(part, lambda x: F.regexp_count(x, F.lit(WORDS))).alias("words")), "chunks")
     place = F.struct("_id", "_h", "start")
@@ -78,15 +84,17 @@ def line_dedup(docs: DataFrame, min_words: int = 50, window: int = 2, divisor: i
     gone = runs.where(F.col("total") >= min_words).groupBy("_id", "_h").agg(F.collect_set("at").alias("_gone"))
     gone = cut(gone.select(F.col("_id").alias("_gid"), F.col("_h").alias("_gh"), "_gone"), "gone")
 
-    out = keyed.join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_h") == F.col("_gh")), "left")
-    split = F.split("_t", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "_gone")
-    left = F.transform(kept, lambda i: F.get(split, i))
+    with_units, without = met.where("_units is not null"), met.where("_units is null")
+    out = with_units.join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_h") == F.col("_gh")), "left").select("_d", "_t", "_gone")
+    out = out.unionByName(without.select("_d", "_t", F.lit(None).cast("array<int>").alias("_gone")))
+    out = out.withColumn("_lines", F.split("_t", "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
+    left = F.transform(kept, lambda i: F.get("_lines", i))
     changed = F.col("_gone").isNotNull()
     out = out.withColumn("_new", F.when(changed, F.array_join(left, "\n")).otherwise(F.col("_t")))
     if drop_emptied:
         out = out.where(~changed | F.rlike("_new", F.lit(WORDS)))
     cols = [F.when(changed, F.length("_new").cast(docs.schema[c].dataType)).otherwise(F.col("_d")[c]).alias(c) if c == "n_chars" else F.col("_new").alias(c) if c == text_col else F.col("_d")[c].alias(c) for c in docs.columns]
     if counts:
-        cols += [F.when(F.col("_t").isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed")]
+        cols += [F.when(F.col("_t").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed")]
     return out.select(*cols)
