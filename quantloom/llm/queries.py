@@ -23,7 +23,7 @@ from .warc import round_trip
 
 def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = round_trip(table(spark, sf_dir, "pages"))
-    return captures.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type", "response.refers_to", F.col("request.record_id").alias("request_id"), F.col("metadata.record_id").alias("metadata_id")).drop("request_id", "metadata_id")
+    return captures.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type", "response.refers_to")
 
 
 def op2_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +66,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+OP1_SQL = """SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM (
+SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(sha1(coalesce(html, '')) || '00', 1 + CAST(i * 5 // 4 AS INTEGER), 3) AS BIGINT) >> CAST(7 - (i * 5) % 4 AS BIGINT)) & 31 AS INTEGER), 1)), '') AS payload_digest FROM pages))"""
+
+OP6_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(x) >= 3 THEN list_transform(range(1, len(x) - 1), lambda i: array_to_string(x[i:i + 2], ' ')) WHEN len(x) > 0 THEN [array_to_string(x, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+l AS (SELECT a.doc_id AS p, b.doc_id AS q FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id JOIN n m ON m.doc_id = a.doc_id JOIN n k ON k.doc_id = b.doc_id GROUP BY 1, 2, m.n, k.n HAVING 100 * count(*) >= 90 * (m.n + k.n - count(*))),
+e AS (SELECT p, q FROM l UNION ALL SELECT q, p FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, e.q FROM r JOIN e ON r.c = e.p)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, d.c AS component_id FROM (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) d LEFT JOIN n USING (doc_id)"""
+
+OP8_SQL = r"""WITH f AS (SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM f),
+lens AS (SELECT DISTINCT least(10, len(x)) AS k FROM w WHERE kind = 'b' AND len(x) > 0),
+b AS (SELECT id AS item, least(10, len(x)) AS k, unnest(list_transform(range(1, len(x) - least(10, len(x)) + 2), lambda i: array_to_string(x[i:i + least(10, len(x)) - 1], ' '))) AS g FROM w WHERE kind = 'b' AND len(x) > 0),
+d AS (SELECT id, k, unnest(range(1, len(x) - k + 2)) AS i, unnest(list_transform(range(1, len(x) - k + 2), lambda i: array_to_string(x[i:i + k - 1], ' '))) AS g FROM w, lens WHERE kind = 'd' AND len(x) >= k),
+h AS (SELECT DISTINCT d.id, d.i, d.k, b.item FROM d JOIN b ON d.g = b.g AND d.k = b.k),
+c AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS p FROM h) GROUP BY 1),
+t AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM h GROUP BY 1)
+SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(x) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM w LEFT JOIN c ON c.id = w.id LEFT JOIN t ON t.id = w.id WHERE kind = 'd'"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can express a query: not models, compressors, tokenizers or packings."""
+    return {"op1_warc_transactions": OP1_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_suffix_arrays": OP8_SQL}
