@@ -13,6 +13,9 @@ from ..functions.windows import ENTITY, last_rows, moments, pearson, series
 
 EPS = 1e-12
 WINDOWS = (5, 10, 20, 30, 60)
+#: Names, in the order of `candle_factors` and `window_factors`.
+CANDLES = ("kmid", "klen", "kmid2", "kup", "kup2", "klow", "klow2", "ksft", "ksft2", "open0", "high0", "low0", "vwap0")
+FAMILIES = ("roc", "ma", "std", "beta", "rsqr", "resi", "max", "min", "qtlu", "qtld", "rank", "rsv", "imax", "imin", "imxd", "corr", "cord", "cntp", "cntn", "cntd", "sump", "sumn", "sumd", "vma", "vstd", "wvma", "vsump", "vsumn", "vsumd")
 
 
 def ref(c: Column | str, n: int) -> Column:
@@ -157,7 +160,8 @@ def prepared(panel: DataFrame) -> DataFrame:
 
 
 def factor_names(windows: tuple[int, ...] = WINDOWS) -> list[str]:
-    return [*candle_factors(), *(f"{n}{w}" for n in window_factors(5) for w in windows)]
+    """Needs no session."""
+    return [*CANDLES, *(f"{n}{w}" for n in FAMILIES for w in windows)]
 
 
 def all_factors(panel: DataFrame, windows: tuple[int, ...] = WINDOWS, only: list[str] | None = None, as_float: bool = False) -> DataFrame:
