@@ -1,7 +1,8 @@
 """The corpus pipeline: toxicity, line dedup, near duplicates, decontamination, packing.
 
 Each stage works on all that its predecessor kept, is written as Parquet in the shared folder and read
-again by the next. All but the last return the columns of `documents`.
+again by the next. All but the last return the columns of `documents`. A stage starts by dropping the
+scratch tables of those before it, unless its input still reads them.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quantloom.llm.common import scratch, table
+from quantloom.llm.common import release, scratch, table
 from quantloom.llm.decontaminate import decontaminate
 from quantloom.llm.line_dedup import line_dedup
 from quantloom.llm.ngram_join import drop_near_duplicates
@@ -27,18 +28,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, docs)
     return line_dedup(docs, drop_emptied=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, docs)
     return drop_near_duplicates(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, docs)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, docs)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -59,6 +59,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession, docs: DataFrame, keep: str = "quantloom-stage-") -> None:
+    """Drops scratch tables that docs doesn't read. For callers whose earlier results are written down."""
+    read = docs.inputFiles()
+    for item in [x for x in _written if x[0] is spark and keep not in x[1]]:
+        name = item[1].rsplit("/", 1)[-1]
+        if not any(f"/{name}/" in f for f in read):
+            drop_path(*item)
+            _written.remove(item)
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:

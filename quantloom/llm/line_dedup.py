@@ -68,7 +68,7 @@ def line_dedup(docs: DataFrame, min_words: int = 50, window: int = 2, divisor: i
 
     # Byte comparison: equal hashes are grouped by the chunk's text.
     # Texts travel once; documents without a repeated chunk pass from this table to the result.
-    met = keyed.join(mine.select(F.col("_id").alias("_mid"), F.col("_h").alias("_mh"), "_units"), F.col("_id").eqNullSafe(F.col("_mid")) & (F.col("_h") == F.col("_mh")), "left").select("_d", "_id", "_h", "_units")
+    met = keyed.join(mine.select(F.col("_id").alias("_mid"), F.col("_h").alias("_mh"), "_units").hint("merge"), F.col("_id").eqNullSafe(F.col("_mid")) & (F.col("_h") == F.col("_mh")), "left").select("_d", "_id", "_h", "_units")
     met = cut(met, "texts").withColumn("_t", F.col("_d")[text_col].cast("string"))
     held = met.where("_units is not null").select("_id", "_h", F.split("_t", "\n").alias("_lines"), F.explode("_units").alias("u"))
     part = F.slice("_lines", F.col("u.start") + 1, F.col("u.n"))
@@ -85,7 +85,7 @@ def line_dedup(docs: DataFrame, min_words: int = 50, window: int = 2, divisor: i
     gone = cut(gone.select(F.col("_id").alias("_gid"), F.col("_h").alias("_gh"), "_gone"), "gone")
 
     with_units, without = met.where("_units is not null"), met.where("_units is null")
-    out = with_units.join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_h") == F.col("_gh")), "left").select("_d", "_t", "_gone")
+    out = with_units.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_h") == F.col("_gh")), "left").select("_d", "_t", "_gone")
     out = out.unionByName(without.select("_d", "_t", F.lit(None).cast("array<int>").alias("_gone")))
     out = out.withColumn("_lines", F.split("_t", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")

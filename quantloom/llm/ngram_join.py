@@ -7,7 +7,7 @@ prefix reads more postings but asks for k shared shingles before a pair is verif
 smaller of its two k.
 
 1. Equal sets are one class (128 bits of signature give the class id), so copies are never paired.
-2. Prefixes with k as large as the rest of the prefix, under an order that needs no statistics (longer
+2. Prefixes with k a tenth of the set, under an order that needs no statistics (longer
    shingles first), show which classes share k prefix shingles with any others. The rest, most of a
    corpus, can have no link.
 3. Only for these, all shingles are counted, ordered by frequency, and k is chosen.
@@ -82,7 +82,7 @@ def shingles(text: bytes | None, n: int) -> tuple[np.ndarray, np.ndarray]:
 def screen(size: int, percent: int) -> tuple[int, int]:
     """(slack, k): of the first slack + k shingles of a set with a link, k are shared at least."""
     slack = size - -(-percent * size // 100)
-    return slack, min(max(1, slack), size - slack)
+    return slack, min(-(-size // 10), size - slack)
 
 
 @dataclass
@@ -147,7 +147,7 @@ def linked(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float,
 
     single = cut(linkable.join(classes, (linkable["class"] == classes["class"]) & (linkable["doc_id"] == classes["rep"]), "left_semi").dropDuplicates(["class"]).select("doc_id", "size", "tokens"), "single")
     slack = F.col("size") - F.ceil(percent * F.col("size") / F.lit(100.0) - F.lit(1e-9))
-    postings = single.select(F.col("doc_id").alias("rep"), F.least(F.greatest(slack, F.lit(1)), F.col("size") - slack).cast("int").alias("k"), F.explode("tokens").alias("token"))
+    postings = single.select(F.col("doc_id").alias("rep"), F.least(F.ceil(F.col("size") / F.lit(10.0)), F.col("size") - slack).cast("int").alias("k"), F.explode("tokens").alias("token"))
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("token")
     alive = cut(postings.join(shared, "token", "left_semi").groupBy("rep", "k").agg(F.count(F.lit(1)).alias("times")).where("times >= k").select("rep").distinct(), "alive")
 
