@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import sys
@@ -116,6 +117,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, max_bytes: int = 8
             yield b.slice(start)
 
 
-def worker_store(name: str) -> dict:
-    """A dict that lives as long as the Python worker does."""
-    return vars(sys.modules[__name__]).setdefault("_stores", {}).setdefault(name, {})
+def worker_store(family: str, name: str) -> dict:
+    """A dict that a reused Python worker keeps while tasks of one family of operators run in it."""
+    stores = vars(sys.modules[__name__]).setdefault("_stores", {})
+    if stores.get("family") != family:
+        stores.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library keeps its own counsel
+            pass
+        stores["family"] = family
+    return stores.setdefault(name, {})

@@ -65,7 +65,7 @@ def shingles(text: bytes | None, n: int) -> tuple[np.ndarray, np.ndarray]:
     words = (text or b"").translate(LOWER).split()
     if not words:
         return np.empty(0, U), np.empty(0, np.int64)
-    table = worker_store("word hashes").setdefault("of", WordHashes())
+    table = worker_store("shingles", "word hashes").setdefault("of", WordHashes())
     h = np.fromiter(map(table.__getitem__, words), U, len(words))
     size = np.fromiter(map(len, words), np.int64, len(words))
     k = min(n, len(words))

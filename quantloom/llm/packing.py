@@ -61,7 +61,7 @@ class WordCoder:
 
     def encode(self, words: list[str]) -> dict[str, bytes]:
         encode = worker_encoder(self.path)
-        held = worker_store(f"words {self.path}")
+        held = worker_store("subwords", f"words {self.path}")
         if "ends" not in held:
             from tokenizers import Tokenizer
 
@@ -89,7 +89,7 @@ class WordCoder:
         return text.replace("\n", " ").split(" ")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        held = worker_store(f"words {self.path}")
+        held = worker_store("subwords", f"words {self.path}")
         table: dict[str, bytes] = held.setdefault("new", {})
         per_text = [self.words(t) for t in texts]
         here = set().union(*per_text)
@@ -116,7 +116,7 @@ class Cut:
     with_ids: bool
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = WordCoder(self.path, most=600_000), np.uint32(self.end_id).astype("<u4").tobytes()
+        coder, end = WordCoder(self.path, most=400_000), np.uint32(self.end_id).astype("<u4").tobytes()
         step = 4 * self.capacity
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         names = [x.split()[0] for x in PIECES.split(", ")]

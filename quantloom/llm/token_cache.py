@@ -47,7 +47,7 @@ def worker_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    held = worker_store("encoders")
+    held = worker_store("subwords", "encoders")
     return held.get(path) or held.setdefault(path, encoder(path))
 
 

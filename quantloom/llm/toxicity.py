@@ -138,7 +138,7 @@ class CountParts:
         n: tuple[Counter, ...] = Counter(), Counter(), Counter(), Counter()
         for b in slices(batches):
             for which, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = set(WORD.findall(self.restore.value.text(t or "", worker_store("restored"))))
+                words = set(WORD.findall(self.restore.value.text(t or "", worker_store("toxicity", "restored"))))
                 n[which].update({p for w in words for p in parts(w)})
                 n[which][""] += 1
         keys = list(set().union(*n))
@@ -172,14 +172,14 @@ class Score:
         return max(found, default=0.0), float(np.log1p(sum(x >= 3.0 for x in found))), float(np.log1p(sum(found)))
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_store(f"weights {self.weights.id}" if hasattr(self.weights, "id") else "weights")
-        held = worker_store("weights of")
+        known = worker_store("toxicity", f"weights {self.weights.id}" if hasattr(self.weights, "id") else "weights")
+        held = worker_store("toxicity", "weights of")
         if held.get("of") is not self.weights.value:
             known.clear()
-            worker_store("restored").clear()
+            worker_store("toxicity", "restored").clear()
             held["of"] = self.weights.value
         for b in slices(batches, max_bytes=16 << 20):
-            rows = np.array([self.features(t or "", worker_store("restored"), known) for t in b.column(1).to_pylist()]).reshape(-1, 3)
+            rows = np.array([self.features(t or "", worker_store("toxicity", "restored"), known) for t in b.column(1).to_pylist()]).reshape(-1, 3)
             if self.curve is None:
                 cols = [pa.array(rows[:, k]) for k in range(3)]
             else:
