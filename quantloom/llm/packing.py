@@ -23,6 +23,7 @@ result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,7 +42,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, input
 
 #: A full stop or comma after a letter and before white space is a token of its own for this tokenizer.
 STOP = re.compile("(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([.,])(?=[ \n]|$)")
-PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
+#: Words that the tokenizer's normaliser leaves alone and its splitter keeps whole.
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: Byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for 256, 257, ...
+VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in VISIBLE)}
 A_TO_Z = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -50,8 +55,8 @@ class WordCoder:
     """Ids of whole texts through bounded tables of recent words: a full table becomes the older one.
 
     Texts are split at spaces, line feeds and single stops, which the tokenizer splits at too, and A-Z are
-    lower-cased, which it does too. New words of plain letters are encoded as one line: each ends in an
-    id that carries the word-end mark. Other words are encoded each for itself.
+    lower-cased, which it does too. New words of plain letters need no normaliser or splitter and go to the
+    library's merge model as they are. Other words are encoded each for itself.
     """
 
     path: str
@@ -62,24 +67,23 @@ class WordCoder:
     def encode(self, words: list[str]) -> dict[str, bytes]:
         encode = worker_encoder(self.path)
         held = worker_store("subwords", f"words {self.path}")
-        if "ends" not in held:
+        if "merges" not in held:
             from tokenizers import Tokenizer
 
-            tok = Tokenizer.from_file(self.path)
-            held["ends"] = np.array([(tok.id_to_token(i) or "").endswith("</w>") for i in range(tok.get_vocab_size())])
+            held["merges"] = Tokenizer.from_file(self.path).model
+        merges = held["merges"].tokenize
         out: dict[str, bytes] = {}
-        plain = [w for w in words if PLAIN.fullmatch(w)]
-        for i in range(0, len(plain), 5_000):
-            part = plain[i : i + 5_000]
-            ids = np.asarray(encode([" ".join(part)])[0], "<u4")
-            ends = np.flatnonzero(held["ends"][ids]) + 1
-            if len(ends) == len(part):
-                data, starts = ids.tobytes(), [0, *(4 * ends[:-1]).tolist()]
-                out.update((w, data[a:z]) for w, a, z in zip(part, starts, (4 * ends).tolist(), strict=True))
-        rest = [w for w in words if w not in out]
+        rest = []
+        for w in words:
+            if PLAIN.fullmatch(w):
+                at = w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LEVEL)
+                ids = [x.id for x in merges(at)]
+                out[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(w)
         for i in range(0, len(rest), 20_000):
             part = rest[i : i + 20_000]
-            out.update(zip(part, (np.asarray(ids, "<u4").tobytes() for ids in encode(part)), strict=True))
+            out.update(zip(part, (struct.pack(f"<{len(ids)}I", *ids) for ids in encode(part)), strict=True))
         return out
 
     def words(self, text: str) -> list[str]:
