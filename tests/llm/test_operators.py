@@ -285,6 +285,8 @@ def test_attention_sums_to_one_and_gradients_are_right():
     z = x.copy()
     z[:, 8:] = 1
     assert np.allclose(ready.log_class(x, y)[:, :8], ready.log_class(z, y)[:, :8])
+    # context that isn't scored, and blocks of queries, leave the other scores as they are
+    assert np.allclose(ready.log_class(x, y, 3, 4), ready.log_class(x, y, 0, 12)[:, 3:], atol=1e-5)
 
 
 def test_pipeline_keeps_columns(spark, tmp_path):
