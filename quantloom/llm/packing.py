@@ -41,7 +41,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, input
 
 
 #: A full stop or comma after a letter and before white space is a token of its own for this tokenizer.
-STOP = re.compile("(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([.,])(?=[ \n]|$)")
+#: The mark comes first in the pattern, so that the search skips to the next one.
+STOP = re.compile("([.,])(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][.,])(?=[ \n]|$)")
 #: Words that the tokenizer's normaliser leaves alone and its splitter keeps whole.
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: Byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for 256, 257, ...
