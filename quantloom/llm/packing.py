@@ -45,9 +45,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, input
 STOP = re.compile("([.,])(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][.,])(?=[ \n]|$)")
 #: Words that the tokenizer's normaliser leaves alone and its splitter keeps whole.
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: A plain word with a run of marks behind it is these two tokens for the splitter.
+MARKED = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!#$%&*+,./:;=?@^_~-]+)")
 #: Byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for 256, 257, ...
 VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in VISIBLE)}
+BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in VISIBLE) if b != 0x20}
 A_TO_Z = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -56,8 +58,8 @@ class WordCoder:
     """Ids of whole texts through bounded tables of recent words: a full table becomes the older one.
 
     Texts are split at spaces, line feeds and single stops, which the tokenizer splits at too, and A-Z are
-    lower-cased, which it does too. New words of plain letters need no normaliser or splitter and go to the
-    library's merge model as they are. Other words are encoded each for itself.
+    lower-cased, which it does too. New words of plain letters, and marks behind them, need no normaliser or
+    splitter and go to the library's merge model, many at a time. Other words are encoded each for itself.
     """
 
     path: str
@@ -67,26 +69,43 @@ class WordCoder:
 
     def encode(self, words: list[str]) -> dict[str, bytes]:
         encode = worker_encoder(self.path)
-        held = worker_store("subwords", f"words {self.path}")
-        if "merges" not in held:
-            from tokenizers import Tokenizer
-
-            held["merges"] = Tokenizer.from_file(self.path).model
-        merges = held["merges"].tokenize
         out: dict[str, bytes] = {}
-        rest = []
+        plain, joined, rest = [], [], []
         for w in words:
             if PLAIN.fullmatch(w):
-                at = w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LEVEL)
-                ids = [x.id for x in merges(at)]
-                out[w] = struct.pack(f"<{len(ids)}I", *ids)
+                plain.append(w)
+                joined.append(w)
+            elif m := MARKED.fullmatch(w):
+                plain.append(w)
+                joined.append(f"{m[1]} {m[2]}")
             else:
                 rest.append(w)
+        for i in range(0, len(plain), 4000):
+            out.update(zip(plain[i : i + 4000], self.merged(joined[i : i + 4000]), strict=True))
         for i in range(0, len(rest), 20_000):
             part = rest[i : i + 20_000]
             out.update(zip(part, (struct.pack(f"<{len(ids)}I", *ids) for ids in encode(part)), strict=True))
         return out
 
+    def merged(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part, one or two plain tokens, by the merge model alone; ids that end a token tell them apart."""
+        held = worker_store("subwords", f"words {self.path}")
+        if "merges" not in held:
+            from tokenizers import Tokenizer, pre_tokenizers
+
+            whole = Tokenizer.from_file(self.path)
+            held["merges"] = Tokenizer(whole.model)
+            held["merges"].pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            held["ends"] = np.array([(whole.id_to_token(i) or "").endswith(whole.model.end_of_word_suffix) for i in range(whole.get_vocab_size())])
+        text = " ".join(parts)
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(BYTE_LEVEL)
+        ids = np.array(held["merges"].encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        tokens = np.fromiter((" " in p for p in parts), np.int64, len(parts)) + 1
+        at = (4 * (np.flatnonzero(held["ends"][ids])[np.cumsum(tokens) - 1] + 1)).tolist()
+        found = ids.tobytes()
+        return [found[a:z] for a, z in zip([0, *at], at, strict=False)]
+
     def words(self, text: str) -> list[str]:
         if "<|" not in text:  # lower case mustn't make special tokens
             text = text.lower() if text.isascii() else text.encode().translate(A_TO_Z).decode()
