@@ -84,6 +84,19 @@ def test_token_cache(docs, empty, tmp_path):
     assert token_cache.token_counts(empty, PIECE).count() == 0
 
 
+def test_word_coder():
+    """Ids by words are the library's: plain words, marks behind them, stops, special strings, other alphabets."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    r, some = random.Random(5), "abz\u00df\u00e0\u00f6\u00ff\u00f7\u00d7\u0416 !#$%&*+,./:;=?@^_~-\n.., 'sAZ\u00c97\u00b2\u00a0\u00ad<|>"
+    texts = ["".join(r.choices(some, k=r.randint(0, 25))) for _ in range(5000)]
+    texts += ["", "it's", "word$$$ \u00e9!! a.", "<|endoftext|> a", "a<|endoftext|>", "\u00e1 \u0345ab z\u200d!!!", " ".join(f"ab{'cd' * k}!" for k in range(4100))]
+    whole = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(BPE).encode_batch_fast(texts, add_special_tokens=False)]
+    assert packing.WordCoder(BPE, most=300)(texts) == whole
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
