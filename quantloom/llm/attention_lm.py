@@ -6,9 +6,9 @@ self-attention with learned distance biases. Texts are cut into windows of `widt
 every id is scored once, in the one window in which it is new, with masked attention over many windows
 at a time.
 
-What is learned covers the whole training fold: word and subword counts come from all of its texts.
-Attention is trained on one window from every training document, placed by hash, so its sample
-grows with the corpus. Rounds are data-parallel: tasks start from the same weights, take Adam steps on
+What is learned covers the whole training fold: word, subword and bigram counts come from all ids of all
+of its texts, the end of each included. Attention is trained on windows that follow one another through
+every whole text, so that every id is a target once a round. Rounds are data-parallel: tasks start from the same weights, take Adam steps on
 their own windows, and the weights' mean, by windows seen, starts the next round. The driver holds the
 model only, whose size is fixed.
 
@@ -23,7 +23,6 @@ and text are read. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -90,25 +89,16 @@ class CountSubwords:
 
 
 @dataclass
-class Windows:
-    """One window of ids from each text, at a place that depends on the text's hash."""
+class Sequences:
+    """All ids of each text between two ends."""
 
     tokenizer: str
-    width: int
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, near = WordCoder(self.tokenizer), 5 * self.width
-        for b in slices(batches, text=0, max_bytes=4 << 20):
-            parts = []
-            for t in b.column(0).to_pylist():
-                t = t or ""
-                at = zlib.crc32(t.encode()) % max(1, len(t) - near // 2)
-                # From a word's start; the text's own start is one of the places.
-                at = 0 if len(t) <= near else t.find(" ", at) + 1
-                parts.append(t[at : at + near])
-            kept = [np.concatenate([[END], x])[: self.width + 1].astype("<u2").tobytes() for x in ids_of(coder, parts) if len(x)]
-            if kept:
-                yield record_batch(["ids"], [pa.binary()], [kept])
+        coder, end = WordCoder(self.tokenizer), [END]
+        for b in slices(batches, text=0, max_bytes=2 << 20):
+            ids = ids_of(coder, [t or "" for t in b.column(0).to_pylist()])
+            yield record_batch(["ids"], [pa.binary()], [[np.concatenate([end, x, end]).astype("<u2").tobytes() for x in ids]])
 
 
 @dataclass
@@ -181,7 +171,7 @@ class Model:
         s += self.distance()[:width, :width]
         s -= s.max(-1, keepdims=True)
         np.exp(s, out=s)
-        s /= s.sum(-1, keepdims=True)
+        s /= s @ np.ones((width, 1), np.float32)
         h = (s @ v).reshape(-1, DIM)
         z = h @ w["o"]
         z += self.bigram[x.reshape(-1)]
@@ -204,13 +194,16 @@ class Model:
     def gradients(self, x: np.ndarray, classes: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
         w, (rows, width) = self.weights, x.shape
         z, h, s, q, k, v, e = self.forward(x)
-        z = np.exp(z - z.max(-1, keepdims=True))
-        z /= z.sum(-1, keepdims=True)
+        z -= z.max(-1, keepdims=True)
+        np.exp(z, out=z)
+        z /= z @ np.ones((CLASSES, 1), np.float32)
         z[np.arange(len(z)), classes.reshape(-1)] -= 1
-        z *= counted.reshape(-1, 1) / max(1, counted.sum())
+        z *= (counted.reshape(-1, 1) / max(1, counted.sum())).astype(np.float32)
         dh = (z @ w["o"].T).reshape(rows, width, DIM)
         ds = dh @ v.transpose(0, 2, 1)
-        ds = s * (ds - (ds * s).sum(-1, keepdims=True))
+        # A row's sum of ds * s is that of dh * h.
+        ds -= (dh * h.reshape(rows, width, DIM)).sum(-1, keepdims=True)
+        ds *= s
         back = {"q": ds @ k, "k": ds.transpose(0, 2, 1) @ q, "v": s.transpose(0, 2, 1) @ dh}
         flat = e.reshape(-1, DIM)
         out = {n: flat.T @ d.reshape(-1, DIM) for n, d in back.items()} | {"o": h.T @ z}
@@ -247,12 +240,18 @@ class Model:
         return out
 
 
-def window_table(b: pa.RecordBatch, width: int) -> np.ndarray:
-    out = np.full((b.num_rows, width + 1), -1, np.int64)
-    for i, x in enumerate(b.column(0).to_pylist()):
-        ids = np.frombuffer(x, "<u2")
-        out[i, : len(ids)] = ids
-    return out
+def joined(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch's sequences one after another, and the length of each."""
+    parts = b.column(0).to_pylist()
+    return np.frombuffer(b"".join(parts), "<u2").astype(np.int64), np.array([len(x) // 2 for x in parts])
+
+
+def window_table(ids: np.ndarray, n: np.ndarray, width: int) -> np.ndarray:
+    """Windows of width + 1 ids (-1: none) in which every id but a sequence's first is a target once."""
+    count = -(-(n - 1) // width)
+    k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.repeat(np.cumsum(n) - n, count) + k * width)[:, None] + np.arange(width + 1)[None]
+    return np.where(at < np.repeat(np.cumsum(n), count)[:, None], ids[np.minimum(at, len(ids) - 1)], -1)
 
 
 @dataclass
@@ -262,10 +261,11 @@ class CountBigrams:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = self.model.value
         total = np.zeros(INPUTS * CLASSES, np.int64)
-        for b in batches:
-            ids = window_table(b, model.width)
-            ok = ids[:, 1:] >= 0
-            total += np.bincount(model.input_of[ids[:, :-1][ok]] * CLASSES + model.class_of[ids[:, 1:][ok]], minlength=len(total))
+        for b in slices(batches, text=0):
+            ids, n = joined(b)
+            pairs = model.input_of[ids[:-1]] * CLASSES + model.class_of[ids[1:]]
+            # From a sequence's last id to the next one's first there is no step.
+            total += np.bincount(np.delete(pairs, np.cumsum(n)[:-1] - 1), minlength=len(total))
         at = np.flatnonzero(total)
         yield record_batch(["i", "x", "n"], [pa.int64(), pa.float64(), pa.int64()], [at, total[at].astype(float), np.ones(len(at), np.int64)])
 
@@ -286,9 +286,9 @@ class TrainShard:
             flat = replace(model, weights=model.trained(windows[order])).packed().astype(float) * len(windows)
             return record_batch(["i", "x", "n"], [pa.int64(), pa.float64(), pa.int64()], [np.arange(len(flat)), flat, np.full(len(flat), len(windows))])
 
-        for b in batches:
-            held.append(window_table(b, model.width))
-            n += b.num_rows
+        for b in slices(batches, text=0, max_bytes=2 << 20):
+            held.append(window_table(*joined(b), model.width))
+            n += len(held[-1])
             if n >= self.most:
                 yield out(np.concatenate(held))
                 held, n = [], 0
@@ -377,8 +377,8 @@ def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap:
     tok = Tokenizer.from_file(tokenizer)
     word_end = np.array([(tok.id_to_token(i) or "").endswith("</w>") for i in range(VOCABULARY)], np.int64)
     model = Model.fresh(subwords, word_end, width, seed)
-    windows = cut(in_batches(train, Windows(tokenizer, width), "ids binary"), "windows")
-    summed = lambda fn: in_batches(windows, fn, "i long, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect()
+    sequences = cut(in_batches(train, Sequences(tokenizer), "ids binary"), "sequences")
+    summed = lambda fn: in_batches(sequences, fn, "i long, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect()
     table = np.zeros(INPUTS * CLASSES)
     for r in summed(CountBigrams(spark.sparkContext.broadcast(model))):
         table[r.i] = r.x

@@ -6,9 +6,11 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +275,22 @@ def test_attention_scores(docs, empty):
     assert attention_lm.attention_scores(empty, BPE).count() == 0
 
 
+def test_attention_learns_from_whole_texts():
+    texts = ["the cat sat on a mat " * 400 + "zebra", "so", "", None]
+    (b,) = attention_lm.Sequences(BPE)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])]))
+    want = [[attention_lm.END, *x, attention_lm.END] for x in attention_lm.ids_of(packing.WordCoder(BPE), [t or "" for t in texts])]
+    ids, n = attention_lm.joined(b)
+    assert ids.tolist() == [x for w in want for x in w] and n.tolist() == list(map(len, want)) and n[0] > 2400
+    # every id and the end is a target once, after the ids before it
+    windows = attention_lm.window_table(ids, n, 48)
+    assert windows[:, 1:][windows[:, 1:] >= 0].tolist() == [x for w in want for x in w[1:]]
+    assert Counter(zip(windows[:, :-1][windows[:, 1:] >= 0], windows[:, 1:][windows[:, 1:] >= 0], strict=True)) == Counter(p for w in want for p in zip(w, w[1:], strict=False))
+    m = attention_lm.Model.fresh(np.bincount(ids, minlength=attention_lm.VOCABULARY).astype(float), np.ones(attention_lm.VOCABULARY, np.int64), 48, 3)
+    (c,) = attention_lm.CountBigrams(SimpleNamespace(value=m))(iter([b]))
+    pairs = Counter(m.input_of[x] * attention_lm.CLASSES + m.class_of[y] for w in want for x, y in zip(w, w[1:], strict=False))
+    assert dict(zip(c.column(0).to_pylist(), c.column(1).to_pylist(), strict=True)) == pairs
+
+
 def test_attention_sums_to_one_and_gradients_are_right():
     r = np.random.default_rng(0)
     m = attention_lm.Model.fresh(r.integers(0, 9, attention_lm.VOCABULARY).astype(float), r.integers(0, 2, attention_lm.VOCABULARY), 12, 3)
