@@ -291,6 +291,17 @@ def test_attention_learns_from_whole_texts():
     assert dict(zip(c.column(0).to_pylist(), c.column(1).to_pylist(), strict=True)) == pairs
 
 
+def test_attention_model_has_its_full_size(monkeypatch):
+    counts = np.arange(attention_lm.VOCABULARY, 0, -1).astype(float)
+    m = attention_lm.Model.fresh(counts, np.arange(attention_lm.VOCABULARY) % 2, 12, 3)
+    sizes = np.bincount(m.class_of, minlength=64)
+    assert len(sizes) == 64 and (sizes > 0).all() and (sizes[:48] == 1).all()
+    steps = []
+    monkeypatch.setattr(attention_lm.Model, "gradients", lambda self, x, *_: steps.append(len(x)) or {})
+    m.trained(np.ones((192, 13), np.int64))
+    assert steps == [64, 64, 64]
+
+
 def test_attention_sums_to_one_and_gradients_are_right():
     r = np.random.default_rng(0)
     m = attention_lm.Model.fresh(r.integers(0, 9, attention_lm.VOCABULARY).astype(float), r.integers(0, 2, attention_lm.VOCABULARY), 12, 3)
