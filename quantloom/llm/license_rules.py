@@ -59,7 +59,7 @@ blueoak-1.0.0 ; spdx- ; spdx-license-identifier:\s{0,4}blueoak-1\.0\.0\b
 mulanpsl-2.0 ; spdx- ; spdx-license-identifier:\s{0,4}mulanpsl-2\.0\b
 w3c ; spdx- ; spdx-license-identifier:\s{0,4}w3c\b
 vim ; spdx- ; spdx-license-identifier:\s{0,4}vim\b
-spdx-other ; spdx- ; spdx-license-identifier:\s{0,4}[a-z0-9.+-]{2,40}
+spdx-other ; spdx- ; spdx-license-identifier:\s{0,4}[a-z0-9.+-]{1,39}[a-z0-9+]
 """
 
 #: Sentences of the licence texts themselves.
@@ -280,6 +280,16 @@ license-reference ; license ; \b(?:licensed|released|distributed) under (?:the )
 FAMILIES = ((SPDX, 1.0), (TEXTS, 0.95), (CREATIVE, 0.9), (ADDRESSES, 0.85), (NAMES, 0.7), (RIGHTS, 0.4))
 
 
+#: A rule that names no licence; it ranks below its family.
+GENERIC = "license-reference"
+
+
+def level_ends() -> list[int]:
+    """The priorities at which levels end: families in order, and the generic rule last."""
+    scores = [(score, label == GENERIC) for _, label, score, *_ in rules()]
+    return [i for i in range(1, len(scores) + 1) if i == len(scores) or scores[i] != scores[i - 1]]
+
+
 def rules() -> list[tuple[int, str, float, str, str]]:
     """(priority, label, score, keyword, regex); a lower number goes first."""
     lines = [(score, *(x.strip() for x in line.split(" ; ", 2))) for text, score in FAMILIES for line in text.strip().split("\n")]

@@ -2,8 +2,9 @@
 
 Each rule is a hand-written regex behind a keyword: a text is matched only against the rules whose
 keyword it contains. Detections are character intervals. One that lies inside another detection of
-the same text is suppressed: a longer interval wins, and among equal intervals the rule that stands
-first. Suppression is a running maximum within buckets of fixed width of the text, each detection
+the same text is suppressed if the other's level (the rule's family, the generic reference to a licence
+last) is the same or comes before: a longer interval wins within a level, and among equal intervals the
+rule that stands first. So a weaker statement never hides a licence named in it. Suppression is a running maximum within buckets of fixed width of the text, each detection
 being sent to the buckets it touches, so no text, however full of licences, is one group, and no
 pairs of detections are formed.
 
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut
-from .license_rules import rules
+from .license_rules import level_ends, rules
 
 #: The word class of the base measures.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -91,7 +92,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sent = each.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("start") / BUCKET), F.floor((F.col("stop") - 1) / BUCKET))))
     order = Window.partitionBy("_row", "_bucket").orderBy("start", F.desc("stop"), "priority").rowsBetween(Window.unboundedPreceding, -1)
     # In this order whatever contains a detection stands before it; it is judged in the bucket of its start.
-    kept = sent.withColumn("_covered", F.max("stop").over(order)).where((F.col("_bucket") == F.floor(F.col("start") / BUCKET)) & F.coalesce(F.col("stop") > F.col("_covered"), F.lit(True)))
+    up_to = [(F.col("priority") < end, F.max(F.when(F.col("priority") < end, F.col("stop"))).over(order)) for end in level_ends()]
+    covered = functools.reduce(lambda c, x: c.when(*x), up_to[1:], F.when(*up_to[0]))
+    kept = sent.withColumn("_covered", covered).where((F.col("_bucket") == F.floor(F.col("start") / BUCKET)) & F.coalesce(F.col("stop") > F.col("_covered"), F.lit(True)))
     by_row = kept.groupBy("_row").agg(F.collect_set("label").alias("_more"), F.max("score").alias("_score"))
 
     all_places = F.concat(*(f"_{x}" for x in PHRASES.values()))

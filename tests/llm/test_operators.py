@@ -246,6 +246,25 @@ def test_toxicity(spark, docs, empty):
     assert max(x.score for x in toxicity.toxicity(docs, b.where("false")).collect()) < 1e-9
 
 
+def test_a_generic_reference_hides_no_licence(spark):
+    named = {
+        "licensed under the eclipse public license": ("epl", 0.7),
+        "Released under the Mozilla Public License": ("mpl", 0.7),
+        "distributed under the bsd license": ("bsd", 0.7),
+        "licensed under the gnu lesser general public license": ("lgpl", 0.7),
+        "distributed under the boost software license": ("bsl-1.0", 0.7),
+        "licensed under the creative commons attribution 4.0 license": ("cc-by", 0.9),
+        "licensed under the open government license": ("open-government", 0.4),
+        "SPDX-License-Identifier: Apache-2.0.": ("apache-2.0", 1.0),
+        "SPDX-License-Identifier: BSD-2-Clause-Patent": ("spdx-other", 1.0),
+        "licensed under the frobnitz license": ("license-reference", 0.4),
+    }
+    got = by_id(licenses.license_scan(spark.createDataFrame(list(enumerate(named)), "doc_id long, text string")))
+    for i, (label, score) in enumerate(named.values()):
+        assert any(x.startswith(label) for x in got[i].labels.split(",")) and got[i].score >= score, (got[i], label)
+    assert got[8].labels == "spdx-other" and got[9].labels == "license-reference"
+
+
 def test_licenses(spark, docs, empty):
     rows = [(1, "Released under the MIT License. See MIT  license; mit-license"), (2, "the GNU General Public License, version 3 applies"), (3, "SPDX-License-Identifier: Apache-2.0"), (4, None), (5, "permit licensed"), (6, "MIT License\n" * 3000), (7, "CC BY-NC-SA 4.0 text")]
     got = by_id(licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")))
