@@ -1,9 +1,10 @@
 """Toxicity by noisy-channel restoration: decode disguised words, then score the restored text.
 
 Disguise is read as a noisy channel: a letter may be sent as a look-alike (0 for o, $ for s), set
-apart by separators, or repeated. Spans that look disguised become a lattice of possible letters; the
-Viterbi path under a character trigram model of the corpus is the restored word. Everything else is
-left alone, so ordinary text costs nothing and isn't changed.
+apart by separators, or repeated. Tokens with a letter and a look-alike, a doubled letter or an inner
+separator, and three or more letters set apart, become a lattice of possible letters; the Viterbi path
+under a character trigram model of the corpus is the restored word. Where repetitions may be a word's
+own (he11), the path that keeps them is a second reading. Everything else is left alone.
 
 The trigram counts come from all texts (at most 64^3 counters leave a task). Labels are read from the
 training fold only: one half of a bounded sample of labelled rows gives weights to words and word
@@ -43,10 +44,14 @@ CODE = {c: i for i, c in enumerate(LETTERS, 1)}
 SIZE = 64
 
 BETWEEN = r"[ .\-_*·,~]"
-#: Single letters or look-alikes set apart, at least four of them.
-SPACED = re.compile(rf"(?<![\w@$!])(?:[^\W\d_]|[0-9@$!|+])(?:{BETWEEN}{{1,2}}(?:[^\W_]|[@$!|+])){{3,}}(?![\w@$!])")
-#: From the start of a token: a look-alike before a letter, one at a word's end, or a letter three times.
-MIXED = re.compile(r"(?<![\w@$!|+(€£¡])(?:[^\W_@$!|+(€£¡]*[0-9@$!|+(€£¡]+[^\W\d_](?:[^\W_]|[@$!|+(€£¡](?=[^\W_]))*|[^\W\d_]{3,}[0-9@$!](?![\w@$!])|[^\W\d_]*?([^\W\d_])\1\1[^\W_]*)")
+#: Single letters or look-alikes set apart, at least four of them, or three with a letter.
+ONE, NEXT, APART = r"(?:[^\W\d_]|[0-9@$!|+])", r"(?:[^\W_]|[@$!|+])", BETWEEN + "{1,2}"
+SPACED = re.compile(rf"(?<![\w@$!])(?:{ONE}(?:{APART}{NEXT}){{3,}}|(?=(?:[0-9@$!|+]{APART}){{0,2}}[^\W\d_]){ONE}(?:{APART}{NEXT}){{2}})(?![\w@$!])")
+LOOK, SIGN = r"[0-9@$!|+(€£¡]", r"(?:[^\W_]|[@$!|+(€£¡])"
+INNER = rf"[.\-_*·,~](?={SIGN})"
+#: A whole token with a letter and a doubled letter, a look-alike or an inner separator.
+MIXED = re.compile(rf"(?<![\w@$!|+(€£¡])(?:[^\W\d_]*?([^\W\d_])\1|[^\W\d_]+(?:{LOOK}|{INNER})|{LOOK}(?:{LOOK}|{INNER})*[^\W\d_])(?:{SIGN}|{INNER})*")
+REPEATED = re.compile(r"(.)\1")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -85,15 +90,22 @@ class Restore:
         backed = two / two.sum(1, keepdims=True)
         return cls(np.log((n + 2.0 * backed[None]) / (n.sum(2, keepdims=True) + 2.0)))
 
-    def word(self, span: str) -> str:
-        """The likeliest letters; ties go to the first found, which keeps what was written."""
+    def readings(self, span: str) -> str:
+        """The span and what it may stand for, where that differs."""
+        out = [span, self.word(span)]
+        if REPEATED.search(span) and not span.isalpha():
+            out.append(self.word(span, repeats=True))
+        return " ".join(dict.fromkeys(out))
+
+    def word(self, span: str, repeats: bool = False) -> str:
+        """The likeliest letters; ties go to the first found, which keeps what was written. With repeats, all are kept."""
         paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         last = ""
         for c in span:
             options = [(c, 0.0)] if c.isalpha() else []
             options += [(x, self.swap_cost) for x in LOOKS.get(c, "")]
             drop = self.drop_cost if not options else None
-            if c == last:
+            if c == last and not (repeats and options):
                 # A repetition is kept at a price, or taken for one letter.
                 options, drop = [(x, cost + self.keep_repeat_cost) for x, cost in options], 0.0
             ahead: dict[tuple[int, int], tuple[float, str]] = {}
@@ -112,10 +124,10 @@ class Restore:
         def put(m: re.Match) -> str:
             span = m.group()
             if (out := known.get(span)) is None:
-                if len(known) > 50_000:
+                if len(known) > 200_000:
                     known.clear()
-                out = known[span] = self.word(span)
-            return f"{span} {out}" if out != span else span
+                out = known[span] = self.readings(span)
+            return out
 
         low = text.lower()
         if SPACED.search(low):

@@ -246,6 +246,15 @@ def test_toxicity(spark, docs, empty):
     assert max(x.score for x in toxicity.toxicity(docs, b.where("false")).collect()) < 1e-9
 
 
+def test_disguises_are_read():
+    counts = toxicity.trigrams([" idiot hell kill ass die stupid word of the text and what it says " * 50])
+    restore = toxicity.Restore.of(counts)
+    disguised = {"idi07": "idiot", "he11": "hell", "ki11": "kill", "a55": "ass", "a$$": "ass", "a s s": "ass", "d i e": "die", "stu-pid": "stupid", "id.iot": "idiot", "stuupid": "stupid", "idiott": "idiot"}
+    for span, word in disguised.items():
+        assert word in toxicity.WORD.findall(restore.text(f"So, {span}, that says", {})), span
+    assert restore.text("the text of 2024-05-01, 1.2.3 and what it says.", {}) == "the text of 2024-05-01, 1.2.3 and what it says."
+
+
 def test_a_generic_reference_hides_no_licence(spark):
     named = {
         "licensed under the eclipse public license": ("epl", 0.7),
