@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import ctypes
 import gc
 import os
 import sys
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-ROOT = str(Path(__file__).resolve().parents[2])
+PACKAGE = Path(__file__).resolve().parents[1]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,11 +31,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package wherever the driver was started."""
-    env = spark.sparkContext.environment
-    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship(spark: SparkSession, *files: str) -> None:
+    """Sends this package, and files that tasks read, to the executors; once an application."""
+    sc = spark.sparkContext
+    if (sc.applicationId, "") not in _shipped:
+        _shipped.add((sc.applicationId, ""))
+        archive = os.path.join(tempfile.mkdtemp(prefix="quantloom-"), f"{PACKAGE.name}.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(PACKAGE.rglob("*.py")):
+                z.write(f, f.relative_to(PACKAGE.parent))
+        sc.addPyFile(archive)
+    for f in files:
+        if (sc.applicationId, f) not in _shipped:
+            _shipped.add((sc.applicationId, f))
+            sc.addFile(f)
+
+
+def local_file(path: str) -> str:
+    """A shipped file's path in a task; on the driver, and where it stands at the same place, that itself."""
+    return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,49 +66,76 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-_written: list[tuple[SparkSession, str]] = []
+_homes: dict[str, tuple[SparkSession, str, str]] = {}
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    path = f"{shared_dir(spark)}/quantloom-{tag}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
-
+def home(spark: SparkSession) -> tuple[str, str]:
+    """This application's scratch database and its folder, which lies in the shared one and is dropped with it."""
+    key = spark.sparkContext.applicationId
+    if key not in _homes:
+        name = f"quantloom_{uuid.uuid4().hex}"
+        folder = f"{shared_dir(spark)}/{name}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+        _homes[key] = spark, name, folder
+    return _homes[key][1:]
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-
-def release(spark: SparkSession, docs: DataFrame, keep: str = "quantloom-stage-") -> None:
-    """Drops scratch tables that docs doesn't read. For callers whose earlier results are written down."""
-    read = docs.inputFiles()
-    for item in [x for x in _written if x[0] is spark and keep not in x[1]]:
-        name = item[1].rsplit("/", 1)[-1]
-        if not any(f"/{name}/" in f for f in read):
-            drop_path(*item)
-            _written.remove(item)
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder's path; it goes with the database."""
+    return f"{home(spark)[1]}/{tag}_{uuid.uuid4().hex}"
 
 
 @atexit.register
 def _clean() -> None:
-    for spark, path in _written:
+    for spark, name, _ in _homes.values():
         try:
-            drop_path(spark, path)
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
         except Exception:  # the session may have ended before the interpreter
             break
 
 
+_owner: contextvars.ContextVar[str | None] = contextvars.ContextVar("owner", default=None)
+_owned: dict[str, list[str]] = {}
+
+
+@contextlib.contextmanager
+def owned(owner: str, spark: SparkSession | None = None, docs: DataFrame | None = None) -> Iterator[str]:
+    """Scratch tables made within belong to this owner, or to that of an outer call.
+
+    With docs, those that the owner made before and docs doesn't read are dropped first. No other caller's are.
+    """
+    owner = _owner.get() or owner
+    if docs is not None:
+        read = docs.inputFiles()
+        for name in [x for x in _owned.get(owner, ()) if not any(f"/{x.split('.')[1]}/" in f for f in read)]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            _owned[owner].remove(name)
+    token = _owner.set(owner)
+    try:
+        yield owner
+    finally:
+        _owner.reset(token)
+
+
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Lineage cut: write as Parquet in the shared folder and read back; survives lost executors."""
+    """Lineage cut: a Parquet table in the shared folder, read back; survives lost executors.
+
+    The job's shuffle files go when it is done: nothing else reads them.
+    """
     spark = df.sparkSession
-    path = scratch(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
-    # Shuffle files of the finished job go once its plan is collected.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    name = f"{home(spark)[0]}.{tag}_{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").saveAsTable(name)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    if owner := _owner.get():
+        _owned.setdefault(owner, []).append(name)
+    return spark.table(name)
 
 
 def ascii_lower(c: Column | str) -> Column:
