@@ -1,16 +1,17 @@
 """Language-model scores by a small causal self-attention model over subword ids, in numpy.
 
-A subword's probability is that of its class given the ids before it, times its share of the class. The
-class part is a log-bilinear term of the last id, from bigram counts, plus one head of causal
-self-attention with learned distance biases. Texts are cut into windows of `width` ids that overlap;
-every id is scored once, in the one window in which it is new, with masked attention over many windows
-at a time.
-
-What is learned covers the whole training fold: word, subword and bigram counts come from all ids of all
-of its texts, the end of each included. Attention is trained on windows that follow one another through
-every whole text, so that every id is a target once a round. Rounds are data-parallel: tasks start from the same weights, take Adam steps on
-their own windows, and the weights' mean, by windows seen, starts the next round. The driver holds the
-model only, whose size is fixed.
+A subword's probability is that of its class given all ids before it in its window, times its unit's share
+of the class after the last id, times its share of the unit. The class part is a log-bilinear term of the
+last id, from pair counts, plus one head of causal self-attention with learned distance biases; the
+shares are counts alone. Texts are cut into windows of `width` ids that overlap; every id is scored
+once, in the one window in which it is new, with masked attention over many windows at a time.
+
+What is learned covers the whole training fold: word, id and pair counts come from all ids of all of
+its texts, the end of each included. Attention is trained on windows that follow one another through
+every whole text, so that every id is a target once a round. Rounds are data-parallel: tasks start from
+the same weights, take Adam steps on their own windows, and the weights' mean, by windows seen, starts
+the next round. Texts become ids once, in a written table. The driver holds the model only, whose size
+is fixed: 2048 units (2016 ids of their own), 64 classes, 2048 x 2048 pair counts.
 
 The base score needs the count of every word. The `frequent` most counted ones travel with the tasks;
 a document's other words are joined to their counts.
@@ -33,13 +34,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_batches, record_batch, slices
+from .common import cut, in_batches, record_batch, ship, slices
 from .packing import WordCoder
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: The vocabulary's own end id, also the start of every text.
 END, VOCABULARY = 49407, 49408
-INPUTS, OWN_INPUTS, CLASSES, OWN_CLASSES, DIM = 2048, 2016, 64, 48, 16
+UNITS, OWN_UNITS, CLASSES, OWN_CLASSES, DIM = 2048, 2016, 64, 48, 16
 WORD, TEXTS = "word", "texts"
 
 
@@ -70,35 +71,40 @@ class CountWords:
 
 
 @dataclass
-class CountSubwords:
-    """Subword ids of distinct words, each as often as its word."""
+class Encode:
+    """A text's ids between two ends, and what the base score needs: words, known words, their logs, rare words."""
 
     tokenizer: str
+    words: Broadcast
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordCoder(self.tokenizer)
-        total = np.zeros(VOCABULARY, np.int64)
-        for b in slices(batches, text=0, max_bytes=1 << 20):
-            words = [w.decode() for w in b.column(0).to_pylist()]
-            ids = coder.encode(words)
-            parts = [ids[w] for w in words]
-            n = np.repeat(b.column(1).to_numpy(), np.fromiter(map(len, parts), np.int64, len(parts)) // 4)
-            total += np.bincount(np.frombuffer(b"".join(parts), "<u4"), n, VOCABULARY).astype(np.int64)
-        at = np.flatnonzero(total)
-        yield record_batch(["i", "n"], [pa.int64(), pa.int64()], [at, total[at]])
-
+        coder, known, end = WordCoder(self.tokenizer, most=500_000), self.words.value, [END]
+        names = ["_row", "doc_id", "held", "n_tokens", "known", "logs", "rare", "ids"]
+        types = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.binary()]
+        for b in slices(batches, text=3, max_bytes=2 << 20):
+            n, hits, logs, rare = [], [], [], []
+            for t in b.column(3).cast(pa.binary()).to_pylist():
+                words = (t or b"").translate(LOWER).split()
+                found = list(map(known.get, words))
+                missing = [w for w, x in zip(words, found, strict=True) if x is None] if None in found else []
+                n.append(len(words) + 1)
+                hits.append(n[-1] - len(missing) - (b"" not in known))
+                logs.append(sum(filter(None, found)) + known.get(b"", 0.0))
+                rare.append(missing)
+            ids = [np.concatenate([end, x, end]).astype("<u2").tobytes() for x in ids_of(coder, [t or "" for t in b.column(3).to_pylist()])]
+            yield record_batch(names, [*b.schema.types[:3], *types], [*b.columns[:3], n, hits, logs, rare, ids])
 
-@dataclass
-class Sequences:
-    """All ids of each text between two ends."""
 
-    tokenizer: str
+class CountIds:
+    """How often each id stands in sequences; of both ends, one counts."""
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = WordCoder(self.tokenizer), [END]
-        for b in slices(batches, text=0, max_bytes=2 << 20):
-            ids = ids_of(coder, [t or "" for t in b.column(0).to_pylist()])
-            yield record_batch(["ids"], [pa.binary()], [[np.concatenate([end, x, end]).astype("<u2").tobytes() for x in ids]])
+        total = np.zeros(VOCABULARY, np.int64)
+        for b in slices(batches, text=0):
+            total += np.bincount(joined(b)[0], minlength=VOCABULARY)
+            total[END] -= b.num_rows
+        at = np.flatnonzero(total)
+        yield record_batch(["i", "n"], [pa.int64(), pa.int64()], [at, total[at]])
 
 
 @dataclass
@@ -113,7 +119,7 @@ class Ready:
     bigram: np.ndarray
 
     def log_class(self, x: np.ndarray, classes: np.ndarray, skip: int = 0, block: int = 20) -> np.ndarray:
-        """Log-odds of the classes after all inputs of x but each row's first `skip`, which are context only.
+        """Log probability of the classes after all inputs of x but each row's first `skip`, which are context only.
 
         Queries go by blocks, so that keys that lie wholly ahead of a block aren't read.
         """
@@ -125,12 +131,14 @@ class Ready:
             z = min(a + block, width)
             s = q[:, a:z] @ k[:, :z].transpose(0, 2, 1)
             s += self.distance[a:z, :z]
+            s -= s.max(-1, keepdims=True)
             np.exp(s, out=s)
             part = s @ v[:, :z]
             part /= s @ np.ones((z, 1), np.float32)
             h[:, a - skip : z - skip] = part
         odds = h.reshape(-1, DIM) @ self.o
         odds += self.bigram.take(x[:, skip:].reshape(-1), 0)
+        odds -= odds.max(-1, keepdims=True)
         at = odds.take(np.arange(len(odds)) * CLASSES + classes[:, skip:].reshape(-1))
         np.exp(odds, out=odds)
         return (at - np.log(odds @ np.ones(CLASSES, np.float32))).reshape(rows, width - skip)
@@ -138,28 +146,49 @@ class Ready:
 
 @dataclass
 class Model:
-    """input_of, class_of: id to input row and class. bigram: class log-odds by input row."""
+    """unit_of: id to unit; class_of: unit to class; in_unit: log share of an id in its unit.
 
-    input_of: np.ndarray
+    bigram: class log-odds after a unit. within: log share of a unit in its class after a unit.
+    """
+
+    unit_of: np.ndarray
     class_of: np.ndarray
-    in_class: np.ndarray
+    in_unit: np.ndarray
     bigram: np.ndarray
+    within: np.ndarray | None
     width: int
     weights: dict[str, np.ndarray]
+    #: what a unit's share in its class after any unit counts for
+    shrink: float = 1.5
 
     @classmethod
     def fresh(cls, counts: np.ndarray, word_end: np.ndarray, width: int, seed: int) -> Model:
-        """Own rows and classes for the most frequent ids; the rest by frequency band and word end."""
+        """Own units and classes for the most frequent ids; other classes by frequency band and word end."""
         rank = np.empty(VOCABULARY, np.int64)
         rank[np.lexsort((np.arange(VOCABULARY), -counts))] = np.arange(VOCABULARY)
         band = np.minimum(np.log2(np.maximum(rank, 1) / OWN_CLASSES).clip(0).astype(int), (CLASSES - OWN_CLASSES) // 2 - 1)
-        class_of = np.where(rank < OWN_CLASSES, rank, OWN_CLASSES + 2 * band + word_end)
-        input_of = np.where(rank < OWN_INPUTS, rank, OWN_INPUTS + np.arange(VOCABULARY) % (INPUTS - OWN_INPUTS))
-        total = np.bincount(class_of, weights=counts + 1.0, minlength=CLASSES)
+        of_id = np.where(rank < OWN_CLASSES, rank, OWN_CLASSES + 2 * band + word_end)
+        # The rest's units are parts of a class.
+        parts = (UNITS - OWN_UNITS) // (CLASSES - OWN_CLASSES)
+        unit_of = np.where(rank < OWN_UNITS, rank, OWN_UNITS + (of_id - OWN_CLASSES) * parts + np.arange(VOCABULARY) % parts)
+        class_of = OWN_CLASSES + np.maximum(np.arange(UNITS) - OWN_UNITS, 0) // parts
+        class_of[unit_of] = of_id
+        total = np.bincount(unit_of, weights=counts + 1.0, minlength=UNITS)
         r = np.random.default_rng(seed)
         draw = lambda *s: r.normal(0, 0.3, s).astype(np.float32)
-        weights = {"e": draw(INPUTS, DIM), "q": draw(DIM, DIM), "k": draw(DIM, DIM), "v": draw(DIM, DIM), "o": np.zeros((DIM, CLASSES), np.float32), "r": np.zeros(width, np.float32)}
-        return cls(input_of, class_of, np.log(counts + 1.0) - np.log(total[class_of]), np.zeros((INPUTS, CLASSES), np.float32), width, weights)
+        weights = {"e": draw(UNITS, DIM), "q": draw(DIM, DIM), "k": draw(DIM, DIM), "v": draw(DIM, DIM), "o": np.zeros((DIM, CLASSES), np.float32), "r": np.zeros(width, np.float32)}
+        return cls(unit_of, class_of, np.log(counts + 1.0) - np.log(total[unit_of]), np.zeros((UNITS, CLASSES), np.float32), None, width, weights)
+
+    def counted(self, counts: np.ndarray, pairs: np.ndarray) -> Model:
+        """The model with what counts of ids and of pairs of units (before, after) say."""
+        of_class = np.zeros((UNITS, CLASSES))
+        np.add.at(of_class.T, self.class_of, pairs.T)
+        prior = (of_class.sum(0) + 0.5) / (of_class.sum() + 0.5 * CLASSES)
+        bigram = np.log((of_class + 8 * prior) / (of_class.sum(1, keepdims=True) + 8))
+        unit = np.bincount(self.unit_of, weights=counts + 1.0, minlength=UNITS) + 1e-3
+        share = unit / np.bincount(self.class_of, weights=unit, minlength=CLASSES)[self.class_of]
+        within = np.log((pairs + self.shrink * share) / (of_class[:, self.class_of] + self.shrink))
+        return replace(self, bigram=bigram.astype(np.float32), within=within.astype(np.float32))
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
         """Class log-odds after each input of windows x (rows, width)."""
@@ -180,10 +209,6 @@ class Model:
     def ready(self) -> Ready:
         w = self.weights
         q, k, v = (w["e"] @ w[n] for n in "qkv")
-        # Scores and log-odds stay far below what float32 can exponentiate; if not, heads are scaled down.
-        peak = np.linalg.norm(q, axis=1).max() * np.linalg.norm(k, axis=1).max() + np.abs(w["r"]).max()
-        if peak > 60:
-            q = q * (60 / peak)
         return Ready(*(np.ascontiguousarray(x, np.float32) for x in (q, k, v, self.distance(), w["o"], self.bigram)))
 
     def distance(self) -> np.ndarray:
@@ -208,7 +233,7 @@ class Model:
         flat = e.reshape(-1, DIM)
         out = {n: flat.T @ d.reshape(-1, DIM) for n, d in back.items()} | {"o": h.T @ z}
         de = sum(d.reshape(-1, DIM) @ w[n].T for n, d in back.items())
-        out["e"] = np.stack([np.bincount(x.reshape(-1), de[:, i], INPUTS) for i in range(DIM)], 1)
+        out["e"] = np.stack([np.bincount(x.reshape(-1), de[:, i], UNITS) for i in range(DIM)], 1)
         gap = np.arange(width)[:, None] - np.arange(width)[None]
         out["r"] = np.bincount(gap[gap >= 0], ds.sum(0)[gap >= 0], self.width)
         return out
@@ -221,8 +246,8 @@ class Model:
         for step, at in enumerate(range(0, len(windows), steps_of), 1):
             part = windows[at : at + steps_of]
             counted = part[:, 1:] >= 0
-            ids = np.maximum(part, 0)
-            for n, g in here.gradients(self.input_of[ids[:, :-1]], self.class_of[ids[:, 1:]], counted).items():
+            units = self.unit_of[np.maximum(part, 0)]
+            for n, g in here.gradients(units[:, :-1], self.class_of[units[:, 1:]], counted).items():
                 m[n] = 0.9 * m[n] + 0.1 * g
                 v[n] = 0.99 * v[n] + 0.01 * g * g
                 here.weights[n] -= (rate * (m[n] / (1 - 0.9**step)) / (np.sqrt(v[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
@@ -240,9 +265,9 @@ class Model:
         return out
 
 
-def joined(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def joined(b: pa.RecordBatch, column: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The ids of a batch's sequences one after another, and the length of each."""
-    parts = b.column(0).to_pylist()
+    parts = b.column(column).to_pylist()
     return np.frombuffer(b"".join(parts), "<u2").astype(np.int64), np.array([len(x) // 2 for x in parts])
 
 
@@ -255,19 +280,20 @@ def window_table(ids: np.ndarray, n: np.ndarray, width: int) -> np.ndarray:
 
 
 @dataclass
-class CountBigrams:
-    model: Broadcast
+class CountPairs:
+    """How often a unit stands behind another."""
+
+    unit_of: Broadcast
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = self.model.value
-        total = np.zeros(INPUTS * CLASSES, np.int64)
+        total = np.zeros(UNITS * UNITS, np.int64)
         for b in slices(batches, text=0):
             ids, n = joined(b)
-            pairs = model.input_of[ids[:-1]] * CLASSES + model.class_of[ids[1:]]
+            units = self.unit_of.value[ids]
             # From a sequence's last id to the next one's first there is no step.
-            total += np.bincount(np.delete(pairs, np.cumsum(n)[:-1] - 1), minlength=len(total))
+            total += np.bincount(np.delete(units[:-1] * UNITS + units[1:], np.cumsum(n)[:-1] - 1), minlength=len(total))
         at = np.flatnonzero(total)
-        yield record_batch(["i", "x", "n"], [pa.int64(), pa.float64(), pa.int64()], [at, total[at].astype(float), np.ones(len(at), np.int64)])
+        yield record_batch(["i", "n"], [pa.int64(), pa.int64()], [at, total[at]])
 
 
 @dataclass
@@ -297,68 +323,66 @@ class TrainShard:
 
 
 @dataclass
-class ScoreTexts:
-    tokenizer: str
+class Score:
+    """log10 probability of each sequence behind its first end, each id scored in one window."""
+
     model: Broadcast
-    words: Broadcast
     overlap: int
     rows: int = 64
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, model, known = WordCoder(self.tokenizer, most=500_000), self.model.value, self.words.value
-        names = ["doc_id", "n_tokens", "known", "logs", "rare", "score"]
-        types = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.float64()]
-        for b in slices(batches, max_bytes=2 << 20):
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            n, hits, logs, rare = [], [], [], []
-            for t in b.column(1).cast(pa.binary()).to_pylist():
-                words = (t or b"").translate(LOWER).split()
-                found = list(map(known.get, words))
-                missing = [w for w, x in zip(words, found, strict=True) if x is None] if None in found else []
-                n.append(len(words) + 1)
-                hits.append(n[-1] - len(missing) - (b"" not in known))
-                logs.append(sum(filter(None, found)) + known.get(b"", 0.0))
-                rare.append(missing)
-            score = self.scores(model, ids_of(coder, texts))
-            yield record_batch([b.schema.names[0], *names[1:]], [b.schema.types[0], *types], [b.column(0), n, hits, logs, rare, score])
-
-    def scores(self, model: Model, docs: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each text and its end, each id scored in one window."""
-        n = np.array([len(x) + 1 for x in docs])
-        end = np.array([END])
-        inputs = np.concatenate([y for x in docs for y in (end, x)])
-        targets = np.concatenate([y for x in docs for y in (x, end)])
-        first = np.cumsum(n) - n
+        for b in slices(batches, text=b_ids, max_bytes=4 << 20):
+            ids, n = joined(b, b_ids)
+            yield pa.RecordBatch.from_arrays([*b.columns[:b_ids], pa.array(self.scores(self.model.value, ids, n))], names=[*b.schema.names[:b_ids], "score"])
+
+    def scores(self, model: Model, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        units = model.unit_of[ids]
+        n, first = lengths - 1, np.cumsum(lengths) - lengths
         width, new = model.width, model.width - self.overlap
         count = 1 + np.maximum(0, -(-(n - width) // new))
-        doc = np.repeat(np.arange(len(docs)), count)
+        doc = np.repeat(np.arange(len(n)), count)
         k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         ready = model.ready()
-        total = np.bincount(np.repeat(np.arange(len(docs)), n), model.in_class[targets], len(docs))
-        x, c = model.input_of[inputs], model.class_of[targets]
+        after = np.delete(np.arange(len(ids)), first)
+        total = np.bincount(np.repeat(np.arange(len(n)), n), model.in_unit[ids[after]] + model.within[units[after - 1], units[after]], len(n))
+        classes = model.class_of[units]
         # In a text's first window all ids are new; in the others the overlap is context.
         for skip, those in ((0, np.flatnonzero(k == 0)), (self.overlap, np.flatnonzero(k > 0))):
             for a in range(0, len(those), self.rows):
                 d, kk = doc[those[a : a + self.rows]], k[those[a : a + self.rows]]
                 at = (first[d] + kk * new)[:, None] + np.arange(width)[None]
                 inside = (at < (first[d] + n[d])[:, None])[:, skip:]
-                at = np.minimum(at, len(x) - 1)
-                total += np.bincount(d, np.where(inside, ready.log_class(x[at], c[at], skip), 0).sum(1), len(docs))
+                at = np.minimum(at, len(ids) - 2)
+                total += np.bincount(d, np.where(inside, ready.log_class(units[at], classes[at + 1], skip), 0).sum(1), len(n))
         return total / np.log(10)
 
 
+#: Columns that pass through scoring stand before the ids.
+SCORED = ["_row", "doc_id", "held", "n_tokens", "known", "logs"]
+b_ids = len(SCORED)
+
+
 def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 7 == 2
 
 
-def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap: int = 8, rounds: int = 2, frequent: int = 150_000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def counts_of(df: DataFrame, fn, size: int) -> np.ndarray:
+    """Sums by index: at most `size` rows reach the driver, in Arrow form."""
+    got = in_batches(df, fn, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size)
+    out[got.column("i").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap: int = 8, rounds: int = 1, frequent: int = 150_000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
+    send = spark.sparkContext.broadcast
+    ship(spark, tokenizer)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    train = texts.where(~held_out("doc_id")).select("text")
-    counts = cut(in_batches(train, CountWords(), "kind string, token binary, n long").groupBy("kind", "token").agg(F.sum("n").alias("n")), "counts")
+    counts = cut(in_batches(texts.where(~held_out("doc_id")).select("text"), CountWords(), "kind string, token binary, n long").groupBy("kind", "token").agg(F.sum("n").alias("n")), "counts")
     words = counts.where(F.col("kind") == WORD).select("token", "n")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train = counts.where(F.col("kind") == TEXTS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -369,33 +393,26 @@ def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap:
     fits = [r.band for r, total in zip(bands, np.cumsum([r.v for r in bands]), strict=True) if total <= frequent]
     known = {bytes(r.token): float(np.log10(r.n + 1)) for r in words.where((F.octet_length("token") <= 64) & (band >= min(fits))).collect()} if fits else {}
     known |= {b"": float(np.log10(n_train + 1))} if n_train else {}
-    subwords = np.zeros(VOCABULARY)
-    for r in in_batches(words, CountSubwords(tokenizer), "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
-        subwords[r.i] = r.n
-    subwords[END] += n_train
+
+    # Texts become ids once, for counts, training and scores.
+    kind = texts.schema[0].dataType.simpleString()
+    numbered = texts.select(F.monotonically_increasing_id().alias("_row"), "doc_id", held_out("doc_id").alias("held"), "text")
+    rows = cut(in_batches(numbered, Encode(tokenizer, send(known)), f"_row long, doc_id {kind}, held boolean, n_tokens long, known long, logs double, rare array<binary>, ids binary"), "sequences")
+    train = rows.where("not held").select("ids")
 
     tok = Tokenizer.from_file(tokenizer)
     word_end = np.array([(tok.id_to_token(i) or "").endswith("</w>") for i in range(VOCABULARY)], np.int64)
-    model = Model.fresh(subwords, word_end, width, seed)
-    sequences = cut(in_batches(train, Sequences(tokenizer), "ids binary"), "sequences")
-    summed = lambda fn: in_batches(sequences, fn, "i long, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect()
-    table = np.zeros(INPUTS * CLASSES)
-    for r in summed(CountBigrams(spark.sparkContext.broadcast(model))):
-        table[r.i] = r.x
-    table = table.reshape(INPUTS, CLASSES)
-    prior = (table.sum(0) + 0.5) / (table.sum() + 0.5 * CLASSES)
-    model.bigram = np.log((table + 8 * prior) / (table.sum(1, keepdims=True) + 8)).astype(np.float32)
+    ids = counts_of(train, CountIds(), VOCABULARY)
+    model = Model.fresh(ids, word_end, width, seed)
+    model = model.counted(ids, counts_of(train, CountPairs(send(model.unit_of)), UNITS * UNITS).reshape(UNITS, UNITS))
     for _ in range(rounds):
         flat = model.packed().astype(float)
-        for r in summed(TrainShard(spark.sparkContext.broadcast(model))):
+        for r in in_batches(train, TrainShard(send(replace(model, within=None))), "i long, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect():
             flat[r.i] = r.x / r.n
         model.weights = model.unpacked(flat)
 
-    scorer = ScoreTexts(tokenizer, spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(known), overlap)
-    kind = texts.schema[0].dataType.simpleString()
-    rows = in_batches(texts, scorer, f"doc_id {kind}, n_tokens long, known long, logs double, rare array<binary>, score double")
-    rows = cut(rows.withColumn("_row", F.monotonically_increasing_id()), "scores")
+    scored = in_batches(rows.select(*SCORED, "ids"), Score(send(model), overlap), f"_row long, doc_id {kind}, held boolean, n_tokens long, known long, logs double, score double")
     rare = rows.select("_row", F.explode("rare").alias("token")).join(words, "token").groupBy("_row").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
     # log10((c+1) / (N + 1*(V+1))), summed over tokens
     base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(n_all + distinct + 1)))
-    return rows.join(rare, "_row", "left").select(F.col("doc_id").alias(id_col), held_out("doc_id").alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return scored.join(rare, "_row", "left").select(F.col("doc_id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
