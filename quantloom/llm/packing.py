@@ -7,8 +7,9 @@ the sum by 2(N(g-s) - N(g)) + 2 (1 - 2N(g) for an exact fit), opening a bin by 2
 
 The rule needs the gaps' counts only, at most C of them, so its state is bounded. Pieces are dealt by
 hash to groups of about `group_rows` pieces, packed side by side in any number of tasks, longest
-first; the bins that stay under-filled in a group are opened and their pieces packed again, for sets
-of `merge` groups at a time, until one set is left.
+first; the bins that stay under-filled in a group are opened, and their pieces dealt to groups of the
+same size and packed again. That ends when one group is left, or when more than the share `gain` of a
+level's pieces stayed open: then each group closes its bins as they are. No level has a group of more.
 
 Encoding works by words: this tokenizer splits at white space before anything else, so the ids of a
 text are those of its space- or newline-separated words, of which the frequent ones are kept in a
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_batches, record_batch, slices, worker_store
+from .common import cut, in_batches, local_file, record_batch, ship, slices, worker_store
 from .token_cache import worker_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, input_ids binary, _order long"
@@ -93,7 +94,7 @@ class WordCoder:
         if "merges" not in held:
             from tokenizers import Tokenizer, pre_tokenizers
 
-            whole = Tokenizer.from_file(self.path)
+            whole = Tokenizer.from_file(local_file(self.path))
             held["merges"] = Tokenizer(whole.model)
             held["merges"].pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             held["ends"] = np.array([(whole.id_to_token(i) or "").endswith(whole.model.end_of_word_suffix) for i in range(whole.get_vocab_size())])
@@ -182,7 +183,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return where, offset, np.array(fill, np.int64)
 
 
-PLACED = "piece_key long, length long, group long, bin long, offset long, open boolean"
+PLACED = "piece_key long, length long, sequence_id long, offset long, open boolean"
+#: A sequence's number is its level, group and bin, side by side in 63 bits.
+GROUP_BITS, BIN_BITS = 36, 21
 
 
 @dataclass
@@ -190,6 +193,7 @@ class PackGroup:
     capacity: int
     #: Bins filled less than this stay open for the next round.
     full: float
+    level: int
 
     def function(self):
         return lambda key, rows: self(key, rows)
@@ -198,28 +202,29 @@ class PackGroup:
         rows = rows.sort_values(["length", "piece_key"], ascending=[False, True], kind="stable")
         where, offset, fill = sum_of_squares(rows["length"].to_numpy(), self.capacity)
         opened = fill[where] < self.full * self.capacity
-        return pd.DataFrame({"piece_key": rows["piece_key"].to_numpy(), "length": rows["length"].to_numpy(), "group": key[0], "bin": where, "offset": offset, "open": opened})
+        return pd.DataFrame({"piece_key": rows["piece_key"].to_numpy(), "length": rows["length"].to_numpy(), "sequence_id": (((self.level << GROUP_BITS) + int(key[0])) << BIN_BITS) + where, "offset": offset, "open": opened})
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, group_rows: int = 16_384, merge: int = 16, full: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, group_rows: int = 16_384, full: float = 0.97, gain: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and input_ids)."""
-    spark = docs.sparkSession
+    ship(docs.sparkSession, tokenizer)
     narrow = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.monotonically_increasing_id())
     pieces = in_batches(narrow, Cut(tokenizer, capacity, end_id, with_ids), PIECES).withColumn("piece_key", F.monotonically_increasing_id()).drop("_order")
     pieces = cut(pieces if with_ids else pieces.drop("input_ids"), "pieces")
-    groups = max(1, -(-pieces.count() // group_rows))
-    left = pieces.select("piece_key", "length", F.pmod(F.xxhash64("piece_key"), F.lit(groups)).alias("group"))
-    closed, level = [], 0
-    while True:
-        last = groups == 1
-        packer = PackGroup(capacity, -1.0 if last else full)
-        placed = cut(left.groupBy("group").applyInPandas(packer.function(), PLACED), f"packed{level}")
-        sequence = F.concat_ws("-", F.lit(level), "group", "bin")
-        closed.append(placed.where(~F.col("open")).select("piece_key", F.xxhash64(sequence).alias("sequence_id"), "offset"))
+    left, n = pieces.select("piece_key", "length"), pieces.count()
+    closed, level, before = [], 0, None
+    while n or not closed:
+        groups = max(1, -(-n // group_rows))
+        # Where packing again no longer helps, the open bins of each group are closed as they are.
+        last = groups == 1 or level == 12 or (before is not None and n > gain * before)
+        packer = PackGroup(capacity, -1.0 if last else full, level)
+        dealt = left.select("piece_key", "length", F.pmod(F.xxhash64("piece_key", F.lit(level)), F.lit(groups)).alias("group"))
+        placed = cut(dealt.groupBy("group").applyInPandas(packer.function(), PLACED), f"packed{level}")
+        closed.append(placed.where(~F.col("open")).select("piece_key", "sequence_id", "offset"))
         if last:
             break
-        groups, level = -(-groups // merge), level + 1
-        left = placed.where("open").select("piece_key", "length", F.floor(F.col("group") / merge).cast("long").alias("group"))
+        left = placed.where("open").select("piece_key", "length")
+        before, n, level = n, left.count(), level + 1
     at = closed[0]
     for more in closed[1:]:
         at = at.unionByName(more)
