@@ -4,10 +4,9 @@ Every capture gives three records: the request, the response (or a revisit, wher
 archived already) and metadata. Request and metadata name the response in WARC-Concurrent-To; reading
 back joins the three on those identifiers and emits one nested row per capture.
 
-A WARC record ends in two line breaks, so an archive is a text table of whole records whose line
-separator is CR LF CR LF: Spark's own writer makes gzipped archives on any store that it can reach,
-with the commit protocol that survives lost executors. `records_per_file` bounds an archive's size.
-Reading parses by Content-Length, one record at a time.
+Every record is a gzip member of its own. Tasks join members to archives of at most `archive_bytes`,
+and Spark's text writer, one value a file, puts them on any store that it can reach, with the commit
+protocol that survives lost executors. Reading inflates and parses by Content-Length, a record at a time.
 
 Among captures with equal payloads of at least `least_bytes` the smallest page id is the response;
 others revisit it. The smallest id per digest is a partial aggregate, and the joins are plain equi-joins
@@ -48,7 +47,28 @@ def header(kind: str, record_id: Column, length: Column, *fields: tuple[str, Col
     return F.concat(F.lit("WARC/1.1\r\n"), F.array_join(F.array_compact(F.array(*(F.concat(F.lit(f"{name}: "), value) for name, value in all_fields))), "\r\n"), F.lit(END))
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, records_per_file: int = 12_000) -> None:
+@dataclass
+class Archives:
+    """Records as gzip members, joined to archives of about `archive_bytes` compressed bytes; a longer one is alone."""
+
+    archive_bytes: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bytearray()
+        out = lambda: record_batch(["archive"], [pa.binary()], [[bytes(held)]])
+        for b in batches:
+            for record in b.column(0):
+                pack = zlib.compressobj(6, zlib.DEFLATED, 31)
+                member = pack.compress(record.as_buffer()) + pack.compress(b"\r\n\r\n") + pack.flush()
+                if held and len(held) + len(member) > self.archive_bytes:
+                    yield out()
+                    held.clear()
+                held += member
+        if held:
+            yield out()
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_bytes: int = 32 << 20) -> None:
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     size = F.octet_length(payload)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), r"[\r\n]", "%0A").alias("url"), payload.alias("payload")).withColumn("digest", base32_sha1(F.col("payload")))
@@ -70,23 +90,26 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, records_pe
     request = F.concat(header("request", urn("request"), F.octet_length(ask), *shared, to, ("Content-Type", F.lit("application/http;msgtype=request"))), ask)
     metadata = F.concat(header("metadata", urn("metadata"), F.octet_length(facts), *shared, to, ("Content-Type", F.lit("application/warc-fields"))), facts)
     records = whole.select(F.explode(F.array(request, F.when(revisits, revisit).otherwise(response), metadata)).alias("value"))
-    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
-
-
-def inflate(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    """Streams a gzip file of one or more members."""
-    view, at = memoryview(data), 0
-    member = zlib.decompressobj(31)
-    while at < len(view):
-        out = member.decompress(view[at : at + step])
-        at += step
-        while member.eof:
-            yield out
-            rest, member = member.unused_data, zlib.decompressobj(31)
-            out = member.decompress(rest) if rest else b""
-            if not rest:
-                break
-        yield out
+    archives = in_batches(records, Archives(archive_bytes), "archive binary")
+    # A file is one archive and a zero byte, which gzip readers take for padding.
+    archives.select(F.col("archive").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
+
+
+def inflate(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """Streams a gzip file of one or more members; zero bytes between or after them are padding."""
+    view, at, rest, member = memoryview(data), 0, b"", None
+    while rest or at < len(view):
+        if not rest:
+            rest, at = bytes(view[at : at + step]), at + step
+        if member is None:
+            if not (rest := rest.lstrip(b"\0")):
+                continue
+            member = zlib.decompressobj(31)
+        yield member.decompress(rest)
+        rest = member.unused_data
+        member = None if member.eof else member
+    if member is not None:
+        raise ValueError("an archive ends within a gzip member")
 
 
 def parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -155,7 +178,7 @@ class ReadRecords:
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """One row per record of all archives in a folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("content")
     return in_batches(files, ReadRecords(with_payload), RECORDS)
 
 
