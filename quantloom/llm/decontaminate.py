@@ -4,8 +4,9 @@ A shard is a run of documents of bounded size within a task. Its words that stan
 item become ids, all others a break (a verbatim match can't cross them), and only stretches at least
 as long as the shortest window are kept. A suffix array over what is left (rank doubling) is searched
 for every benchmark suffix: the range of training suffixes that begin with it is narrowed word by word
-by binary search. The range at the window's length gives all places, the deepest range that isn't
-empty the longest match.
+by binary search. The range at the window's length gives all places; from them, and from the deepest range
+that isn't empty, come the longest matches and where they stand. An item's suffixes are places in one
+array of words, so memory grows with the block's text, however long an item is.
 
 The benchmark is read in blocks of at most `block_bytes` of text, the only thing that is broadcast; a
 larger benchmark takes more passes, merged by row.
@@ -19,7 +20,7 @@ table of documents or items gives an empty result or no hits.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,27 +50,27 @@ class Vocabulary(dict):
 
 @dataclass
 class Items:
-    """One block of a benchmark: suffixes as rows of word ids, 0 after the end."""
+    """One block of a benchmark: its words as ids, a 0 after each item, and the suffixes by where they start."""
 
     vocabulary: Vocabulary
     ids: list[str]
+    words: np.ndarray
+    #: of each suffix: its item, its place in words, its place in the item, its window's length
     owner: np.ndarray
+    at: np.ndarray
     start: np.ndarray
     window: np.ndarray
-    suffixes: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[str, bytes]], window: int) -> Items:
         vocabulary = Vocabulary()
         texts = [(i, w) for i, t in rows if (w := words_of(t))]
-        coded = [[vocabulary.setdefault(x, len(vocabulary) + 1) for x in w] for _, w in texts]
-        # Each suffix is compared as far as its item goes.
-        each = [(k, q, min(window, len(c))) for k, c in enumerate(coded) for q in range(len(c) - min(window, len(c)) + 1)]
-        table = np.zeros((len(each), max((len(c) for c in coded), default=0) + 1), np.int32)
-        for r, (k, q, _) in enumerate(each):
-            table[r, : len(coded[k]) - q] = coded[k][q:]
-        cols = np.array(each, np.int64).reshape(-1, 3)
-        return cls(vocabulary, [i for i, _ in texts], cols[:, 0], cols[:, 1], cols[:, 2], table)
+        flat = np.fromiter((x for _, w in texts for x in (*(vocabulary.setdefault(y, len(vocabulary) + 1) for y in w), 0)), np.int32)
+        n = np.array([len(w) for _, w in texts], np.int64)
+        count = n - np.minimum(n, window) + 1
+        owner = np.repeat(np.arange(len(n)), count)
+        start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return cls(vocabulary, [i for i, _ in texts], flat, owner, (np.cumsum(n + 1) - n - 1)[owner] + start, start, np.minimum(n, window)[owner])
 
 
 def suffix_array(seq: np.ndarray, depth: int) -> np.ndarray:
@@ -84,40 +85,59 @@ def suffix_array(seq: np.ndarray, depth: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-def bound(column: np.ndarray, low: np.ndarray, high: np.ndarray, target: np.ndarray, right: bool) -> np.ndarray:
-    """Binary search of each target in its own sorted range of column."""
+def bound(value: Callable[[np.ndarray], np.ndarray], low: np.ndarray, high: np.ndarray, target: np.ndarray, right: bool) -> np.ndarray:
+    """Binary search of each target in its own range of sorted values."""
     low, high = low.copy(), high.copy()
-    while (open_ := low < high).any():
-        mid = (low + high) // 2
-        at = column[np.minimum(mid, len(column) - 1)]
-        goes = open_ & ((at <= target) if right else (at < target))
-        low = np.where(goes, mid + 1, low)
-        high = np.where(open_ & ~goes, mid, high)
+    while len(open_ := np.flatnonzero(low < high)):
+        mid = (low[open_] + high[open_]) // 2
+        at, goal = value(mid), target[open_]
+        goes = at <= goal if right else at < goal
+        low[open_[goes]] = mid[goes] + 1
+        high[open_[~goes]] = mid[~goes]
     return low
 
 
-def search(seq: np.ndarray, sa: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For suffixes that occur to their window's length: their rows, that range in sa, and the longest match."""
-    padded = np.concatenate([seq, np.zeros(items.suffixes.shape[1] + 1, seq.dtype)])
-    rows = np.arange(len(items.owner))
-    low, high = np.zeros(len(rows), np.int64), np.full(len(rows), len(sa), np.int64)
-    first, last = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-    longest = np.zeros(len(rows), np.int64)
-    for d in range(items.suffixes.shape[1]):
-        target = items.suffixes[rows, d]
+@dataclass
+class Found:
+    """Suffixes that occur to their window's length: that range in the suffix array, and the longest match and one place of it."""
+
+    rows: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    longest: np.ndarray
+    place: np.ndarray
+
+
+def search(seq: np.ndarray, sa: np.ndarray, items: Items) -> Found:
+    """Narrows each benchmark suffix's range of training suffixes word by word, as far as any is left."""
+    size = len(items.owner)
+    rows, d = np.arange(size), 0
+    low, high = np.zeros(size, np.int64), np.full(size, len(sa), np.int64)
+    first, last = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    longest = np.zeros(size, np.int64)
+    while len(rows):
+        target = items.words[items.at[rows] + d]
         rows, target = rows[target > 0], target[target > 0]
-        if not len(rows):
-            break
-        column = padded[sa + d]
-        a = bound(column, low[rows], high[rows], target, False)
-        b = bound(column, a, high[rows], target, True)
+        value = lambda mid: seq[np.minimum(sa[mid] + d, len(seq) - 1)]  # noqa: B023, E731
+        a = bound(value, low[rows], high[rows], target, False)
+        b = bound(value, a, high[rows], target, True)
         found = b > a
-        rows, a, b = rows[found], a[found], b[found]
-        low[rows], high[rows], longest[rows] = a, b, d + 1
-        done = items.window[rows] == d + 1
+        rows, a, b, d = rows[found], a[found], b[found], d + 1
+        low[rows], high[rows], longest[rows] = a, b, d
+        done = items.window[rows] == d
         first[rows[done]], last[rows[done]] = a[done], b[done]
     hit = np.flatnonzero(last > first)
-    return hit, first[hit], last[hit], longest[hit]
+    return Found(hit, first[hit], last[hit], longest[hit], sa[low[hit]])
+
+
+def common_prefix(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+    """Words from both places on that are equal, up to a stop."""
+    length, open_ = np.zeros(len(at_a), np.int64), np.arange(len(at_a))
+    while len(open_):
+        x, y = a[at_a[open_] + length[open_]], b[at_b[open_] + length[open_]]
+        open_ = open_[(x == y) & (x > 0)]
+        length[open_] += 1
+    return length
 
 
 @dataclass
@@ -150,8 +170,9 @@ class Scan:
         seq = np.concatenate([x for _, _, ids in runs for x in (ids, stop)])
         doc = np.concatenate([np.full(len(ids) + 1, k) for k, _, ids in runs])
         at = np.concatenate([np.arange(a, a + len(ids) + 1) for _, a, ids in runs])
-        sa = suffix_array(seq, items.suffixes.shape[1])
-        rows, first, last, _ = search(seq, sa, items)
+        sa = suffix_array(seq, min(len(seq), int(np.diff(np.flatnonzero(items.words == 0), prepend=-1).max())))
+        hit = search(seq, sa, items)
+        rows, first, last = hit.rows, hit.first, hit.last
         n_each = last - first
         if not n_each.sum():
             return hits, names, matches
@@ -165,15 +186,13 @@ class Scan:
         for k, o in np.unique(np.stack([doc[place], items.owner[row]], 1), axis=0).tolist():
             names[k].append(items.ids[o])
         if self.with_matches:
-            padded = np.concatenate([seq, np.zeros(items.suffixes.shape[1] + 1, seq.dtype)])
-            for r, p in zip(row.tolist(), place.tolist(), strict=True):
-                # Only where the match can't be longer to the left.
-                q = int(items.start[r])
-                if q and p and seq[p - 1] == items.suffixes[r - 1, 0]:
-                    continue
-                suffix = items.suffixes[r]
-                length = int(np.argmin((padded[p : p + len(suffix)] == suffix) & (suffix > 0)))
-                matches[doc[p]].append({"item_id": items.ids[items.owner[r]], "item_at": q, "doc_at": int(at[p]), "length": length})
+            # Only where the match can't be longer to the left: diagonals of consecutive starts are one match.
+            q = items.start[row]
+            inner = (q > 0) & (place > 0) & (seq[np.maximum(place - 1, 0)] == items.words[np.maximum(items.at[row] - 1, 0)])
+            row, place, q = row[~inner], place[~inner], q[~inner]
+            length = common_prefix(seq, place, items.words, items.at[row])
+            for o, b, p, n in zip(items.owner[row].tolist(), q.tolist(), place.tolist(), length.tolist(), strict=True):
+                matches[doc[p]].append({"item_id": items.ids[o], "item_at": b, "doc_at": int(at[p]), "length": n})
         return hits, names, matches
 
 
@@ -225,10 +244,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: i
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Per row: id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = scan(docs, benchmark, id_col=id_col, **options)
+    """Per row: id, n_words, n_hit, n_items, items_sha256, contaminated, and the longest verbatim match:
+
+    its words, item and places in both (null without one; ties go to the first place, then the least item).
+    """
+    found = scan(docs, benchmark, id_col=id_col, with_matches=True, **options).withColumn("items", F.array_distinct("items"))
     ids = F.array_join(F.array_sort("items"), ",")
-    return found.select(id_col, "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+    best = F.array_min(F.transform("matches", lambda m: F.struct((-m["length"]).alias("n"), m["doc_at"].alias("doc_at"), m["item_id"].alias("item"), m["item_at"].alias("item_at"))))
+    longest = ((-best["n"]).cast("long").alias("longest_match"), best["item"].alias("longest_item"), best["doc_at"].alias("longest_at"), best["item_at"].cast("long").alias("longest_item_at"))
+    return found.select(id_col, "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"), *longest)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: int = 16 << 20, block_bytes: int = 16 << 20, text_col: str = "text") -> DataFrame:

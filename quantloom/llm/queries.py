@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .attention_lm import attention_scores
-from .common import table
+from .common import scratch, table
 from .decontaminate import contamination
 from .licenses import license_scan
 from .line_dedup import line_dedup
 from .ngram_join import link_components
 from .packing import pack
 from .quality import compression_bands
-from .token_cache import token_counts
+from .token_cache import fill, token_counts
 from .toxicity import toxicity
 from .warc import round_trip
 
@@ -39,7 +39,10 @@ def op4_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    """Half of the rows, by a hash of the id, fill the cache first; then all rows meet it."""
+    docs, tokenizer, cache = table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), scratch(spark, "token_counts")
+    fill(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), tokenizer, cache)
+    return token_counts(docs, tokenizer, cache)
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,12 +83,14 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, d.c AS component_id FROM (SELEC
 OP8_SQL = r"""WITH f AS (SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark),
 w AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM f),
 lens AS (SELECT DISTINCT least(10, len(x)) AS k FROM w WHERE kind = 'b' AND len(x) > 0),
-b AS (SELECT id AS item, least(10, len(x)) AS k, unnest(list_transform(range(1, len(x) - least(10, len(x)) + 2), lambda i: array_to_string(x[i:i + least(10, len(x)) - 1], ' '))) AS g FROM w WHERE kind = 'b' AND len(x) > 0),
+b AS (SELECT id AS item, least(10, len(x)) AS k, unnest(range(1, len(x) - least(10, len(x)) + 2)) AS j, unnest(list_transform(range(1, len(x) - least(10, len(x)) + 2), lambda i: array_to_string(x[i:i + least(10, len(x)) - 1], ' '))) AS g FROM w WHERE kind = 'b' AND len(x) > 0),
 d AS (SELECT id, k, unnest(range(1, len(x) - k + 2)) AS i, unnest(list_transform(range(1, len(x) - k + 2), lambda i: array_to_string(x[i:i + k - 1], ' '))) AS g FROM w, lens WHERE kind = 'd' AND len(x) >= k),
-h AS (SELECT DISTINCT d.id, d.i, d.k, b.item FROM d JOIN b ON d.g = b.g AND d.k = b.k),
+h AS (SELECT DISTINCT d.id, d.i, d.k, b.item, b.j FROM d JOIN b ON d.g = b.g AND d.k = b.k),
 c AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS p FROM h) GROUP BY 1),
-t AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM h GROUP BY 1)
-SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(x) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM w LEFT JOIN c ON c.id = w.id LEFT JOIN t ON t.id = w.id WHERE kind = 'd'"""
+t AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM h GROUP BY 1),
+m AS (SELECT id, item, min(i) - 1 AS i, min(j) - 1 AS j, count(*) + max(k) - 1 AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY id, item, i - j ORDER BY i) AS run FROM h) GROUP BY id, item, i - j, run),
+l AS (SELECT id, n, i, item, j FROM m QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, i, item, j) = 1)
+SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(x) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(l.n AS BIGINT) AS longest_match, l.item AS longest_item, CAST(l.i AS BIGINT) AS longest_at, CAST(l.j AS BIGINT) AS longest_item_at FROM w LEFT JOIN c ON c.id = w.id LEFT JOIN t ON t.id = w.id LEFT JOIN l ON l.id = w.id WHERE kind = 'd'"""
 
 
 def oracle_sql() -> dict[str, str]:
