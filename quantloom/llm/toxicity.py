@@ -8,8 +8,9 @@ own (he11), the path that keeps them is a second reading. Everything else is lef
 
 The trigram counts come from all texts (at most 64^3 counters leave a task). Labels are read from the
 training fold only: one half of a bounded sample of labelled rows gives weights to words and word
-beginnings, the other half fits a logistic curve to three sums of these weights. The sample's bound
-and the number of weights kept are parameters; scores cover every whole text.
+beginnings, the other half fits a logistic curve to three sums of these weights. A part's weight is its
+log odds where these are surely high (the lower end of a 90 % interval exceeds `least`), else nothing.
+The sample's bound is a parameter; scores cover every whole text. Workers keep what they decode by model.
 
 Cases: null and empty texts have no words and get the curve's value at zero. Without labels of both
 kinds in the training fold every score is the share of toxic labels (0 without any). Long texts are
@@ -20,7 +21,9 @@ result.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,10 +41,11 @@ from .common import cut, in_batches, record_batch, slices, worker_store
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 #: Letters with a code of their own; all others share one.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
-CODES = np.zeros(0x250, np.int64)
-CODES[[ord(c) for c in LETTERS if ord(c) < 0x250]] = np.arange(1, len(LETTERS) + 1)
+SIZE, OTHER = 64, 63
+#: Codes by code point: 0 is no letter, OTHER a letter of any other alphabet.
+CODES = np.fromiter((OTHER if chr(c).isalpha() else 0 for c in range(0x30000)), np.int64, 0x30000)
+CODES[[ord(c) for c in LETTERS]] = np.arange(1, len(LETTERS) + 1)
 CODE = {c: i for i, c in enumerate(LETTERS, 1)}
-SIZE = 64
 
 BETWEEN = r"[ .\-_*·,~]"
 #: Single letters or look-alikes set apart, at least four of them, or three with a letter.
@@ -76,9 +80,10 @@ class CountTrigrams:
 
 @dataclass
 class Restore:
-    """Viterbi decoding under log p(c | a, b)."""
+    """Viterbi decoding under log p(c | a, b). The name is the model's own: workers keep decodings under it."""
 
     log_p: np.ndarray
+    name: str = ""
     swap_cost: float = 2.0
     drop_cost: float = 0.3
     keep_repeat_cost: float = 1.5
@@ -88,11 +93,11 @@ class Restore:
         n = counts.reshape(SIZE, SIZE, SIZE).astype(float)
         two = n.sum(0) + 0.5
         backed = two / two.sum(1, keepdims=True)
-        return cls(np.log((n + 2.0 * backed[None]) / (n.sum(2, keepdims=True) + 2.0)))
+        return cls(np.log((n + 2.0 * backed[None]) / (n.sum(2, keepdims=True) + 2.0)), hashlib.sha256(counts.tobytes()).hexdigest())
 
     def readings(self, span: str) -> str:
-        """The span and what it may stand for, where that differs."""
-        out = [span, self.word(span)]
+        """What the span stands for: a letter's repetitions taken for one, and where they may be the word's own, kept."""
+        out = [self.word(span)]
         if REPEATED.search(span) and not span.isalpha():
             out.append(self.word(span, repeats=True))
         return " ".join(dict.fromkeys(out))
@@ -113,7 +118,7 @@ class Restore:
                 if drop is not None and (cost + drop, text) < ahead.get((a, b), (np.inf, "")):
                     ahead[a, b] = cost + drop, text
                 for x, more in options:
-                    to = CODE.get(x, 0)
+                    to = CODE.get(x, OTHER)
                     at = cost + more - self.log_p[a, b, to]
                     if at < ahead.get((b, to), (np.inf, ""))[0]:
                         ahead[b, to] = at, text + x
@@ -121,6 +126,8 @@ class Restore:
         return min((cost - self.log_p[a, b, 0], text) for (a, b), (cost, text) in paths.items())[1]
 
     def text(self, text: str, known: dict[str, str]) -> str:
+        """The text in lower case with its spans restored. known: what this model has decoded already."""
+
         def put(m: re.Match) -> str:
             span = m.group()
             if (out := known.get(span)) is None:
@@ -148,19 +155,25 @@ class CountParts:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: tuple[Counter, ...] = Counter(), Counter(), Counter(), Counter()
+        restored = decoded(self.restore)
         for b in slices(batches):
             for which, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = set(WORD.findall(self.restore.value.text(t or "", worker_store("toxicity", "restored"))))
+                words = set(WORD.findall(self.restore.value.text(t or "", restored)))
                 n[which].update({p for w in words for p in parts(w)})
                 n[which][""] += 1
         keys = list(set().union(*n))
         yield record_batch(PARTS, [pa.string(), *[pa.int64()] * 4], [keys, *([x[k] for k in keys] for x in n)])
 
 
-#: clean and toxic documents of the first half, then of the second
+#: clean and toxic documents of the first half, then of the second; the empty part counts documents
 PARTS = ["part", "clean0", "toxic0", "clean1", "toxic1"]
 
 
+def decoded(restore: Broadcast) -> dict[str, str]:
+    """What a worker has decoded by this very model."""
+    return worker_store("toxicity", f"restored by {restore.value.name}")
+
+
 @dataclass
 class Score:
     """Three sums of weights over a text's words, and the curve's value if there is one."""
@@ -176,7 +189,7 @@ class Score:
         if None in found:
             if len(known) > 400_000:
                 known.clear()
-            of = self.weights.value
+            of = self.weights.value[1]
             for w in set(words):
                 if w not in known:
                     known[w] = max((of.get(p, 0.0) for p in parts(w)), default=0.0)
@@ -184,14 +197,9 @@ class Score:
         return max(found, default=0.0), float(np.log1p(sum(x >= 3.0 for x in found))), float(np.log1p(sum(found)))
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_store("toxicity", f"weights {self.weights.id}" if hasattr(self.weights, "id") else "weights")
-        held = worker_store("toxicity", "weights of")
-        if held.get("of") is not self.weights.value:
-            known.clear()
-            worker_store("toxicity", "restored").clear()
-            held["of"] = self.weights.value
+        restored, known = decoded(self.restore), worker_store("toxicity", f"weights {self.weights.value[0]}")
         for b in slices(batches, max_bytes=16 << 20):
-            rows = np.array([self.features(t or "", worker_store("toxicity", "restored"), known) for t in b.column(1).to_pylist()]).reshape(-1, 3)
+            rows = np.array([self.features(t or "", restored, known) for t in b.column(1).to_pylist()]).reshape(-1, 3)
             if self.curve is None:
                 cols = [pa.array(rows[:, k]) for k in range(3)]
             else:
@@ -214,45 +222,48 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, most_weights: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> tuple[Broadcast, Broadcast, tuple[float, ...]]:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least: float = 1.9, id_col: str = "doc_id", text_col: str = "text") -> tuple[Broadcast, Broadcast, tuple[float, ...]]:
     """Restoration model, weights and curve."""
     spark = docs.sparkSession
+    send = spark.sparkContext.broadcast
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kind = texts.schema[0].dataType.simpleString()
     counts = np.zeros(SIZE**3, np.int64)
     for r in in_batches(texts.select("text"), CountTrigrams(), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():
         counts[r.code] = r.n
-    restore = spark.sparkContext.broadcast(Restore.of(counts))
+    restore = send(Restore.of(counts))
 
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     drawn = usable.orderBy(F.xxhash64("doc_id", F.lit(9)), "toxic").limit(sample)
     # At most `sample` rows of an id and a flag: a proven bound for the broadcast.
     rows = texts.join(F.broadcast(drawn), "doc_id").withColumn("_half", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)))
     coded = rows.select((F.col("toxic") + 2 * F.col("_half")).cast("int").alias("which"), "text")
-    counted = in_batches(coded, CountParts(restore), ", ".join([f"{PARTS[0]} string", *(f"{x} long" for x in PARTS[1:])])).groupBy("part").agg(*(F.sum(x).alias(x) for x in PARTS[1:]))
-    counted = cut(counted.where("part = '' or toxic0 + toxic1 >= 3"), "parts")
-    every = counted.where("part = ''").first()
-
-    def weights_of(clean: str, toxic: str, least: int) -> dict[str, float]:
-        if not every:
-            return {}
-        n_clean, n_toxic = counted.where("part = ''").selectExpr(clean, toxic).first()
-        odds = F.log((F.expr(toxic) + 0.5) / (n_toxic + 1)) - F.log((F.expr(clean) + 0.5) / (n_clean + 1))
-        best = counted.where(f"part <> '' and {toxic} >= {least}").withColumn("weight", odds).where("weight > 2.5").orderBy(F.desc(F.col("weight") * F.expr(toxic)), "part").limit(most_weights)
-        return {r.part: r.weight for r in best.select("part", "weight").collect()} if n_clean and n_toxic else {}
+    counted = cut(in_batches(coded, CountParts(restore), ", ".join([f"{PARTS[0]} string", *(f"{x} long" for x in PARTS[1:])])).groupBy("part").agg(*(F.sum(x).alias(x) for x in PARTS[1:])), "parts")
+    n_of = counted.where("part = ''").first()
+    n_of = n_of or dict.fromkeys(PARTS[1:], 0)
+
+    def weights_of(halves: tuple[int, ...], least: float) -> Broadcast:
+        """Log odds of parts among toxic and clean documents, where the lower end of their interval exceeds `least`.
+
+        Such a part stands in several toxic documents of the sample, so there are fewer than its words.
+        """
+        clean, toxic = (sum(F.col(f"{x}{h}") for h in halves) + 0.5 for x in ("clean", "toxic"))
+        n_clean, n_toxic = (sum(n_of[f"{x}{h}"] for h in halves) for x in ("clean", "toxic"))
+        odds = F.log(toxic / (n_toxic + 1) * (n_clean + 1) / clean)
+        sure = odds - 1.64 * F.sqrt(1 / toxic + 1 / clean) > least
+        found = counted.where((F.col("part") != "") & sure).select("part", odds.alias("weight")).collect() if n_clean and n_toxic else []
+        return send((uuid.uuid4().hex, {r.part: r.weight for r in found}))
 
     # The curve is fitted on the half that its weights haven't seen; scores use the weights of both halves.
-    clean, toxic = (every.clean0 + every.clean1, every.toxic0 + every.toxic1) if every else (0, 0)
-    half = spark.sparkContext.broadcast(weights_of("clean0", "toxic0", 3))
+    clean, toxic = n_of["clean0"] + n_of["clean1"], n_of["toxic0"] + n_of["toxic1"]
+    half = weights_of((0,), least - 1)
     curve_rows = in_batches(rows.where("_half = 1").select("toxic", "text"), Score(restore, half, None, ("toxic", "a", "b", "c")), "toxic int, a double, b double, c double").toPandas()
-    weights = spark.sparkContext.broadcast(weights_of("clean0 + clean1", "toxic0 + toxic1", 6))
     share = float(curve_rows["toxic"].mean()) if len(curve_rows) else 0.0
-    if 0 < share < 1 and half.value:
+    if 0 < share < 1 and half.value[1]:
         curve = logistic(curve_rows[["a", "b", "c"]].to_numpy(), curve_rows["toxic"].to_numpy())
     else:
         share = toxic / (clean + toxic) if clean + toxic and not 0 < share < 1 else share
         curve = (float(np.log((share + 1e-13) / (1 - share + 1e-13))), 0.0, 0.0, 0.0)
-    return restore, weights, curve
+    return restore, weights_of((0, 1), least), curve
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
