@@ -5,8 +5,10 @@ depends on length (a frame has fixed costs, long texts have more to refer back t
 class has its own lower and upper limit. Repetition in a small part of a long text is diluted in
 the whole ratio; fixed-size chunks show it.
 
-Cases: null and empty text give zero measures; the base rule then fails on n_words. Texts below the
-first band's length have no ratio limits. One very long text is read as one value and its chunks are
+Every length has limits. A text of one chunk is judged by its whole ratio; a longer one also by the share
+of its chunks out of band, and by two in a row, which no length dilutes.
+
+Cases: null and empty text give zero measures; the base rule then fails on n_words. One very long text is read as one value and its chunks are
 compressed one by one. Repeated rows give repeated rows. Only the id and text columns are read, so
 other columns, whatever their names, play no part. An empty table gives an empty result.
 """
@@ -27,11 +29,13 @@ from .common import in_batches, record_batch, slices
 class Bands:
     """(least bytes, lowest ratio, highest ratio) by length; the last row whose length fits holds."""
 
-    whole: tuple[tuple[int, float, float], ...] = ((128, 0.70, 2.6), (300, 1.15, 2.8), (1000, 1.35, 3.2), (3000, 1.45, 3.7), (10000, 1.50, 4.2), (50000, 1.50, 5.0))
+    whole: tuple[tuple[int, float, float], ...] = ((1, 0.15, 1.2), (32, 0.60, 1.35), (64, 0.90, 2.2), (128, 1.10, 2.6), (300, 1.28, 2.8), (1000, 1.40, 3.2), (3000, 1.45, 3.7), (10000, 1.50, 4.2), (50000, 1.50, 5.0))
     chunk_bytes: int = 2048
-    chunk: tuple[tuple[int, float, float], ...] = ((512, 1.15, 3.0), (1024, 1.25, 3.4), (2048, 1.30, 3.8))
+    chunk: tuple[tuple[int, float, float], ...] = ((512, 1.28, 3.0), (1024, 1.32, 3.4), (2048, 1.40, 3.8))
     #: Share of a text's chunks that may lie outside of the chunk limits.
     chunk_share: float = 0.2
+    #: Chunks in a row outside of the limits that reject a text of any length.
+    chunk_run: int = 2
     level: int = 3
 
     def limits(self, table: tuple[tuple[int, float, float], ...], n: int) -> tuple[float, float]:
@@ -93,14 +97,15 @@ class Measure:
             return None, 0, 0, "kept"
         ratio = len(t) / len(self.pack(t))
         lo, hi = b.limits(b.whole, len(t))
-        n = out = 0
-        for i in range(0, len(t), b.chunk_bytes):
-            part = t[i : i + b.chunk_bytes]
-            if len(part) >= b.chunk[0][0] and len(t) > b.chunk_bytes:
-                low, high = b.limits(b.chunk, len(part))
-                n += 1
-                out += not low <= len(part) / len(self.pack(part)) <= high
-        verdict = "incompressible" if ratio < lo else "repetitive" if ratio > hi else "chunks" if out > b.chunk_share * n else "kept"
+        # A rest below the smallest limit's length belongs to the chunk before it.
+        n = max(1, (len(t) + b.chunk_bytes - b.chunk[0][0]) // b.chunk_bytes)
+        out = run = longest = 0
+        for i in range(n if n > 1 else 0):
+            part = t[i * b.chunk_bytes : (i + 1) * b.chunk_bytes if i < n - 1 else None]
+            low, high = b.limits(b.chunk, len(part))
+            run = 0 if low <= len(part) / len(self.pack(part)) <= high else run + 1
+            out, longest = out + (run > 0), max(longest, run)
+        verdict = "incompressible" if ratio < lo else "repetitive" if ratio > hi else "chunks" if out > b.chunk_share * n or longest >= b.chunk_run else "kept"
         return ratio, n, out, verdict
 
 
