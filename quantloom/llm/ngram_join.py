@@ -6,7 +6,7 @@ size - ceil(t * size) + k shingles of each, for every k. Documents choose k by e
 prefix reads more postings but asks for k shared shingles before a pair is verified. A pair needs the
 smaller of its two k.
 
-1. Equal sets are one class (128 bits of signature give the class id), so copies are never paired.
+1. Equal sets are one class (its id is 128 bits of signature), so copies are never paired.
 2. Prefixes with k a tenth of the set, under an order that needs no statistics (longer
    shingles first), show which classes share k prefix shingles with any others. The rest, most of a
    corpus, can have no link.
@@ -16,8 +16,10 @@ smaller of its two k.
 5. Pairs that share enough prefix shingles and lie in different components are verified; links within
    a component can't change the result. Components of all links are final.
 
-No step forms all pairs of a group: 4 has a pair a posting, 5 only pairs across components, with bounds on
-sizes and positions in the join's condition. All joins are equi-joins that adaptive execution splits.
+4 has one pair a posting. 5 has the pairs across components that share enough prefix shingles, with bounds
+on sizes and positions in the join's condition: for classes that are close to each other, but not close
+enough to link, these can be many, since nothing but a comparison tells such a pair from a link. All joins
+are equi-joins that adaptive execution splits.
 
 Cases: null and empty texts, and texts without words, have empty sets and link with nothing. Texts of
 fewer words than a shingle are one shingle. Rows that repeat an id take part each by its own text. Rows
@@ -27,14 +29,13 @@ text are read. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import cut, in_batches, record_batch, slices, worker_store
 from .components import components
@@ -92,23 +93,20 @@ class Sets:
     whole: bool
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         longs = pa.list_(pa.int64())
         for b in slices(batches):
-            sizes, ids, hashes, lists = [], [], [], []
+            sizes, ids, lists = [], [], []
             for t in b.column(1).cast(pa.binary()).to_pylist():
                 h, length = shingles(t, self.n)
                 with np.errstate(over="ignore"):
-                    one, two = mix(h + U(1)).sum(dtype=U), mix(h ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U)
-                    cid = mix(np.array([one ^ (two * U(0x9E3779B97F4A7C15)) + U(len(h))], U))
-                hashes.append(xxhash.xxh3_64_intdigest(t or b"") - (1 << 63))
+                    sums = np.array([mix(h + U(1)).sum(dtype=U), mix(h ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U) + U(len(h))], U)
+                ids.append(mix(sums).tobytes())
                 sizes.append(len(h))
-                ids.append(int(cid.view(np.int64)[0]))
                 if not self.whole:
                     h = h[np.lexsort((h, -length))[: sum(screen(len(h), self.percent))]]
                 lists.append(h.view(np.int64))
-            yield record_batch([b.schema.names[0], "size", "class", "text_hash", "tokens"], [b.schema.types[0], *[pa.int64()] * 3, longs], [b.column(0), sizes, ids, hashes, pa.array(lists, longs)])
+            names = [b.schema.names[0], b.schema.names[2], "size", "class", "tokens"]
+            yield record_batch(names, [b.schema.types[0], b.schema.types[2], pa.int64(), pa.binary(), longs], [b.column(0), b.column(2), sizes, ids, pa.array(lists, longs)])
 
 
 def needed(a: Column, b: Column, percent: int) -> Column:
@@ -137,10 +135,28 @@ def adaptive_prefixes(sets: DataFrame, percent: int, most: int, verify_cost: flo
     return chosen.where("_o.times > 1").select(F.col("_o.token").alias("token"), "class", "size", "pos", "k")
 
 
-def linked(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float, id_col: str, text_col: str) -> DataFrame:
-    """Per row: doc_id, size, text_hash, component_id."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"doc_id {texts.schema[0].dataType.simpleString()}, size long, class long, text_hash long, tokens array<long>"
+@dataclass
+class Classes:
+    """first: a row each, of its class; classes: representatives; sets and lists: whole sets and prefixes of those that may link."""
+
+    first: DataFrame
+    classes: DataFrame
+    sets: DataFrame
+    lists: DataFrame
+
+
+def close(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """Bounds on sizes, and on the overlap that two postings' places leave."""
+    return (100 * F.least(a["size"], b["size"]) >= percent * F.greatest(a["size"], b["size"])) & (F.least(a["size"] - a["pos"], b["size"] - b["pos"]) + F.least(a["k"], b["k"]) - 1 >= needed(a["size"], b["size"], percent))
+
+
+def text_hash(c: Column) -> Column:
+    return F.xxhash64(F.coalesce(c.cast("string"), F.lit("")))
+
+
+def candidates(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float, id_col: str, text_col: str) -> Classes:
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), text_hash(F.col(text_col)).alias("text_hash"))
+    schema = f"doc_id {texts.schema[0].dataType.simpleString()}, text_hash long, size long, class binary, tokens array<long>"
     first = cut(in_batches(texts, Sets(n, percent, False), schema), "prefixes")
     linkable = first.where("doc_id is not null and size > 0")
     classes = linkable.groupBy("class").agg(F.min("doc_id").alias("rep"))
@@ -153,12 +169,41 @@ def linked(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float,
 
     sets = in_batches(texts.join(alive, texts["doc_id"] == alive["rep"], "left_semi"), Sets(n, percent, True), schema)
     sets = cut(sets.where("size > 0").select("class", "size", "tokens").dropDuplicates(["class"]), "sets")
-    lists = cut(adaptive_prefixes(sets, percent, most, verify_cost), "lists")
+    return Classes(first, classes, sets, cut(adaptive_prefixes(sets, percent, most, verify_cost), "lists"))
+
+
+def sharing(lists: DataFrame, percent: int, more: Callable[[str, str], Column] | None = None) -> DataFrame:
+    """Pairs of classes that share as many prefix shingles as the smaller k asks for."""
+    x, y = lists.alias("x"), lists.alias("y")
+    side = lambda s: {c: F.col(f"{s}.{c}") for c in ("pos", "size", "k")}
+    on = (F.col("x.token") == F.col("y.token")) & (F.col("x.class") > F.col("y.class")) & close(side("x"), side("y"), percent)
+    pairs = x.join(y, on if more is None else on & more("x", "y"))
+    return pairs.groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(F.count(F.lit(1)).alias("times"), F.min(F.least("x.k", "y.k")).alias("k")).where("times >= k").select("a", "b")
 
-    close = lambda a, b: (100 * F.least(a["size"], b["size"]) >= percent * F.greatest(a["size"], b["size"])) & (F.least(a["size"] - a["pos"], b["size"] - b["pos"]) + F.least(a["k"], b["k"]) - 1 >= needed(a["size"], b["size"], percent))
+
+def class_links(docs: DataFrame, n: int = 5, percent: int = 80, most: int = 3, verify_cost: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links between different texts: (class_id, linked_id) for both directions, and (id, class_id, n_links) a row.
+
+    A class is the rows of equal sets and has its smallest id; n_links counts the classes it links with.
+    """
+    found = candidates(docs, n, percent, most, verify_cost, id_col, text_col)
+    rep = lambda x: found.classes.select(F.col("class").alias(x), F.col("rep").alias(f"_r{x}"))
+    one = cut(verified(sharing(found.lists, percent), found.sets, percent).join(rep("a"), "a").join(rep("b"), "b").select("_ra", "_rb"), "links")
+    pairs = one.select(F.col("_ra").alias("class_id"), F.col("_rb").alias("linked_id")).unionByName(one.select(F.col("_rb").alias("class_id"), F.col("_ra").alias("linked_id")))
+    times = pairs.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
+    of = found.classes.join(times, found.classes["rep"] == times["class_id"], "left").select(F.col("class").alias("_class"), F.col("rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    first = found.first
+    rows = first.join(of, (first["class"] == of["_class"]) & (first["size"] > 0) & first["doc_id"].isNotNull(), "left")
+    return pairs, rows.select(F.col("doc_id").alias(id_col), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def linked(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float, id_col: str, text_col: str) -> DataFrame:
+    """Per row: doc_id, size, text_hash, component_id."""
+    found = candidates(docs, n, percent, most, verify_cost, id_col, text_col)
+    first, classes, sets, lists = found.first, found.classes, found.sets, found.lists
     posting = F.struct("pos", "class", "size", "k")
     pivots = lists.groupBy("token").agg(F.min(posting).alias("p"))
-    near = lists.join(pivots, "token").where((F.col("class") != F.col("p.class")) & close({c: F.col(c) for c in ("pos", "size", "k")}, {c: F.col(f"p.{c}") for c in ("pos", "size", "k")}))
+    near = lists.join(pivots, "token").where((F.col("class") != F.col("p.class")) & close({c: F.col(c) for c in ("pos", "size", "k")}, {c: F.col(f"p.{c}") for c in ("pos", "size", "k")}, percent))
     pairs = near.select(F.greatest("class", "p.class").alias("a"), F.least("class", "p.class").alias("b")).distinct()
     links = cut(verified(pairs, sets, percent), "links")
     roots = components(links)
@@ -166,10 +211,7 @@ def linked(docs: DataFrame, n: int, percent: int, most: int, verify_cost: float,
     placed = lists.join(roots, lists["class"] == roots["node"], "left").select("token", "class", "size", "pos", "k", F.coalesce("root", "class").alias("root"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     open_ = cut(placed.join(mixed, "token", "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    side = lambda s: {c: F.col(f"{s}.{c}") for c in ("pos", "size", "k")}
-    across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") > F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & close(side("x"), side("y")))
-    pairs = across.groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(F.count(F.lit(1)).alias("times"), F.min(F.least("x.k", "y.k")).alias("k")).where("times >= k").select("a", "b")
+    pairs = sharing(open_, percent, lambda x, y: F.col(f"{x}.root") != F.col(f"{y}.root"))
     more = cut(verified(pairs, sets, percent), "links")
     roots = components(links.unionByName(more)) if more.take(1) else roots
 
@@ -186,18 +228,6 @@ def link_components(docs: DataFrame, n: int = 5, percent: int = 80, most: int =
     return linked(docs, n, percent, most, verify_cost, id_col, text_col).select(F.col("doc_id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
 
 
-@dataclass
-class TextHash:
-    text: int
-
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for b in batches:
-            hashes = [xxhash.xxh3_64_intdigest(t or b"") - (1 << 63) for t in b.column(self.text).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hashes, pa.int64())], names=[*b.schema.names, "_hash"])
-
-
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, most: int = 3, verify_cost: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component: that with the smallest id, of equal ids one text.
 
@@ -207,5 +237,7 @@ def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, most: i
     rows = cut(rows, "members")
     kept = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     gone = rows.join(kept, "component_id").where(F.struct("doc_id", "text_hash") != F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
-    hashed = in_batches(docs, TextHash(docs.columns.index(text_col)), StructType([*docs.schema.fields, StructField("_hash", LongType())]))
-    return hashed.join(cut(gone, "gone"), (F.col(id_col) == F.col("_gone")) & (F.col("_hash") == F.col("_gone_hash")), "left_anti").drop("_hash")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_d"), F.col(id_col).alias("_id"), text_hash(F.col(text_col)).alias("_h"))
+    gone = cut(gone, "gone")
+    left = whole.join(gone, (whole["_id"] == gone["_gone"]) & (whole["_h"] == gone["_gone_hash"]), "left_anti")
+    return left.select(*(F.col("_d")[c].alias(c) for c in docs.columns))
