@@ -1,58 +1,71 @@
 """Line dedup by content-defined chunks, in DataFrame functions only.
 
-Lines are hashed; a rolling hash over the last `window` line hashes closes a chunk where it is divisible
-by `divisor`, so boundaries depend on content and survive shifts. Chunks of several lines (or of one
-line with at least `min_words` words) that occur more than once in the corpus are found by hash, then
-grouped by their bytes. All but the first occurrence, in order of document and line, are covered.
+Lines are hashed, and a rolling hash goes over every two of them. A place is a boundary if its rolling
+hash is the smallest of some `spacing` places in a row: that depends on the lines around it alone, so
+boundaries move with the text, and no `spacing` places lack one. The two lines at a boundary are a
+chunk; the chunk with one more line on either side finishes a passage off at its edges. With the
+default spacing of 2, any passage of three lines or more holds a boundary, the same in all documents,
+and is covered to its first and last line; of passages of two lines between other lines a part has none
+(spacing 1 makes every place a boundary). A line of at least `min_words` words is a chunk of its own.
 
-The boundaries before and after a shared passage depend on the lines around it, so its first and last
-lines may share a chunk with other text. Windows of two lines at every line go through the same steps,
-which finishes passages off at their edges. Covered lines that follow one another are removed if they
-hold at least `min_words` words together: short stock phrases stay.
+Chunks that occur more than once in the corpus are found by hash, then grouped by their bytes. All but
+the first occurrence, in order of document and line, are removed; the first one stays.
 
 Hashes travel without text; text is sent for repeated chunks only, and counts combine before the
-shuffle, so a passage that a third of all rows share is one row a task. Joins are equi-joins that
+shuffle, so a passage that a third of all rows share is one row a task. The most frequent chunks, a
+bounded number of bounded size, reach their occurrences by broadcast, all others by equi-joins that
 adaptive execution splits. The earliest occurrence of every line stays somewhere.
 
 Cases: null text stays null, empty text empty. Rows that repeat both id and text are one document and
-keep the same lines. Blank lines have no words and are removed only within a removed stretch. Long
+keep the same lines. A line includes the blank lines behind it, and is removed with them. Long
 texts are handled line by line. Other columns pass through whatever their names; `n_chars`, where
 there is one, is set anew for changed texts. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
 WORDS = r"[^\x20\x09-\x0D]+"
+#: A line feed before a line that isn't blank.
+NEXT_LINE = r"\n(?=[ \t\x0B\f\r]*[^ \t\x0B\f\r\n])"
 
 
-def units(lines: Column, min_words: int, window: int, divisor: int) -> Column:
-    """array<struct<start, n, hash>>: chunks, windows of two lines, and long lines."""
-    hashes = F.transform(lines, lambda x: F.xxhash64(x))
+def once(value: Column, of) -> Column:
+    """of(value), with value computed once: it is bound as a lambda's argument."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
 
-    def of(lh: Column) -> Column:
-        last = F.size(lh) - 1
-        every = F.sequence(F.lit(0), last)
-        rolled = lambda i: F.xxhash64(F.slice(lh, F.greatest(i + 2 - window, F.lit(1)), F.least(i + 1, F.lit(window))))
-        ends = F.filter(every, lambda i: (i == last) | (F.pmod(rolled(i), F.lit(divisor)) == 0))
-        spans = F.transform(ends, lambda e, k: F.struct(F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1).alias("start"), e.alias("end")))
-        spans = F.transform(spans, lambda c: F.struct(c["start"].alias("start"), (c["end"] - c["start"] + 1).alias("n")))
-        pairs = F.when(last > 0, F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.struct(i.alias("start"), F.lit(2).alias("n"))))
+
+def units(lines: Column, min_words: int, spacing: int) -> Column:
+    """array<struct<start, n, hash>>: chunks at boundaries, the same with a line more, and long lines."""
+    span = lambda start, n: F.struct(start.cast("int").alias("start"), F.lit(n).alias("n"))
+    none = F.array().cast("array<struct<start:int,n:int>>")
+
+    def chunks(hashes: Column, rolled: Column) -> Column:
+        last = F.size(rolled) - 1
+        runs = lambda i: F.sequence(F.greatest(i - spacing + 1, F.lit(0)), F.least(i, F.greatest(last + 1 - spacing, F.lit(0))))
+        least = lambda i: F.exists(runs(i), lambda s: F.array_min(F.slice(rolled, s + 1, spacing)) == F.get(rolled, i))
+        at = F.filter(F.sequence(F.lit(0), last), least)
+        before = F.transform(F.filter(at, lambda i: i > 0), lambda i: span(i - 1, 3))
+        after = F.transform(F.filter(at, lambda i: i < last), lambda i: span(i, 3))
+        return F.concat(F.transform(at, lambda i: span(i, 2)), F.array_union(before, after))
+
+    def of(hashes: Column) -> Column:
+        n = F.size(hashes)
+        pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.xxhash64(F.slice(hashes, i, 2)))
+        found = F.when(n > 1, once(pairs, lambda rolled: chunks(hashes, rolled))).otherwise(none)
         # A line of so many words has that many characters and the gaps between them.
-        long_lines = F.transform(F.filter(every, lambda i: (F.length(F.get(lines, i)) >= 2 * min_words - 1) & (F.regexp_count(F.get(lines, i), F.lit(WORDS)) >= min_words)), lambda i: F.struct(i.alias("start"), F.lit(1).alias("n")))
-        # Chunks of two lines are among the pairs.
-        all_spans = F.concat(F.filter(spans, lambda s: s["n"] > 2), F.coalesce(pairs, F.slice(spans, 1, 0)), long_lines)
-        return F.transform(all_spans, lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), F.xxhash64(F.slice(lh, s["start"] + 1, s["n"])).alias("hash")))
+        long_lines = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (F.length(F.get(lines, i)) >= 2 * min_words - 1) & (F.regexp_count(F.get(lines, i), F.lit(WORDS)) >= min_words))
+        every = F.concat(found, F.transform(long_lines, lambda i: span(i, 1)))
+        return F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), F.xxhash64(F.slice(hashes, s["start"] + 1, s["n"])).alias("hash")))
 
-    # A one-element transform binds the hashes once.
-    return F.get(F.transform(F.array(hashes), of), F.lit(0))
+    return once(F.transform(lines, lambda x: F.xxhash64(x)), of)
 
 
-def line_dedup(docs: DataFrame, min_words: int = 50, window: int = 2, divisor: int = 3, drop_emptied: bool = False, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = 50, spacing: int = 2, drop_emptied: bool = False, id_col: str = "doc_id", text_col: str = "text", counts: bool = False, hot: int = 1000) -> DataFrame:
     """docs with repeated passages removed; drop_emptied: without texts of which nothing is left.
 
     counts: two more columns, n_lines and n_removed.
@@ -60,9 +73,8 @@ def line_dedup(docs: DataFrame, min_words: int = 50, window: int = 2, divisor: i
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_d"), F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_t"))
     # The lines are a column: within a lambda, an expression would be split anew for every line.
-    split = keyed.where("_t <> ''").select("_id", "_h", F.split("_t", "\n").alias("_lines"))
-    spans = split.select("_id", "_h", F.explode(units(F.col("_lines"), min_words, window, divisor)).alias("u")).select("_id", "_h", "u.start", "u.n", F.col("u.hash").alias("hash"))
-    spans = cut(spans, "lines")
+    split = keyed.where("_t <> ''").select("_id", "_h", F.split("_t", NEXT_LINE).alias("_lines"))
+    spans = cut(split.select("_id", "_h", F.explode(units(F.col("_lines"), min_words, spacing)).alias("u")).select("_id", "_h", "u.start", "u.n", "u.hash"), "lines")
     repeated = spans.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("hash")
     mine = spans.join(repeated, "hash", "left_semi").groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "n", "hash")).alias("_units"))
 
@@ -70,24 +82,21 @@ def line_dedup(docs: DataFrame, min_words: int = 50, window: int = 2, divisor: i
     # Texts travel once; documents without a repeated chunk pass from this table to the result.
     met = keyed.join(mine.select(F.col("_id").alias("_mid"), F.col("_h").alias("_mh"), "_units").hint("merge"), F.col("_id").eqNullSafe(F.col("_mid")) & (F.col("_h") == F.col("_mh")), "left").select("_d", "_id", "_h", "_units")
     met = cut(met, "texts").withColumn("_t", F.col("_d")[text_col].cast("string"))
-    held = met.where("_units is not null").select("_id", "_h", F.split("_t", "\n").alias("_lines"), F.explode("_units").alias("u"))
-    part = F.slice("_lines", F.col("u.start") + 1, F.col("u.n"))
-    chunks = cut(held.select("_id", "_h", "u.start", "u.n", "u.hash", F.array_join(part, "\n").alias("chunk"), F.transform(part, lambda x: F.regexp_count(x, F.lit(WORDS))).alias("words")), "chunks")
+    held = met.where("_units is not null").select("_id", "_h", F.split("_t", NEXT_LINE).alias("_lines"), F.explode("_units").alias("u"))
+    chunk = F.array_join(F.slice("_lines", F.col("u.start") + 1, F.col("u.n")), "\n")
+    chunks = cut(held.select("_id", "_h", "u.start", "u.n", "u.hash", chunk.alias("chunk")), "chunks")
     place = F.struct("_id", "_h", "start")
-    firsts = chunks.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
-    later = chunks.join(firsts, ["hash", "chunk"]).where(place > F.col("first"))
-
-    lines = later.select("_id", "_h", F.posexplode("words").alias("_k", "words"), "start").select("_id", "_h", (F.col("start") + F.col("_k")).alias("at"), "words")
-    lines = lines.groupBy("_id", "_h", "at").agg(F.max("words").alias("words"))
-    in_order = Window.partitionBy("_id", "_h").orderBy("at")
-    runs = lines.withColumn("run", F.col("at") - F.row_number().over(in_order)).withColumn("total", F.sum("words").over(Window.partitionBy("_id", "_h", "run")))
-    gone = runs.where(F.col("total") >= min_words).groupBy("_id", "_h").agg(F.collect_set("at").alias("_gone"))
-    gone = cut(gone.select(F.col("_id").alias("_gid"), F.col("_h").alias("_gh"), "_gone"), "gone")
+    firsts = cut(chunks.groupBy("hash", "n", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"), "firsts")
+    often = firsts.where(F.octet_length("chunk") <= 4096).orderBy(F.desc("times"), "hash").limit(hot).select("hash", "n", "chunk", F.col("first").alias("_often"))
+    later = chunks.join(F.broadcast(often), ["hash", "n", "chunk"], "left").withColumn("_key", F.when(F.col("_often").isNull(), F.col("hash")).otherwise(F.monotonically_increasing_id()))
+    later = later.join(firsts.select(F.col("hash").alias("_key"), "n", "chunk", "first"), ["_key", "n", "chunk"], "left").where(place > F.coalesce("_often", "first"))
+    lines = later.select("_id", "_h", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at"))
+    gone = lines.groupBy(F.col("_id").alias("_gid"), F.col("_h").alias("_gh")).agg(F.collect_set("at").alias("_gone"))
 
     with_units, without = met.where("_units is not null"), met.where("_units is null")
     out = with_units.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_h") == F.col("_gh")), "left").select("_d", "_t", "_gone")
     out = out.unionByName(without.select("_d", "_t", F.lit(None).cast("array<int>").alias("_gone")))
-    out = out.withColumn("_lines", F.split("_t", "\n"))
+    out = out.withColumn("_lines", F.split("_t", NEXT_LINE))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
     left = F.transform(kept, lambda i: F.get("_lines", i))
     changed = F.col("_gone").isNotNull()
