@@ -103,7 +103,7 @@ def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(BPE)
-    rows = packing.pack(docs, BPE, group_rows=16, merge=2).collect()
+    rows = packing.pack(docs, BPE, group_rows=16).collect()
     ids = {i: np.array([*tok.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in made()}
     assert sum(r.length for r in rows) == sum(map(len, ids.values()))
     bins = {}
@@ -188,7 +188,7 @@ def test_line_dedup(docs, empty, spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, _h string")
     got = by_id(line_dedup.line_dedup(df))
     assert got[0].text == rows[0][1] and all(got[i].text == f"own line {i} a b c\nlast line {i} d e f" for i in range(1, 5))
-    assert got[1].n_chars == len(got[1].text) and got[9].text == got[10].text == "short stock\nphrase" and got[11].text is None and got[12].text == ""
+    assert got[1].n_chars == len(got[1].text) and got[9].text == "short stock\nphrase" and got[10].text == "" and got[10].n_chars == 0 and got[11].text is None and got[12].text == ""
     assert line_dedup.line_dedup(docs).columns == docs.columns and line_dedup.line_dedup(empty).count() == 0
     copies = by_id(line_dedup.line_dedup(docs, drop_emptied=True))
     assert 0 in copies and 106 in copies and 107 not in copies
@@ -303,27 +303,91 @@ def test_attention_scores(docs, empty):
     assert attention_lm.attention_scores(empty, BPE).count() == 0
 
 
+def pieces(texts):
+    return [[attention_lm.END, *x, attention_lm.END] for x in attention_lm.ids_of(packing.WordCoder(BPE), [t or "" for t in texts])]
+
+
+def sequences(seqs):
+    return pa.RecordBatch.from_arrays([pa.array([np.array(x, "<u2").tobytes() for x in seqs])], names=["ids"])
+
+
 def test_attention_learns_from_whole_texts():
     texts = ["the cat sat on a mat " * 400 + "zebra", "so", "", None]
-    (b,) = attention_lm.Sequences(BPE)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])]))
-    want = [[attention_lm.END, *x, attention_lm.END] for x in attention_lm.ids_of(packing.WordCoder(BPE), [t or "" for t in texts])]
-    ids, n = attention_lm.joined(b)
+    cols = [pa.array(range(4)), pa.array(range(4)), pa.array([False] * 4), pa.array(texts, pa.string())]
+    (b,) = attention_lm.Encode(BPE, SimpleNamespace(value={b"": 0.0}))(iter([pa.RecordBatch.from_arrays(cols, names=["_row", "doc_id", "held", "text"])]))
+    want = pieces(texts)
+    ids, n = attention_lm.joined(b, 7)
     assert ids.tolist() == [x for w in want for x in w] and n.tolist() == list(map(len, want)) and n[0] > 2400
     # every id and the end is a target once, after the ids before it
     windows = attention_lm.window_table(ids, n, 48)
     assert windows[:, 1:][windows[:, 1:] >= 0].tolist() == [x for w in want for x in w[1:]]
-    assert Counter(zip(windows[:, :-1][windows[:, 1:] >= 0], windows[:, 1:][windows[:, 1:] >= 0], strict=True)) == Counter(p for w in want for p in zip(w, w[1:], strict=False))
+    (c,) = attention_lm.CountIds()(iter([sequences(want)]))
+    assert dict(zip(c.column(0).to_pylist(), c.column(1).to_pylist(), strict=True)) == Counter(x for w in want for x in w[1:])
     m = attention_lm.Model.fresh(np.bincount(ids, minlength=attention_lm.VOCABULARY).astype(float), np.ones(attention_lm.VOCABULARY, np.int64), 48, 3)
-    (c,) = attention_lm.CountBigrams(SimpleNamespace(value=m))(iter([b]))
-    pairs = Counter(m.input_of[x] * attention_lm.CLASSES + m.class_of[y] for w in want for x, y in zip(w, w[1:], strict=False))
+    (c,) = attention_lm.CountPairs(SimpleNamespace(value=m.unit_of))(iter([sequences(want)]))
+    pairs = Counter(m.unit_of[x] * attention_lm.UNITS + m.unit_of[y] for w in want for x, y in zip(w, w[1:], strict=False))
     assert dict(zip(c.column(0).to_pylist(), c.column(1).to_pylist(), strict=True)) == pairs
 
 
+def trained_model(seqs, width=12, rounds=3):
+    ids, n = np.concatenate(seqs), np.array(list(map(len, seqs)))
+    counts = np.bincount(ids, minlength=attention_lm.VOCABULARY).astype(float)
+    m = attention_lm.Model.fresh(counts, np.zeros(attention_lm.VOCABULARY, np.int64), width, 3)
+    u = m.unit_of[ids]
+    pairs = np.bincount(np.delete(u[:-1] * attention_lm.UNITS + u[1:], np.cumsum(n)[:-1] - 1), minlength=attention_lm.UNITS**2).reshape(attention_lm.UNITS, -1)
+    m = m.counted(counts, pairs.astype(float))
+    for _ in range(rounds):
+        m.weights = m.trained(attention_lm.window_table(ids, n, width))
+    return m
+
+
+def test_attention_score_is_that_of_a_plain_loop():
+    seqs = [np.array(x) for x in pieces(["the cat sat on a mat and the dog on the log " * 9, "a dog", "", "zebra of the cat"])]
+    m, overlap = trained_model(seqs), 4
+    m.weights["q"] *= 40  # heads far beyond what an unshifted exponential could take
+    got = attention_lm.Score(SimpleNamespace(value=m), overlap).scores(m, np.concatenate(seqs), np.array(list(map(len, seqs))))
+    w = {k: v.astype(float) for k, v in m.weights.items()}
+    soft = lambda s: np.exp(s - s.max()) / np.exp(s - s.max()).sum()
+    for seq, score in zip(seqs, got, strict=True):
+        total = 0.0
+        for t in range(1, len(seq)):
+            # the window in which place t is new: the first, or that which begins `width - overlap` ids further each time
+            k = max(0, -(-(t - m.width) // (m.width - overlap)))
+            e = w["e"][m.unit_of[seq[k * (m.width - overlap) : t]]]
+            q, keys = e[-1] @ w["q"], e @ w["k"]
+            a = soft(np.array([q @ x + w["r"][len(keys) - 1 - j] for j, x in enumerate(keys)]))
+            prev, u = m.unit_of[seq[t - 1]], m.unit_of[seq[t]]
+            p = soft((a @ (e @ w["v"])) @ w["o"] + m.bigram[prev])[m.class_of[u]]
+            total += np.log10(p) + (m.within[prev, u] + m.in_unit[seq[t]]) / np.log(10)
+        assert score == pytest.approx(total, rel=1e-3)
+
+
+def test_attention_beats_counts_of_words_and_of_pairs():
+    """Held-out texts of a language in which the word before last matters: pairs can't see it, attention can."""
+    r = np.random.default_rng(4)
+    words = ["cat", "dog", "sun", "moon", "tree", "stone"]
+
+    def text():
+        out = [0, 1]
+        while len(out) < 60:
+            out.append((out[-2] + 1) % 6 if r.random() < 0.9 else int(r.integers(6)))
+        return " ".join(words[k] for k in out)
+
+    seqs = [np.array(x) for x in pieces([text() for _ in range(400)])]
+    held = [np.array(x) for x in pieces([text() for _ in range(50)])]
+    m = trained_model(seqs, 24, 2)
+    score = lambda m: attention_lm.Score(None, 8).scores(m, np.concatenate(held), np.array(list(map(len, held)))).sum()
+    plain = attention_lm.replace(m, weights=m.weights | {"o": 0 * m.weights["o"]})
+    counts = Counter(x for s in seqs for x in s[1:])
+    base = sum(math.log10((counts[x] + 1) / (sum(counts.values()) + len(counts) + 1)) for s in held for x in s[1:])
+    assert score(m) > 0.9 * score(plain) and score(m) > 0.9 * base
+
+
 def test_attention_model_has_its_full_size(monkeypatch):
     counts = np.arange(attention_lm.VOCABULARY, 0, -1).astype(float)
     m = attention_lm.Model.fresh(counts, np.arange(attention_lm.VOCABULARY) % 2, 12, 3)
-    sizes = np.bincount(m.class_of, minlength=64)
-    assert len(sizes) == 64 and (sizes > 0).all() and (sizes[:48] == 1).all()
+    assert len(set(m.class_of[m.unit_of])) == 64 and (np.bincount(m.class_of[m.unit_of])[:48] == 1).all()
+    assert (np.bincount(m.unit_of)[:2016] == 1).all() and m.unit_of.max() < 2048
     steps = []
     monkeypatch.setattr(attention_lm.Model, "gradients", lambda self, x, *_: steps.append(len(x)) or {})
     m.trained(np.ones((192, 13), np.int64))
@@ -334,11 +398,18 @@ def test_attention_sums_to_one_and_gradients_are_right():
     r = np.random.default_rng(0)
     m = attention_lm.Model.fresh(r.integers(0, 9, attention_lm.VOCABULARY).astype(float), r.integers(0, 2, attention_lm.VOCABULARY), 12, 3)
     m.weights["o"] = r.normal(0, 0.3, m.weights["o"].shape).astype(np.float32)
-    x = r.integers(0, attention_lm.INPUTS, (2, 12))
+    x = r.integers(0, attention_lm.UNITS, (2, 12))
     ready = m.ready()
     p = sum(np.exp(ready.log_class(x, np.full(x.shape, c))) for c in range(attention_lm.CLASSES))
     assert np.allclose(p, 1, atol=1e-4)
-    assert np.isclose(sum(np.exp(m.in_class[m.class_of == c]).sum() for c in range(attention_lm.CLASSES)), len(set(m.class_of)))
+    assert np.isclose(np.exp(m.in_unit).sum(), len(set(m.unit_of)))
+    pairs = np.zeros((attention_lm.UNITS, attention_lm.UNITS))
+    pairs[5, :90] = r.integers(0, 4, 90)
+    m = m.counted(np.ones(attention_lm.VOCABULARY), pairs)
+    for prev in (5, 6):
+        of = np.bincount(m.class_of, np.exp(m.within[prev]), attention_lm.CLASSES)
+        assert np.allclose(of[of > 0], 1, atol=1e-3) and np.isclose(np.exp(m.bigram[prev]).sum(), 1, atol=1e-4)
+    ready = m.ready()
     y = r.integers(0, attention_lm.CLASSES, x.shape)
     loss = lambda: -m.ready().log_class(x, y).mean()
     g = m.gradients(x, y, np.ones(x.shape, bool))
