@@ -34,6 +34,11 @@ WORDS = r"[^\x20\x09-\x0D]+"
 NEXT_LINE = r"\n(?=[ \t\x0B\f\r]*[^ \t\x0B\f\r\n])"
 
 
+def lines_of(text: Column) -> Column:
+    """Lines with the blank ones behind them; a plain split where there are none."""
+    return F.when(F.rlike(text, F.lit(r"\n(?:[ \t\x0B\f\r\n]|\z)")), F.split(text, NEXT_LINE)).otherwise(F.split(text, "\n"))
+
+
 def once(value: Column, of) -> Column:
     """of(value), with value computed once: it is bound as a lambda's argument."""
     return F.get(F.transform(F.array(value), of), F.lit(0))
@@ -73,7 +78,7 @@ def line_dedup(docs: DataFrame, min_words: int = 50, spacing: int = 2, drop_empt
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_d"), F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_t"))
     # The lines are a column: within a lambda, an expression would be split anew for every line.
-    split = keyed.where("_t <> ''").select("_id", "_h", F.split("_t", NEXT_LINE).alias("_lines"))
+    split = keyed.where("_t <> ''").select("_id", "_h", lines_of(F.col("_t")).alias("_lines"))
     spans = cut(split.select("_id", "_h", F.explode(units(F.col("_lines"), min_words, spacing)).alias("u")).select("_id", "_h", "u.start", "u.n", "u.hash"), "lines")
     repeated = spans.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("hash")
     mine = spans.join(repeated, "hash", "left_semi").groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "n", "hash")).alias("_units"))
@@ -82,9 +87,10 @@ def line_dedup(docs: DataFrame, min_words: int = 50, spacing: int = 2, drop_empt
     # Texts travel once; documents without a repeated chunk pass from this table to the result.
     met = keyed.join(mine.select(F.col("_id").alias("_mid"), F.col("_h").alias("_mh"), "_units").hint("merge"), F.col("_id").eqNullSafe(F.col("_mid")) & (F.col("_h") == F.col("_mh")), "left").select("_d", "_id", "_h", "_units")
     met = cut(met, "texts").withColumn("_t", F.col("_d")[text_col].cast("string"))
-    held = met.where("_units is not null").select("_id", "_h", F.split("_t", NEXT_LINE).alias("_lines"), F.explode("_units").alias("u"))
-    chunk = F.array_join(F.slice("_lines", F.col("u.start") + 1, F.col("u.n")), "\n")
-    chunks = cut(held.select("_id", "_h", "u.start", "u.n", "u.hash", chunk.alias("chunk")), "chunks")
+    # Chunks are cut out before they become rows, so that no row carries its document's lines.
+    held = met.where("_units is not null").select("_id", "_h", "_units", lines_of(F.col("_t")).alias("_lines"))
+    cut_out = F.transform("_units", lambda u: F.struct(u["start"].alias("start"), u["n"].alias("n"), u["hash"].alias("hash"), F.array_join(F.slice("_lines", u["start"] + 1, u["n"]), "\n").alias("chunk")))
+    chunks = cut(held.select("_id", "_h", F.inline(cut_out)), "chunks")
     place = F.struct("_id", "_h", "start")
     firsts = cut(chunks.groupBy("hash", "n", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"), "firsts")
     often = firsts.where(F.octet_length("chunk") <= 4096).orderBy(F.desc("times"), "hash").limit(hot).select("hash", "n", "chunk", F.col("first").alias("_often"))
@@ -96,7 +102,7 @@ def line_dedup(docs: DataFrame, min_words: int = 50, spacing: int = 2, drop_empt
     with_units, without = met.where("_units is not null"), met.where("_units is null")
     out = with_units.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_h") == F.col("_gh")), "left").select("_d", "_t", "_gone")
     out = out.unionByName(without.select("_d", "_t", F.lit(None).cast("array<int>").alias("_gone")))
-    out = out.withColumn("_lines", F.split("_t", NEXT_LINE))
+    out = out.withColumn("_lines", lines_of(F.col("_t")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
     left = F.transform(kept, lambda i: F.get("_lines", i))
     changed = F.col("_gone").isNotNull()
