@@ -48,7 +48,7 @@ def less(a: Column | str, b: Column | str) -> Column:
     return both(a, b, F.least(col(a), col(b)))
 
 
-FUNCTIONS = {"abs": F.abs, "log": ln, "exp": F.exp, "sqrt": sqrt}
+FUNCTIONS = {"abs": F.abs, "log": ln, "exp": F.exp, "sqrt": sqrt, "sign": F.signum, "floor": F.floor, "ceil": F.ceil}
 COMPARE = {ast.Gt: "__gt__", ast.GtE: "__ge__", ast.Lt: "__lt__", ast.LtE: "__le__", ast.Eq: "__eq__", ast.NotEq: "__ne__"}
 
 
@@ -57,7 +57,9 @@ class FormulaError(ValueError):
 
 
 def names_in(formula: str) -> set[str]:
-    return {n.id for n in ast.walk(ast.parse(formula, mode="eval")) if isinstance(n, ast.Name)}
+    tree = ast.parse(formula, mode="eval")
+    called = {n.func for n in ast.walk(tree) if isinstance(n, ast.Call)}
+    return {n.id for n in ast.walk(tree) if isinstance(n, ast.Name) and n not in called}
 
 
 def compile_formula(formula: str, columns: list[str]) -> Column:
@@ -107,7 +109,10 @@ def compile_formula(formula: str, columns: list[str]) -> Column:
                 x, y = number(*walk(a)), number(*walk(b))
                 return F.coalesce(getattr(x, COMPARE[type(op)])(y), F.lit(False)), True
             case ast.Call(func=ast.Name(id=name), args=[x], keywords=[]) if name in FUNCTIONS:
-                return FUNCTIONS[name](number(*walk(x))), False
+                return FUNCTIONS[name](number(*walk(x))).cast("double"), False
+            case ast.Call(func=ast.Name(id="clip"), args=[x, lo, hi], keywords=[]):
+                c, low, high = (number(*walk(y)) for y in (x, lo, hi))
+                return F.when(c.isNotNull(), F.least(F.greatest(c, low), high)), False
         raise FormulaError(f"not allowed in a formula: {ast.unparse(n)}")
 
     try:

@@ -21,6 +21,12 @@ def reducer(action: str) -> Callable:
     return register
 
 
+def warm_up(action: str, params: dict) -> int:
+    """Trading days before a day that its features are made of."""
+    window = int(params.get("std_window", 20))
+    return {"minute_intraday_aggregate": window + int(params.get("pool") or window), "minute_pricejump_aggregate": window, "minute_smartmoney": int(params.get("lookback", 10)), "minute_apm_segments": 1}.get(action, 0)
+
+
 def dense(minutes: DataFrame) -> DataFrame:
     """Every entity's own dates by all minutes: frames count calendar rows, not trades."""
     slots = minutes.select("minute").distinct()

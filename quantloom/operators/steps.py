@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import operator
 
 import numpy as np
@@ -137,7 +138,7 @@ def row_correlate(df: DataFrame, a: list[str], b: list[str], output: str, method
 
 
 def cross_section_regress(df: DataFrame, y: str, xs: list[str], output: str, add_intercept: bool = True, date: str = "date", group: str | None = None, min_samples: int = 30) -> DataFrame:
-    """Least-squares residual within each date (and group). One regressor: window sums; more: one task a group."""
+    """Least-squares residual within each date (and group). One or two regressors: window sums; more: one task a group."""
     keys = [date, *([group] if group else [])]
     ok = functools.reduce(operator.and_, (F.col(c).isNotNull() for c in [y, *xs, *keys]))
     need = max(len(xs) + add_intercept + 5, min_samples)
@@ -150,6 +151,20 @@ def cross_section_regress(df: DataFrame, y: str, xs: list[str], output: str, add
         da, db = a - F.col("_ma"), b - F.col("_mb")
         beta = F.coalesce(div(F.sum(da * db).over(w), F.sum(da * da).over(w)), F.lit(0.0))
         return df.withColumn(output, F.when(ok & (F.col("_n") >= need), db - beta * da)).drop("_ma", "_mb", "_n")
+    if len(xs) == 2:
+        w = Window.partitionBy(*keys)
+        cols = {"_a": F.when(ok, F.col(xs[0]).cast("double")), "_b": F.when(ok, F.col(xs[1]).cast("double")), "_y": F.when(ok, F.col(y).cast("double"))}
+        df = df.withColumns(cols).withColumns({f"_m{n}": F.avg(n).over(w) if add_intercept else F.lit(0.0) for n in cols} | {"_n": F.count("_y").over(w)})
+        a, b, v = (F.col(n) - F.col(f"_m{n}") for n in cols)
+        s = {f"_{p}{q}": F.sum(x * z).over(w) for (p, x), (q, z) in itertools.combinations_with_replacement((("a", a), ("b", b), ("v", v)), 2)}
+        df = df.withColumns(s)
+        aa, ab, av, bb, bv = (F.col(f"_{n}") for n in ("aa", "ab", "av", "bb", "bv"))
+        det = aa * bb - ab * ab
+        alone = F.when(aa > 0, div(av, aa)).otherwise(F.lit(0.0)), F.when(aa > 0, F.lit(0.0)).otherwise(F.coalesce(div(bv, bb), F.lit(0.0)))
+        # Regressors that are multiples of each other explain what one of them does.
+        apart = det > 1e-12 * aa * bb
+        p, q = F.when(apart, (av * bb - bv * ab) / det).otherwise(alone[0]), F.when(apart, (bv * aa - av * ab) / det).otherwise(alone[1])
+        return df.withColumn(output, F.when(ok & (F.col("_n") >= need), v - p * a - q * b)).drop(*cols, *(f"_m{n}" for n in cols), *s, "_n")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{output}` double"
 
     def residual(rows: pd.DataFrame) -> pd.DataFrame:
@@ -212,3 +227,17 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str | Column]) -> Data
     """One row a key, the last in order."""
     newest = [col(c).desc() for c in order]
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))).where("_rn = 1").drop("_rn")
+
+
+def pct_change(df: DataFrame, source: str, output: str, periods: int = 1, pad: bool = False, entity: str = "entity", date: str = "date") -> DataFrame:
+    """Change against so many rows before; pad: missing values are those before them, on both sides."""
+    w = series(entity, date)
+    x = F.last(source, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) if pad else F.col(source)
+    df = df.withColumn("_x", x)
+    return df.withColumn(output, div("_x", F.lag("_x", periods).over(w)) - 1).drop("_x")
+
+
+def recode(df: DataFrame, source: str, mapping: dict, output: str) -> DataFrame:
+    """Values by a map; keys that it lacks give NULL."""
+    of = F.create_map(*(F.lit(x) for pair in mapping.items() for x in pair))
+    return df.withColumn(output, F.try_element_at(of, F.col(source)))

@@ -10,10 +10,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import names_in
 from ..operators import events, minute, steps
+from ..sources import tables
 
 KEYS = {"entity", "date"}
 
@@ -26,12 +28,22 @@ class SpecError(ValueError):
 class Context:
     """tables: what can be fetched, by name; frames: what steps have made, `data` being the result's."""
 
+    #: `minutes`, `factors` (entity, date, cum_factor), `calendar` (date) and `index_series` (by date) are used where given.
     tables: dict[str, DataFrame]
     universe: DataFrame | None = None
     start: str | None = None
     end: str | None = None
+    #: what a specification calls the key columns, e.g. {"code": "entity"}
+    aliases: dict[str, str] = field(default_factory=dict)
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
+    def between(self, df: DataFrame, start: str | None = None) -> DataFrame:
+        """Rows of the asked dates and entities; one bound may be missing."""
+        for bound, op in ((start or self.start, "__ge__"), (self.end, "__le__")):
+            if bound:
+                df = df.where(getattr(F.col("date"), op)(F.lit(bound).cast("date")))
+        return df if self.universe is None else df.join(F.broadcast(self.universe.select("entity").distinct()), "entity", "left_semi")
+
 
 Op = Callable[[Context, dict[str, Any]], None]
 ACTIONS: dict[str, tuple[Op, Callable[[dict, dict[str, set[str]]], None]]] = {}
@@ -57,19 +69,34 @@ def sources(step: dict) -> list[str]:
     return found
 
 
+def as_list(x: str | list[str] | None) -> list[str]:
+    return [] if x is None else [x] if isinstance(x, str) else list(x)
+
+
+def renamed(x: Any, aliases: dict[str, str]) -> Any:
+    """A specification with its own names of the key columns replaced."""
+    if isinstance(x, dict):
+        return {k: renamed(v, aliases) for k, v in x.items()}
+    return [renamed(v, aliases) for v in x] if isinstance(x, list) else aliases.get(x, x) if isinstance(x, str) else x
+
+
 def require(step: dict, *names: str) -> None:
     for n in names:
         if n not in step or step[n] in (None, [], ""):
             raise SpecError(f"{step.get('action')}: {n} is missing")
 
 
-def check_step(*names: str) -> Callable[[dict, dict[str, set[str]]], None]:
+def check_step(*names: str, by_date: bool = False, makes: bool = False) -> Callable[[dict, dict[str, set[str]]], None]:
     def check(step: dict, known: dict[str, set[str]]) -> None:
         require(step, *names)
+        if makes:
+            known.setdefault(target(step), set(KEYS))
         if target(step) not in known:
             raise SpecError(f"{step['action']}: no frame {target(step)}")
         columns = known[target(step)]
-        if missing := [c for c in sources(step) if c not in columns]:
+        named = [*sources(step), *as_list(step.get("group_by")), *as_list(step.get("change_on")), *(names_in(step["condition"]) if "condition" in step else ())]
+        # Index series may come by date from a table of their own.
+        if missing := [c for c in named if c not in columns and not (by_date and c in as_list(step.get("index_col_seg1")) + as_list(step.get("index_col_seg2")))]:
             raise SpecError(f"{step['action']}: no columns {missing} yet")
         if out := step.get("output_column"):
             if out in columns:
@@ -80,6 +107,11 @@ def check_step(*names: str) -> Callable[[dict, dict[str, set[str]]], None]:
 
 
 def check_fetch(step: dict, known: dict[str, set[str]]) -> None:
+    if step.get("api", "get_factor") not in APIS:
+        raise SpecError(f"fetch: no api {step['api']}")
+    if step.get("api") == "custom":
+        require(step, "command", "output_column")
+        step = step | {"fields": [step["output_column"]]}
     require(step, "fields")
     if ("output_column" in step) == ("output_columns" in step):
         raise SpecError("fetch: either output_column or output_columns")
@@ -110,7 +142,8 @@ def check_minute(step: dict, known: dict[str, set[str]]) -> None:
     columns |= set(step["features"])
 
 
-def validate(spec: dict) -> dict:
+def validate(spec: dict, aliases: dict[str, str] | None = None) -> dict:
+    spec = renamed(spec, aliases or {})
     factor, todo = spec.get("factor") or {}, spec.get("calculation_steps") or []
     for n in ("name", "column"):
         if not factor.get(n):
@@ -137,21 +170,41 @@ def output_names(step: dict) -> dict[str, str]:
 
 def run(spec: dict, ctx: Context) -> DataFrame:
     """entity, date and the factor's column."""
-    for step in validate(spec)["calculation_steps"]:
+    for step in (spec := validate(spec, ctx.aliases))["calculation_steps"]:
         ACTIONS[step["action"]][0](ctx, step)
     return ctx.frames["data"].select("entity", "date", spec["factor"]["column"])
 
 
+def daily_fields(ctx: Context, step: dict) -> DataFrame:
+    """A table's fields for the asked dates, or for one date."""
+    df = ctx.tables[step.get("table", "daily")]
+    return ctx.between(df) if "date" not in step else ctx.between(df.where(F.col("date") == F.lit(step["date"]).cast("date")))
+
+
+def quarters(ctx: Context, step: dict) -> DataFrame:
+    """Reports by quarter, as of their info date: of each quarter the last version, or all."""
+    df = ctx.between(ctx.tables[step.get("table", "financials")])
+    for bound, op in (("start_quarter", "__ge__"), ("end_quarter", "__le__")):
+        if bound in step:
+            df = df.where(getattr(F.col("quarter"), op)(step[bound]))
+    return df if step.get("statements", "latest") == "all" else steps.keep_last(df, ["entity", "quarter"], ["info_date"])
+
+
+def intervals(ctx: Context, step: dict) -> DataFrame:
+    """A table of interval starts (entity, date, value) as the value of every day on which the entity has a row."""
+    days = ctx.between(ctx.tables[step.get("table", "daily")].select("entity", "date").distinct())
+    events = ctx.tables[step["command"]]
+    return tables.intervals_to_daily(days, events.select("entity", "date", F.col("value").alias(step["output_column"])), step["output_column"])
+
+
+APIS = {"get_factor": daily_fields, "get_pit_financials_ex": quarters, "custom": intervals}
+
+
 @register("fetch", check_fetch)
 def fetch(ctx: Context, step: dict) -> None:
-    df = ctx.tables[step.get("table", "daily")]
-    if ctx.start and ctx.end:
-        df = df.where(F.col("date").between(F.lit(ctx.start).cast("date"), F.lit(ctx.end).cast("date")))
-    if ctx.universe is not None:
-        df = df.join(ctx.universe.select("entity").distinct(), "entity", "left_semi")
-    if step.get("statements") == "latest" and "info_date" in df.columns:
-        df = steps.keep_last(df, ["entity", "quarter"], ["info_date"])
-    ctx.frames[target(step)] = df.select("entity", "date", *(F.col(a).alias(b) for a, b in output_names(step).items()), *step.get("keep", ()))
+    df = APIS[step.get("api", "get_factor")](ctx, step)
+    names = {step["output_column"]: step["output_column"]} if step.get("api") == "custom" else output_names(step)
+    ctx.frames[target(step)] = df.select("entity", "date", *(F.col(a).alias(b) for a, b in names.items()), *step.get("keep", ()))
 
 
 def simple(name: str, fn: Callable[..., DataFrame], needs: tuple[str, ...], rename: dict[str, str]) -> None:
@@ -159,7 +212,7 @@ def simple(name: str, fn: Callable[..., DataFrame], needs: tuple[str, ...], rena
 
     @register(name, check_step(*needs))
     def op(ctx: Context, step: dict) -> None:
-        args = {rename.get(k, k): v for k, v in step.items() if k not in ("action", "output_dataframe")}
+        args = {rename.get(k, k): v for k, v in step.items() if k not in ("action", "name", "output_dataframe")}
         ctx.frames[target(step)] = fn(ctx.frames[target(step)], **args)
 
 
@@ -173,7 +226,14 @@ simple("row_aggregate", steps.row_aggregate, ("source_columns", "output_column",
 simple("row_polyfit", steps.row_polyfit, ("source_columns_y", "coefficient", "output_column"), OUT | {"source_columns_y": "sources"})
 simple("row_correlate", steps.row_correlate, ("source_columns_a", "source_columns_b", "output_column"), OUT | {"source_columns_a": "a", "source_columns_b": "b"})
 simple("cross_section_regress", steps.cross_section_regress, ("source_column_y", "source_columns_x", "output_column"), OUT | {"source_column_y": "y", "source_columns_x": "xs", "date_column": "date", "group_column": "group"})
-simple("rolling_ts_regress", steps.rolling_ts_regress, ("source_column_seg1", "source_column_seg2", "index_col_seg1", "index_col_seg2", "output_column"), OUT | {"source_column_seg1": "seg1", "source_column_seg2": "seg2", "index_col_seg1": "index1", "index_col_seg2": "index2"})
+@register("rolling_ts_regress", check_step("source_column_seg1", "source_column_seg2", "index_col_seg1", "index_col_seg2", "output_column", by_date=True))
+def rolling_ts_regress(ctx: Context, step: dict) -> None:
+    df = ctx.frames[target(step)]
+    if by_date := [c for c in (step["index_col_seg1"], step["index_col_seg2"]) if c not in df.columns]:
+        # One row a date.
+        df = df.join(F.broadcast(ctx.tables["index_series"].select("date", *by_date)), "date", "left")
+    args = {k: step[k] for k in ("window", "min_obs", "group_by") if k in step}
+    ctx.frames[target(step)] = steps.rolling_ts_regress(df, step["source_column_seg1"], step["source_column_seg2"], step["index_col_seg1"], step["index_col_seg2"], step["output_column"], **args).drop(*by_date)
 
 
 @register("merge", check_merge)
@@ -188,19 +248,39 @@ def load_panel(ctx: Context, step: dict) -> None:
     ctx.frames[target(step)] = steps.merge(ctx.frames[target(step)], panel, ["entity", "date"], [step["output_column"]])
 
 
-@register("industry_co_momentum", check_step("sub_factor", "signal_source", "output_column"))
+@register("industry_co_momentum", check_step("sub_factor", "signal_source", "output_column", makes=True))
 def industry_co_momentum(ctx: Context, step: dict) -> None:
+    """On the frame there is, or on the table `returns` (entity, date, ret, amount and what the signal is keyed by)."""
     signal = ctx.tables[step["signal_source"]]
-    df = ctx.frames[target(step)].join(signal, [c for c in ("entity", "date") if c in signal.columns], "left")
+    df = ctx.frames[target(step)] if target(step) in ctx.frames else ctx.between(ctx.tables["returns"])
+    df = df.join(signal, [c for c in signal.columns if c in df.columns], "left")
     args = {k: step[k] for k in ("window", "n_mom", "n_rev") if k in step}
     ctx.frames[target(step)] = events.co_momentum(df, step["sub_factor"], step["output_column"], **args)
 
 
+def minute_window(ctx: Context, warm_up: int) -> DataFrame:
+    """Minutes of the asked dates and entities, `warm_up` trading days before them included, prices adjusted."""
+    df = ctx.tables["minutes"]
+    df = ctx.between(df) if not ctx.start else ctx.between(df, "0001-01-01")
+    if ctx.start:
+        calendar = ctx.tables["calendar"] if "calendar" in ctx.tables else df.select("date").distinct()
+        ahead = F.row_number().over(Window.orderBy(F.desc("date")))
+        # One row a trading day before the start.
+        first = calendar.where(F.col("date") < F.lit(ctx.start).cast("date")).withColumn("_k", ahead).where(F.col("_k") <= warm_up).select("date")
+        after = calendar.where(F.col("date") >= F.lit(ctx.start).cast("date")).select("date")
+        df = df.join(F.broadcast(first.unionByName(after).distinct()), "date", "left_semi")
+    if "factors" in ctx.tables:
+        df = tables.adjusted(df, ctx.tables["factors"], ["open", "high", "low", "close"], "volume")
+        df = df.drop("cum_factor")
+    return df
+
+
 def minute_step(name: str) -> None:
     @register(name, check_minute)
     def op(ctx: Context, step: dict) -> None:
-        args = {k: v for k, v in step.items() if k not in ("action", "output_dataframe", "cache_key", "features")}
-        made = minute.reduce_minutes(ctx.tables["minutes"], name, step["features"], **args)
+        args = {k: v for k, v in step.items() if k not in ("action", "name", "output_dataframe", "cache_key", "features")}
+        made = minute.reduce_minutes(minute_window(ctx, minute.warm_up(name, args)), name, step["features"], **args)
+        made = ctx.between(made)
         have = ctx.frames.get(target(step))
         ctx.frames[target(step)] = made if have is None else have.join(made, ["entity", "date"], "left")
 
