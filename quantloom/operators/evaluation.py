@@ -17,10 +17,18 @@ def grid(df: DataFrame, entity: str = "entity", date: str = "date") -> DataFrame
 
 
 def masks(flags: DataFrame) -> DataFrame:
-    """pre: usable on the next day's flags; post: not at its limit. Flags are read one row ahead."""
-    ahead = lambda c: F.lead(F.coalesce(F.col(c), F.lit(False)), 1, False).over(series())
-    st, suspended, new, limit = (ahead(c) for c in ("is_st", "is_suspended", "is_new_stock", "is_limit_up"))
-    return flags.select("entity", "date", (~(st | suspended | new)).alias("pre"), (~limit).alias("post"))
+    """pre: usable on the next day's flags; post: not at its limit. Flags are read one calendar day ahead.
+
+    A day on which an entity has no row has no flags; neither has the day after the last.
+    """
+    names = ("is_st", "is_suspended", "is_new_stock", "is_limit_up")
+    days = flags.select("date").distinct()
+    # The calendar: one row a date.
+    before = days.withColumn("_before", F.lag("date").over(Window.orderBy("date")))
+    ahead = flags.join(F.broadcast(before), "date").select("entity", F.col("_before").alias("date"), *(F.coalesce(F.col(c), F.lit(False)).alias(f"_{c}") for c in names))
+    df = flags.select("entity", "date").join(ahead, ["entity", "date"], "left")
+    st, suspended, new, limit = (F.coalesce(F.col(f"_{c}"), F.lit(False)) for c in names)
+    return df.select("entity", "date", (~(st | suspended | new)).alias("pre"), (~limit).alias("post"))
 
 
 def prepare_factor(factor: DataFrame, mask: DataFrame, source: str = "x", output: str = "cleaned", n: float = 3.0) -> DataFrame:
@@ -154,3 +162,107 @@ def split_segments(df: DataFrame, train_end: str, valid_end: str, embargo_months
     d = F.col("date")
     after = lambda x: F.add_months(F.lit(x).cast("date"), embargo_months)
     return df.withColumn("segment", F.when(d <= F.lit(train_end).cast("date"), "train").when((d > after(train_end)) & (d <= F.lit(valid_end).cast("date")), "valid").when(d > after(valid_end), "test"))
+
+
+def layer_paths(held: DataFrame, groups: int = 5) -> DataFrame:
+    """date, layer, ret, nav: each layer's running product, and that of top less bottom (layer -1)."""
+    spread = held.where(F.col("layer").isin(0, groups - 1)).groupBy("date").agg((F.max(F.when(F.col("layer") == groups - 1, F.col("ret"))) - F.max(F.when(F.col("layer") == 0, F.col("ret")))).alias("ret")).select("date", F.lit(-1).alias("layer"), "ret")
+    every = held.select("date", "layer", "ret").unionByName(spread)
+    # One row a date and layer.
+    w = Window.partitionBy("layer").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    return every.withColumn("nav", F.product(1 + F.coalesce("ret", F.lit(0.0))).over(w))
+
+
+def monotonicity(stats: DataFrame) -> DataFrame:
+    """Correlation of the layers' numbers with their annual returns, one row."""
+    return stats.where("layer >= 0").agg(F.corr(F.col("layer").cast("double"), "ann_return").alias("monotonicity"))
+
+
+def cumulative_ic(ics: DataFrame, groups: list[str]) -> DataFrame:
+    """The series with its running sum and its mean by year."""
+    w = Window.partitionBy(*groups).orderBy("date") if groups else Window.orderBy("date")
+    year = Window.partitionBy(*groups, F.year("date"))
+    return ics.withColumn("ic_total", F.sum("ic").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("ic_year", F.avg("ic").over(year))
+
+
+def direction(ics: DataFrame, groups: list[str]) -> DataFrame:
+    """1, or -1 where the mean coefficient is negative."""
+    return ics.groupBy(*groups).agg(F.avg("ic").alias("ic_mean")).select(*groups, F.when(F.col("ic_mean") < 0, -1).otherwise(1).alias("direction"))
+
+
+def flipped(factor: DataFrame, ics: DataFrame, source: str, output: str, groups: list[str] | None = None) -> DataFrame:
+    """The factor times its direction; one row a group is broadcast."""
+    d = direction(ics, groups or [])
+    on = factor.crossJoin(F.broadcast(d)) if not groups else factor.join(F.broadcast(d), groups)
+    return on.withColumn(output, F.col(source) * F.col("direction")).drop("direction")
+
+
+def evaluate_factor(factor: DataFrame, mask: DataFrame, prices: DataFrame, styles: DataFrame, horizons: tuple[int, ...] = (5, 10, 20), source: str = "x", min_samples: int = 30) -> DataFrame:
+    """One row a variant (cleaned, neutral) and horizon: direction and the summary of the flipped series.
+
+    styles: entity, date, size, industry. Both variants go through the same jobs, told apart by a column.
+    """
+    cleaned = prepare_factor(factor, mask, source).select("entity", "date", "cleaned")
+    both = neutralize(cleaned.join(styles, ["entity", "date"], "left"), "cleaned", "size", "industry", min_samples=min_samples)
+    long = both.unpivot(["entity", "date"], ["cleaned", "neutral"], "variant", "value").where("value is not null")
+    ics = ic_series(long.join(forward_returns(prices, list(horizons)), ["entity", "date"]), "value", "ret", ["variant", "horizon", "date"])
+    way = direction(ics, ["variant", "horizon"])
+    signed = ics.join(F.broadcast(way), ["variant", "horizon"]).withColumn("ic", F.col("ic") * F.col("direction"))
+    return ic_summary(signed, ["variant", "horizon", "direction"])
+
+
+def inventory(long: DataFrame, prices: DataFrame, horizons: tuple[int, ...] = (5, 10, 20), joint: bool = True) -> DataFrame:
+    """Per factor and horizon: dates, first and last day, mean, deviation and ratio of its coefficients; one job for all factors."""
+    on = long.join(forward_returns(prices, list(horizons)), ["entity", "date"])
+    ics = ic_series(on, "value", "ret", ["factor", "horizon", "date"], joint, 3)
+    return ics.groupBy("factor", "horizon").agg(F.count("ic").alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.avg("ic").alias("ic_mean"), F.stddev_pop("ic").alias("ic_std")).withColumn("icir", div("ic_mean", "ic_std"))
+
+
+def coverage(df: DataFrame, columns: list[str], groups: list[str] | None = None) -> DataFrame:
+    """Rows, present values and the share of missing ones of each column (a row a column)."""
+    x = F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).isNotNull().alias("there")) for c in columns)))
+    g = df.select(*(groups or []), x).groupBy(*(groups or []), "column")
+    return g.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("there").cast("long")).alias("n_present"), F.avg((~F.col("there")).cast("double")).alias("missing"))
+
+
+def month_ends(df: DataFrame, entity: str | None = "entity") -> DataFrame:
+    """Rows of the last date of each month that the entity (or, with None, the table) has."""
+    keys = [entity] if entity else []
+    last = df.groupBy(*keys, F.trunc("date", "month").alias("_m")).agg(F.max("date").alias("date")).drop("_m")
+    return df.join(last if entity else F.broadcast(last), [*keys, "date"], "left_semi")
+
+
+def next_month_return(prices: DataFrame, price: str = "close") -> DataFrame:
+    """Month-end prices with the return to the entity's next month-end."""
+    w = Window.partitionBy("entity").orderBy("date")
+    return month_ends(prices).withColumn("ret", div(F.lead(price).over(w), price) - 1)
+
+
+def monthly_rank_ic(df: DataFrame, factor: str, ret: str, least: int = 2) -> DataFrame:
+    """Month-end rank correlations, one row: months, mean, ratio times the root of 12, share above zero."""
+    s = ic_series(df, factor, ret, ["date"], True, least).where("ic is not null")
+    return s.agg(F.count("ic").alias("months"), F.avg("ic").alias("ic_mean"), (div(F.avg("ic"), F.stddev_samp("ic")) * float(np.sqrt(12))).alias("icir_year"), F.avg((F.col("ic") > 0).cast("double")).alias("hit_rate"))
+
+
+def monthly_neutral(df: DataFrame, y: str, size: str, industry: str, least: int = 100, output: str = "neutral") -> DataFrame:
+    """Neutralised at month ends that have at least `least` entities; other dates go."""
+    return neutralize(month_ends(df, None), y, size, industry, output, least).where(F.col(output).isNotNull())
+
+
+def ic_correlation(ics: DataFrame) -> DataFrame:
+    """Pearson correlation of daily coefficient series (factor, date, ic), all pairs f1 < f2 over common dates."""
+    return factor_correlation(ics.select(F.lit(0).alias("entity"), "date", "factor", F.col("ic").alias("value")), centred=True)
+
+
+def block_means(rho: DataFrame, groups: DataFrame) -> DataFrame:
+    """Mean correlation within and between groups of factors (factor, grp), each unordered pair of groups once."""
+    a, b = (groups.select(F.col("factor").alias(f), F.col("grp").alias(g)) for f, g in (("f1", "ga"), ("f2", "gb")))
+    # A few hundred factors.
+    on = rho.join(F.broadcast(a), "f1").join(F.broadcast(b), "f2")
+    return on.groupBy(F.least("ga", "gb").alias("g1"), F.greatest("ga", "gb").alias("g2")).agg(F.count("rho").alias("n_pairs"), F.avg("rho").alias("mean_rho"), F.sum((F.abs("rho") > 0.6).cast("long")).alias("n_high"))
+
+
+def representatives(clusters: DataFrame, summary: DataFrame) -> DataFrame:
+    """Of each cluster (factor, cluster) the factor of the highest absolute ratio; ties to the first name."""
+    best = Window.partitionBy("cluster").orderBy(F.abs("icir").desc_nulls_last(), "factor")
+    return clusters.join(summary.select("factor", "icir"), "factor").withColumn("_k", F.row_number().over(best)).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("cluster"))).where("_k = 1").select("cluster", "factor", "icir", "size")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import div
-from .steps import as_of, keep_last, trailing
+from ..functions.expr import div, ln
+from .steps import as_of, cross_section_regress, keep_last, trailing
 
 
 def forward_profit(date: Column, report_year: Column, t1: Column, t2: Column, t3: Column) -> Column:
@@ -64,6 +64,49 @@ def lead_counts(days: DataFrame, events: DataFrame, width: int = 90) -> DataFram
     return seen.groupBy("entity", "date").agg(F.countDistinct("lead").alias("leads"))
 
 
+def filled_counts(days: DataFrame, events: DataFrame, width: int = 90) -> DataFrame:
+    """Counts at month ends, carried to the entity's days up to its last month end."""
+    counts = lead_counts(days, events, width)
+    end = counts.groupBy("entity").agg(F.max("date").alias("_end"))
+    return as_of(days.join(end, "entity"), counts, "leads").where((F.col("date") <= F.col("_end")) & F.col("leads").isNotNull()).drop("_end")
+
+
+def revision_panel(days: DataFrame, snaps: DataFrame, lookback: int = 180, ahead: int = 1) -> DataFrame:
+    """Daily views of a fiscal year's snapshots (year), each while it is that year: from May to April.
+
+    ahead 1 is the first fiscal year not reported yet, 2 the one after. Views expire after the look-back.
+    """
+    d = days.withColumn("year", F.year("date") - F.when(F.month("date") < 5, 1).otherwise(0) + (ahead - 1))
+    keyed = lambda df: df.withColumn("_key", F.struct("entity", "year"))
+    s = keyed(snaps).withColumn("_e", F.struct(F.col("date").alias("d"), F.col("view").alias("v"))).select("_key", "date", "_e")
+    on = as_of(keyed(d), s, "_e", entity="_key")
+    return on.select("entity", "date", "year", F.when(F.datediff(F.col("date"), F.col("_e.d")) < lookback, F.col("_e.v")).alias("view")).where("view is not null")
+
+
+def this_year_profit(date: Column, report_year: Column, t1: Column, t2: Column, t3: Column) -> Column:
+    """The forecast of the calendar year itself, where it is positive."""
+    off = F.year(date) - report_year
+    value = F.when(off == 1, t1).when(off == 2, t2).when(off == 3, t3)
+    return F.when(value > 0, value)
+
+
+def price_to_forecast(df: DataFrame, cap: str, profit: Column, output: str, unit: float = 1e8) -> DataFrame:
+    """Market value (in units) over a positive forecast profit."""
+    return df.withColumn(output, F.when(profit > 0, F.col(cap) * unit / profit))
+
+
+def change_of_log(df: DataFrame, source: str, output: str, periods: int = 60) -> DataFrame:
+    w = Window.partitionBy("entity").orderBy("date")
+    x = ln(F.col(source))
+    return df.withColumn("_x", x).withColumn(output, F.col("_x") - F.lag("_x", periods).over(w)).drop("_x")
+
+
+def duration_adjusted(df: DataFrame, value: str, years: str, output: str, periods: int = 60, min_samples: int = 30) -> DataFrame:
+    """Residual of a ratio's change on that of the forecasts' duration, by date."""
+    df = change_of_log(change_of_log(df, value, "_dv", periods), years, "_dd", periods)
+    return cross_section_regress(df, "_dv", ["_dd"], output, min_samples=min_samples).drop("_dv", "_dd")
+
+
 def duration(n1: Column, n2: Column, n3: Column) -> Column:
     return div(n1 + 2 * n2 + 3 * n3, n1 + n2 + n3)
 

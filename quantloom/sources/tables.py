@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import clean
@@ -63,10 +64,127 @@ def write_partitioned(df: DataFrame, path: str, by: str = "date") -> None:
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def write_signal(ranked: DataFrame, path: str) -> None:
-    """Text, a line `date_code` each, by date and position."""
-    line = F.concat_ws("_", F.date_format("date", "yyyy-MM-dd"), F.col("entity").cast("string"))
-    ranked.select("date", "position", line.alias("value")).repartition("date").sortWithinPartitions("date", "position").select("value").write.text(path)
+def write_signal(ranked: DataFrame, path: str, merged: bool = False) -> None:
+    """Text, a line `date_code` each, by date and position: a folder of one file a day, or one range-ordered set of files."""
+    day = F.date_format("date", "yyyy-MM-dd")
+    rows = ranked.select("date", "position", day.alias("day"), F.concat_ws("_", day, F.col("entity").cast("string")).alias("value"))
+    if merged:
+        rows.repartitionByRange("date", "position").sortWithinPartitions("date", "position").select("value").write.mode("overwrite").text(path)
+    else:
+        rows.repartition("day").sortWithinPartitions("day", "position").select("day", "value").write.mode("overwrite").partitionBy("day").text(path)
+
+
+def write_panel(panel: DataFrame, root: str, stage: str, source: str, group: str, factor: str, value: str = "value", skip_existing: bool = False) -> bool:
+    """One factor's panel (or its cleaned or neutral stage) as entity, date, value; tells whether it was written."""
+    path = f"{root.rstrip('/')}/stage={stage}/source={source}/grp={group}/factor={factor}"
+    if skip_existing and read_if_there(panel.sparkSession, path) is not None:
+        return False
+    panel.select("entity", "date", F.col(value).cast("double").alias("value")).where("value is not null").write.mode("overwrite").parquet(path)
+    return True
+
+
+def read_panels(spark: SparkSession, root: str, like: str = "%", stage: str = "raw") -> DataFrame:
+    """Long table of all factors whose name matches: partition columns are the catalogue."""
+    return spark.read.parquet(root).where((F.col("stage") == stage) & F.col("factor").like(like)).select("entity", "date", "factor", "value")
+
+
+def discover(spark: SparkSession, root: str, like: str = "%") -> DataFrame:
+    """stage, source, grp, factor of what is stored, from the folders' names."""
+    return spark.read.parquet(root).where(F.col("factor").like(like)).select("stage", "source", "grp", "factor").distinct()
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def labels_or(spark: SparkSession, path: str, make) -> DataFrame:
+    """A stored label table, or the one that `make()` computes."""
+    found = read_if_there(spark, path)
+    return make() if found is None else found
+
+
+def write_days(df: DataFrame, path: str, skip_existing: bool = True) -> None:
+    """A folder a day; days that are stored already aren't written again. Spark's committer makes each write whole or none."""
+    stored = read_if_there(df.sparkSession, path) if skip_existing else None
+    new = df if stored is None else df.join(F.broadcast(stored.select(F.col("date").cast("date").alias("date")).distinct()), "date", "left_anti")
+    new.repartition("date").write.mode("append").partitionBy("date").parquet(path)
+
+
+def write_report(df: DataFrame, path: str, kind: str = "csv", stamp: str | None = None) -> None:
+    """csv (four decimals) or json; with a stamp, a new folder for each run, of which `latest` reads the newest."""
+    rounded = df.select(*(F.format_number(c, 4).alias(c) if kind == "csv" and t in ("double", "float") else F.col(c) for c, t in df.dtypes))
+    out = rounded.write.mode("overwrite")
+    target = f"{path.rstrip('/')}/stamp={stamp}" if stamp else path
+    out.option("header", True).csv(target) if kind == "csv" else out.json(target)
+
+
+def latest(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
+    every = spark.read.option("header", True).csv(path) if kind == "csv" else spark.read.json(path)
+    return every.join(F.broadcast(every.agg(F.max("stamp").alias("stamp"))), "stamp", "left_semi").drop("stamp")
+
+
+def universe(members: DataFrame, index: str | None = None) -> DataFrame:
+    """Entities of one index, or all."""
+    return (members if index is None or index == "ALL" else members.where(F.col("index_id") == index)).select("entity").distinct()
+
+
+def calendar(rows: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Trading days: the distinct dates of a table, numbered from 0."""
+    days = rows.select("date").distinct()
+    for bound, op in ((start, "__ge__"), (end, "__le__")):
+        days = days if bound is None else days.where(getattr(F.col("date"), op)(F.lit(bound).cast("date")))
+    return days.withColumn("place", F.row_number().over(Window.orderBy("date")) - 1)
+
+
+def lookup(rows: DataFrame, wide: DataFrame, key: str, output: str, by: str = "date", aliases: dict[str, str] | None = None) -> DataFrame:
+    """The value of the column of `wide` that a row's key names, on the row's date; aliases are further names of columns."""
+    names = [c for c in wide.columns if c != by]
+    long = wide.unpivot(by, names, "_k", output)
+    for other, name in (aliases or {}).items():
+        long = long.unionByName(wide.select(by, F.lit(other).alias("_k"), F.col(name).alias(output)))
+    return rows.join(long.withColumnRenamed("_k", key), [by, key], "left")
+
+
+def by_date(rows: DataFrame, series: DataFrame) -> DataFrame:
+    """A date's series values on every row of it; one row a date is broadcast."""
+    return rows.join(F.broadcast(series), "date", "left")
+
+
+def last_value(rows: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
+    """One row a cell, its last value in order."""
+    return rows.groupBy(*keys).agg(F.max_by(value, order).alias(value))
+
+
+def index_of(a: DataFrame, b: DataFrame, how: str, keys: tuple[str, ...] = ("entity", "date")) -> DataFrame:
+    """Union, intersection or difference of two tables' keys."""
+    x, y = a.select(*keys), b.select(*keys)
+    return {"union": lambda: x.union(y).distinct(), "intersection": lambda: x.intersect(y), "difference": lambda: x.subtract(y)}[how]()
+
+
+def sampled(df: DataFrame, keys: list[str], share: float, seed: int = 0) -> DataFrame:
+    """The same rows at every call and partitioning: those whose keys hash below the share."""
+    return df.where(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def batches(fetch, ids: list[str], spark: SparkSession, schema: str, size: int = 500) -> DataFrame:
+    """A remote source read by batches of ids, one task each: fetch(ids) gives pandas rows.
+
+    A failing batch fails its task, which Spark runs again, and after that the whole job: no part of it is returned.
+    """
+    groups = [ids[i : i + size] for i in range(0, len(ids), size)]
+    todo = spark.createDataFrame([(g,) for g in groups], "ids array<string>").repartition(max(1, len(groups)))
+
+    def read(parts):
+        for part in parts:
+            for some in part["ids"]:
+                yield fetch(list(some))
+
+    return todo.mapInPandas(read, schema)
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,27 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.steps import keep_last
+from ..sources.tables import read_if_there
 
-def refresh(spark: SparkSession, raw: str, cache: str, reduce: Callable[[DataFrame], DataFrame], warm_up: int, schema: StructType) -> None:
-    """Reduces the days after the cache's last, with `warm_up` days before them as context only."""
+
+def refresh(spark: SparkSession, raw: str, cache: str, reduce: Callable[[DataFrame], DataFrame], warm_up: int, schema: StructType, provisional: int = 0, chunk_days: int | None = None) -> None:
+    """Appends what the cache lacks. Every entity has a frontier of its own: its last stored day, less `provisional` days.
+
+    An entity's rows after its frontier are reduced with its own `warm_up` days before them; an entity without
+    stored days, late or new, is reduced from its first day. Provisional days (labels that still mature) are
+    reduced again and replace what was stored when read by `current`. Chunks bound a job's days.
+    """
+    minutes = spark.read.schema(schema).parquet(raw)
+    stored = read_if_there(spark, cache)
+    own = minutes.select("entity", "date").distinct()
+    newest = Window.partitionBy("entity").orderBy(F.desc("date"))
+    if stored is None:
+        frontier, load = own.select("entity").distinct().withColumn("frontier", F.lit(None).cast("date")), 0
+    else:
+        kept = stored.select("entity", "date").distinct().withColumn("_k", F.row_number().over(newest)).where(F.col("_k") == provisional + 1)
+        frontier = own.select("entity").distinct().join(kept.select("entity", F.col("date").alias("frontier")), "entity", "left")
+        load = (stored.agg(F.max("load_seq")).first()[0] or 0) + 1
+    days = own.join(frontier, "entity").withColumn("_place", F.row_number().over(Window.partitionBy("entity").orderBy("date")))
+    days = days.withColumn("_new", F.col("frontier").isNull() | (F.col("date") > F.col("frontier"))).cache()
+    todo = [r.date for r in days.where("_new").select("date").distinct().orderBy("date").collect()]  # a calendar
+    for i in range(0, len(todo), chunk_days or max(1, len(todo))):
+        part = todo[i : i + (chunk_days or len(todo))]
+        inside = F.col("_new") & F.col("date").between(F.lit(part[0]), F.lit(part[-1]))
+        first = days.where(inside).groupBy("entity").agg(F.min("_place").alias("_first"), F.max("_place").alias("_last"))
+        read = days.join(first, "entity").where((F.col("_place") >= F.col("_first") - warm_up) & (F.col("_place") <= F.col("_last"))).select("entity", "date")
+        made = reduce(minutes.join(read, ["entity", "date"], "left_semi"))
+        made.join(days.where(inside).select("entity", "date"), ["entity", "date"], "left_semi").withColumn("load_seq", F.lit(load)).write.mode("append").parquet(cache)
+    days.unpersist()
+
+
+def current(spark: SparkSession, cache: str) -> DataFrame:
+    """The cache's rows, of each entity and day the last that was stored."""
+    return keep_last(spark.read.parquet(cache), ["entity", "date"], ["load_seq"]).drop("load_seq")
+
+
+def correct(spark: SparkSession, raw: str, cache: str, changed: DataFrame, reduce: Callable[[DataFrame], DataFrame], warm_up: int, schema: StructType) -> None:
+    """Reduces again the changed days (entity, date) and those that they warm up, whatever the frontier."""
     minutes = spark.read.schema(schema).parquet(raw)
-    days = [r.date for r in minutes.select("date").distinct().orderBy("date").collect()]  # a calendar
-    try:
-        frontier = spark.read.parquet(cache).agg(F.max("date")).first()[0]
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        frontier = None
-    new = [d for d in days if frontier is None or d > frontier]
-    if not new:
-        return
-    first = days[max(0, days.index(new[0]) - warm_up)]
-    made = reduce(minutes.where(F.col("date") >= F.lit(first))).where(F.col("date") >= F.lit(new[0]))
-    made.write.mode("append").parquet(cache)
+    w = Window.partitionBy("entity").orderBy("date")
+    days = minutes.select("entity", "date").distinct().join(changed.select("entity", "date").distinct().withColumn("_c", F.lit(True)), ["entity", "date"], "left").withColumn("_c", F.coalesce("_c", F.lit(False)))
+    days = days.withColumn("_again", F.max(F.col("_c").cast("int")).over(w.rowsBetween(-warm_up, 0)) == 1)
+    days = days.withColumn("_read", F.max(F.col("_again").cast("int")).over(w.rowsBetween(0, warm_up)) == 1)
+    load = (spark.read.parquet(cache).agg(F.max("load_seq")).first()[0] or 0) + 1
+    made = reduce(minutes.join(days.where("_read").select("entity", "date"), ["entity", "date"], "left_semi"))
+    made.join(days.where("_again").select("entity", "date"), ["entity", "date"], "left_semi").withColumn("load_seq", F.lit(load)).write.mode("append").parquet(cache)
 
 
 def stream_upsert(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, keys: list[str]) -> None:
