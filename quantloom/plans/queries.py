@@ -222,13 +222,6 @@ def cross_section_residual(spark: SparkSession, d: str) -> DataFrame:
     return steps.cross_section_regress(panel(spark, d).withColumn("lv", F.log("volume")), "close", ["lv"], "residual", min_samples=8)
 
 
-@query(doubles="residual")
-def cross_section_residual_2(spark: SparkSession, d: str) -> DataFrame:
-    """R1 with two regressors: least squares by group, tested against numpy."""
-    df = panel(spark, d).select("entity", "date", "close", "open", F.log("volume").alias("lv"))
-    return steps.cross_section_regress(df, "close", ["lv", "open"], "residual", min_samples=8)
-
-
 @query(
     f"""SELECT entity, date, CASE WHEN nr = 10 AND n >= 5 AND sqrt(greatest((vd - 2 * beta * c + beta * beta * vg) * n / (n - 1), 0)) > 1e-12 THEN (md - beta * mg) / (sqrt(greatest((vd - 2 * beta * c + beta * beta * vg) * n / (n - 1), 0)) / sqrt(n)) END AS stat FROM (
 SELECT entity, date, count(*) {frame(10)} AS nr, count(r1 - r2) {frame(10)} AS n, avg(r1 - r2) {frame(10)} AS md, avg(i1 - i2) {frame(10)} AS mg, var_pop(r1 - r2) {frame(10)} AS vd, var_pop(i1 - i2) {frame(10)} AS vg, covar_pop(r1 - r2, i1 - i2) {frame(10)} AS c,
@@ -342,13 +335,7 @@ def minute_peaks(spark: SparkSession, d: str) -> DataFrame:
     return minute.peak_ridge_valley(minutes(spark, d), 5)
 
 
-@query(doubles="peak_count, ridge_count, valley_count, peak_interval_n, peak_interval_m1, peak_interval_m2, ridge_vwap, close, volume")
-def minute_price_jumps(spark: SparkSession, d: str) -> DataFrame:
-    """M2; tested against pandas."""
-    return minute.price_jump(minutes(spark, d), 5)
-
-
-MASK_SQL = ", flags AS (SELECT entity, date, volume < 40 AS is_st, close < 20 AS is_suspended, turnover > 2500 AS is_limit_up, open > 42 AS is_new_stock FROM panel), mask AS (SELECT entity, date, NOT (lead(is_st, 1, false) OVER w OR lead(is_suspended, 1, false) OVER w OR lead(is_new_stock, 1, false) OVER w) AS pre, NOT lead(is_limit_up, 1, false) OVER w AS post FROM flags WINDOW w AS (PARTITION BY entity ORDER BY date))"
+MASK_SQL = ", flags AS (SELECT entity, date, volume < 40 AS is_st, close < 20 AS is_suspended, turnover > 2500 AS is_limit_up, open > 42 AS is_new_stock FROM panel), cal AS (SELECT date, lead(date) OVER (ORDER BY date) AS nxt FROM (SELECT DISTINCT date FROM panel)), mask AS (SELECT f.entity, f.date, NOT (coalesce(n.is_st, false) OR coalesce(n.is_suspended, false) OR coalesce(n.is_new_stock, false)) AS pre, NOT coalesce(n.is_limit_up, false) AS post FROM flags f JOIN cal ON cal.date = f.date LEFT JOIN flags n ON n.entity = f.entity AND n.date = cal.nxt)"
 
 
 def flags(spark: SparkSession, d: str) -> DataFrame:
