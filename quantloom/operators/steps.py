@@ -117,12 +117,14 @@ def row_polyfit(df: DataFrame, sources: list[str], output: str, coefficient: str
         x = (x - x.mean()) / x.std(ddof=1)
     weights = np.linalg.pinv(np.vander(x, degree + 1))[degree - int(coefficient.removeprefix("a"))]
     ys = [F.col(c).cast("double") for c in sources]
-    n = len(ys)
+    n, total = len(ys), lambda xs: functools.reduce(operator.add, xs)
+    value = total([y * float(w) for y, w in zip(ys, weights, strict=True)])
     if zscore_y:
-        mean = functools.reduce(operator.add, ys) / n
-        var = functools.reduce(operator.add, ((y - mean) * (y - mean) for y in ys)) / (n - 1)
-        ys = [div(y - mean, F.sqrt(var)) for y in ys]
-    return df.withColumn(output, functools.reduce(operator.add, (y * float(w) for y, w in zip(ys, weights, strict=True))))
+        # Standardising comes out of the dot product: one division a row.
+        mean = total(ys) / n
+        spread = total([(y - mean) * (y - mean) for y in ys])
+        value = F.when(spread > 0, (value - mean * float(weights.sum())) / F.sqrt(spread / (n - 1)))
+    return df.withColumn(output, value)
 
 
 def row_correlate(df: DataFrame, a: list[str], b: list[str], output: str, method: str = "pearson") -> DataFrame:
