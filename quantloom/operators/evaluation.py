@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,16 +115,34 @@ def turnover(df: DataFrame, layer: str, period: str) -> DataFrame:
     return on.groupBy(period, layer).agg(F.count(F.lit(1)).alias("members"), F.avg(F.when(F.col("_p").isNull(), 1.0).otherwise(0.0)).alias("turnover"))
 
 
-def factor_correlation(long: DataFrame, centred: bool = False) -> DataFrame:
-    """rho of all pairs of factors (f1 < f2) over cells where both are present; centred: Pearson."""
-    a, b = (long.select("entity", "date", F.col("factor").alias(f), F.col("value").alias(v)).where(F.col(v).isNotNull()) for f, v in (("f1", "x"), ("f2", "y")))
-    pairs = a.join(b, ["entity", "date"]).where("f1 < f2")
-    x, y = F.col("x"), F.col("y")
-    if centred:
-        m = pairs.groupBy("f1", "f2").agg(F.count(x).alias("n"), F.covar_pop(x, y).alias("c"), F.var_pop(x).alias("vx"), F.var_pop(y).alias("vy"))
-        return m.select("f1", "f2", "n", div("c", F.sqrt(F.col("vx") * F.col("vy"))).alias("rho"))
-    m = pairs.groupBy("f1", "f2").agg(F.count(x).alias("n"), F.sum(x * y).alias("c"), F.sum(x * x).alias("vx"), F.sum(y * y).alias("vy"))
-    return m.select("f1", "f2", "n", div("c", F.sqrt(F.col("vx") * F.col("vy"))).alias("rho"))
+def factor_correlation(long: DataFrame, centred: bool = False, names: list[str] | None = None) -> DataFrame:
+    """rho of all pairs of factors (f1 < f2) over cells where both are present; centred: Pearson.
+
+    One exchange makes a row a cell; tasks multiply their cells' matrix by itself and send sums of products only,
+    a row a pair of factors. names: the factors, a few hundred; looked up where they aren't given.
+    """
+    there = long.where(F.col("value").isNotNull())
+    names = sorted(names or [r.factor for r in there.select("factor").distinct().collect()])
+    wide = there.groupBy("entity", "date").pivot("factor", names).agg(F.first("value")).select(*(F.col(f"`{n}`").cast("double").alias(f"c{k}") for k, n in enumerate(names)))
+    columns = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        i, j = np.triu_indices(len(names), 1)
+        total = np.zeros((len(columns), len(i)))
+        for b in batches:
+            x = b.to_numpy(float, na_value=np.nan)
+            m = np.isfinite(x).astype(float)
+            x = np.where(m > 0, x, 0.0)
+            total += [y[i, j] for y in (m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)]
+        keep = total[0] > 0
+        yield pd.DataFrame({"i": i[keep], "j": j[keep]} | {c: v[keep] for c, v in zip(columns, total, strict=True)})
+
+    s = wide.mapInPandas(gram, "i long, j long, " + ", ".join(f"{c} double" for c in columns)).groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in columns))
+    name = F.array(*map(F.lit, names))
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    vx, vy, c = (F.col("sxx") - sx * sx / n, F.col("syy") - sy * sy / n, F.col("sxy") - sx * sy / n) if centred else (F.col("sxx"), F.col("syy"), F.col("sxy"))
+    flat = (vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy"))
+    return s.select(F.get(name, F.col("i").cast("int")).alias("f1"), F.get(name, F.col("j").cast("int")).alias("f2"), n.cast("long").alias("n"), F.when(flat, div(c, F.sqrt(vx * vy))).alias("rho"))
 
 
 def average_linkage(names: list[str], rho: dict[tuple[str, str], float], cut: float = 0.4) -> list[set[str]]:
@@ -147,11 +168,34 @@ def top_n(df: DataFrame, score: str, n: int) -> DataFrame:
     return df.where(F.col(score).isNotNull()).withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
 
 
+def exact_quantile(df: DataFrame, columns: list[str], q: float = 0.5, buckets: int = 1 << 16) -> DataFrame:
+    """feature, value: exact interpolated quantiles of whole columns, without one task that holds a column.
+
+    A pass counts values by equal buckets of each column's range; only the distinct values of the one or two buckets
+    in which the quantile lies go on, with their counts.
+    """
+    long = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot([], columns, "feature", "x").where("x is not null")
+    ends = long.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
+    # A row a column.
+    rows = long.join(F.broadcast(ends), "feature").withColumn("b", F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))).otherwise(F.lit(0)))
+    before = Window.partitionBy("feature").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    at = (F.col("n") - 1) * F.lit(q)
+    cells = rows.groupBy("feature", "b").agg(F.count(F.lit(1)).alias("here"), F.first("n").alias("n")).withColumn("below", F.coalesce(F.sum("here").over(before), F.lit(0)))
+    hit = cells.where((F.col("below") <= F.ceil(at)) & (F.col("below") + F.col("here") > F.floor(at))).select("feature", "b", "below")
+    values = rows.join(F.broadcast(hit), ["feature", "b"]).groupBy("feature", "b", "x").agg(F.count(F.lit(1)).alias("times"), F.first("below").alias("below"), F.first("n").alias("n"))
+    upto = F.col("below") + F.sum("times").over(Window.partitionBy("feature", "b").orderBy("x"))
+    placed = values.withColumn("upto", upto)
+    of = lambda k: F.max(F.when((F.col("upto") - F.col("times") <= k) & (F.col("upto") > k), F.col("x")))
+    ends = placed.groupBy("feature").agg(of(F.floor(at)).alias("a"), of(F.ceil(at)).alias("z"), F.first("n").alias("n"))
+    return ends.select("feature", (F.col("a") + (F.col("z") - F.col("a")) * (at - F.floor(at))).alias("value"))
+
+
 def robust_scale(df: DataFrame, columns: list[str], train: Column) -> DataFrame:
     """(x - median) / (1.4826 MAD) with both from the training rows only; a zero MAD gives NULL."""
     fit = df.where(train)
-    med = fit.agg(*(F.percentile(c, F.lit(0.5)).alias(f"_m_{c}") for c in columns))
-    mad = fit.crossJoin(F.broadcast(med)).agg(*(F.percentile(F.abs(F.col(c) - F.col(f"_m_{c}")), F.lit(0.5)).alias(f"_s_{c}") for c in columns))
+    row = lambda q, kind: q.agg(*(F.max(F.when(F.col("feature") == c, F.col("value"))).alias(f"_{kind}_{c}") for c in columns))
+    med = row(exact_quantile(fit, columns), "m")
+    mad = row(exact_quantile(fit.crossJoin(F.broadcast(med)).select(*(F.abs(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in columns)), columns), "s")
     # Both are one row.
     on = df.crossJoin(F.broadcast(med)).crossJoin(F.broadcast(mad))
     return on.withColumns({c: div(F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}") * 1.4826) for c in columns}).select(*df.columns)

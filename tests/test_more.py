@@ -216,3 +216,17 @@ def test_command_line(spark, bars, tmp_path):
     assert len(glob.glob(f"{tmp_path}/signal/day=*")) == 31
     call("refresh", "--out", f"{tmp_path}/cache")
     assert spark.read.parquet(f"{tmp_path}/cache").count() == 12
+
+
+def test_quantiles_and_scales_of_whole_columns(spark):
+    r = np.random.default_rng(11)
+    cols = {"a": r.normal(size=501), "b": np.repeat([1.0, 2.0, 3.0], 167), "c": np.r_[r.normal(size=500), 1e9]}
+    df = spark.createDataFrame([(i, *map(float, v), None) for i, v in enumerate(zip(*cols.values(), strict=True))], "k int, a double, b double, c double, d double").repartition(5)
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        got = {x.feature: x.value for x in ev.exact_quantile(df, ["a", "b", "c", "d"], q, 16).collect()}
+        assert set(got) == {"a", "b", "c"} and all(got[n] == pytest.approx(np.quantile(v, q)) for n, v in cols.items())
+    scaled = {x.k: x for x in ev.robust_scale(df, ["a", "d"], F.col("k") < 300).collect()}
+    train = cols["a"][:300]
+    mad = np.median(np.abs(train - np.median(train)))
+    assert all(scaled[i].a == pytest.approx((v - np.median(train)) / (1.4826 * mad)) and scaled[i].d is None for i, v in enumerate(cols["a"]))
+    assert ev.robust_scale(df, ["a"], F.lit(False)).where("a is null").count() == 501
