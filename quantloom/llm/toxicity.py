@@ -25,8 +25,10 @@ import hashlib
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +106,9 @@ class Restore:
 
     def word(self, span: str, repeats: bool = False) -> str:
         """The likeliest letters; ties go to the first found, which keeps what was written. With repeats, all are kept."""
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        log_p = self.flat
+        # A state is the last two letters' codes in one number.
+        paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
         last = ""
         for c in span:
             options = [(c, 0.0)] if c.isalpha() else []
@@ -113,33 +117,67 @@ class Restore:
             if c == last and not (repeats and options):
                 # A repetition is kept at a price, or taken for one letter.
                 options, drop = [(x, cost + self.keep_repeat_cost) for x, cost in options], 0.0
-            ahead: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, text) in paths.items():
-                if drop is not None and (cost + drop, text) < ahead.get((a, b), (np.inf, "")):
-                    ahead[a, b] = cost + drop, text
-                for x, more in options:
-                    to = CODE.get(x, OTHER)
-                    at = cost + more - self.log_p[a, b, to]
-                    if at < ahead.get((b, to), (np.inf, ""))[0]:
-                        ahead[b, to] = at, text + x
+            coded = [(CODE.get(x, OTHER), x, more) for x, more in options]
+            ahead: dict[int, tuple[float, str]] = {}
+            for state, (cost, text) in paths.items():
+                if drop is not None and (state not in ahead or (cost + drop, text) < ahead[state]):
+                    ahead[state] = cost + drop, text
+                for to, x, more in coded:
+                    place = state * SIZE + to
+                    at, state_to = cost + more - log_p[place], place % SIZE**2
+                    if state_to not in ahead or at < ahead[state_to][0]:
+                        ahead[state_to] = at, text + x
             paths, last = ahead, c
-        return min((cost - self.log_p[a, b, 0], text) for (a, b), (cost, text) in paths.items())[1]
+        return min((cost - log_p[state * SIZE], text) for state, (cost, text) in paths.items())[1]
 
-    def text(self, text: str, known: dict[str, str]) -> str:
-        """The text in lower case with its spans restored. known: what this model has decoded already."""
+    @cached_property
+    def flat(self) -> list[float]:
+        return self.log_p.ravel().tolist()
 
-        def put(m: re.Match) -> str:
-            span = m.group()
-            if (out := known.get(span)) is None:
-                if len(known) > 200_000:
-                    known.clear()
-                out = known[span] = self.readings(span)
-            return out
+    def reading(self, span: str, known: dict[str, str]) -> str:
+        """known: what this model has decoded already."""
+        if (out := known.get(span)) is None:
+            if len(known) > 200_000:
+                known.clear()
+            out = known[span] = self.readings(span)
+        return out
 
+    def tokens(self, text: str, known: dict[str, str]) -> list[str]:
+        """What stands between white space, in lower case; only spans of letters set apart reach across it, and are restored."""
         low = text.lower()
         if SPACED.search(low):
-            low = SPACED.sub(put, low)
-        return MIXED.sub(put, low)
+            low = SPACED.sub(lambda m: self.reading(m.group(), known), low)
+        return low.split()
+
+    def restored(self, token: str, known: dict[str, str]) -> str:
+        return MIXED.sub(lambda m: self.reading(m.group(), known), token)
+
+    def words(self, token: str, known: dict[str, str]) -> list[str]:
+        """The words of a token with its spans restored."""
+        return WORD.findall(self.restored(token, known))
+
+    def text(self, text: str, known: dict[str, str]) -> str:
+        """The text in lower case with its spans restored, one space between tokens."""
+        return " ".join(self.restored(t, known) for t in self.tokens(text, known))
+
+
+#: Longer tokens aren't kept by workers.
+LONGEST = 48
+
+
+def looked_up(known: dict, tokens: list[str], make: Callable[[str], object], most: int = 400_000) -> list:
+    """make of each token, kept in known: a worker works out a token once while its table isn't full."""
+    missing = set(tokens).difference(known)
+    if len(known) + len(missing) > most:
+        known.clear()
+        missing = set(tokens)
+    for t in missing:
+        known[t] = make(t)
+    out = list(map(known.__getitem__, tokens))
+    for t in missing:
+        if len(t) > LONGEST:
+            del known[t]
+    return out
 
 
 def parts(word: str) -> list[str]:
@@ -155,10 +193,11 @@ class CountParts:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: tuple[Counter, ...] = Counter(), Counter(), Counter(), Counter()
-        restored = decoded(self.restore)
+        restore, restored, known = self.restore.value, decoded(self.restore), {}
         for b in slices(batches):
             for which, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = set(WORD.findall(self.restore.value.text(t or "", restored)))
+                tokens = restore.tokens(t or "", restored)
+                words = set().union(*looked_up(known, tokens, lambda x: restore.words(x, restored)))
                 n[which].update({p for w in words for p in parts(w)})
                 n[which][""] += 1
         keys = list(set().union(*n))
@@ -183,17 +222,15 @@ class Score:
     curve: tuple[float, ...] | None
     names: tuple[str, ...]
 
-    def features(self, text: str, restored: dict, known: dict[str, float]) -> tuple[float, float, float]:
-        words = WORD.findall(self.restore.value.text(text, restored))
-        found = [w for w in map(known.get, words) if w != 0.0]
-        if None in found:
-            if len(known) > 400_000:
-                known.clear()
-            of = self.weights.value[1]
-            for w in set(words):
-                if w not in known:
-                    known[w] = max((of.get(p, 0.0) for p in parts(w)), default=0.0)
-            found = [x for w in words if (x := known[w]) != 0.0]
+    def of_words(self, words: list[str]) -> tuple[float, ...]:
+        """The words' weights that aren't 0."""
+        _, of, starts = self.weights.value
+        return tuple(x for w in words if w[:3] in starts and (x := max(of.get(p, 0.0) for p in parts(w))) != 0.0)
+
+    def features(self, text: str, restored: dict, known: dict[str, tuple[float, ...]]) -> tuple[float, float, float]:
+        restore = self.restore.value
+        by_token = looked_up(known, restore.tokens(text, restored), lambda t: self.of_words(restore.words(t, restored)))
+        found = list(chain.from_iterable(filter(None, by_token)))
         return max(found, default=0.0), float(np.log1p(sum(x >= 3.0 for x in found))), float(np.log1p(sum(found)))
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least: float =
         odds = F.log(toxic / (n_toxic + 1) * (n_clean + 1) / clean)
         sure = odds - 1.64 * F.sqrt(1 / toxic + 1 / clean) > least
         found = counted.where((F.col("part") != "") & sure).select("part", odds.alias("weight")).collect() if n_clean and n_toxic else []
-        return send((uuid.uuid4().hex, {r.part: r.weight for r in found}))
+        return send((uuid.uuid4().hex, {r.part: r.weight for r in found}, {r.part[1:4] for r in found}))
 
     # The curve is fitted on the half that its weights haven't seen; scores use the weights of both halves.
     clean, toxic = n_of["clean0"] + n_of["clean1"], n_of["toxic0"] + n_of["toxic1"]
