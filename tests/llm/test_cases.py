@@ -153,6 +153,24 @@ def test_viterbi_finds_the_best_of_all_paths():
     assert restore.text("An 1d10t.", {}) == "an idiot."
 
 
+def test_tokens_looked_up_once_give_what_whole_texts_give():
+    restore = toxicity.Restore.of(toxicity.trigrams(["idiot hell kill ass stupid he is at ease " * 30]))
+    of = {"=idiot": 4.0, "^stup": 3.5, "^hel": -1.0, "=as": 2.0, "=kill": 0.0}
+    score = toxicity.Score(SimpleNamespace(value=restore), SimpleNamespace(value=("w", of, {p[1:4] for p in of})), None, ("a", "b", "c"))
+    texts = ["", " ", "An 1d10t, a stu-pid i d i o t.\u2003He11 as\x1cstuupid", "k i l l him as 1diot" + "s" * 200, "h e l l\nstupidstupid 1d10t 1d10t " + "x1" * 5000 + " as", text(4) + " 5tup1d"]
+    kept: dict = {}
+    for t in texts * 2:
+        put = lambda m: restore.readings(m.group())
+        words = toxicity.WORD.findall(toxicity.MIXED.sub(put, toxicity.SPACED.sub(put, t.lower())))
+        found = [x for w in words if (x := max((of.get(p, 0.0) for p in toxicity.parts(w)), default=0.0))]
+        assert score.features(t, {}, kept) == (max(found, default=0.0), np.log1p(sum(x >= 3 for x in found)), np.log1p(sum(found)))
+    assert max(map(len, kept)) <= toxicity.LONGEST
+    # a table that is too small is emptied, the result stays
+    small = {"old": "OLD"}
+    assert toxicity.looked_up(small, ["a", "b", "a"], str.upper, most=2) == ["A", "B", "A"]
+    assert small == {"a": "A", "b": "B"}
+
+
 def test_toxicity_does_not_depend_on_what_ran_before(spark):
     r = np.random.default_rng(2)
     corpora = {}
