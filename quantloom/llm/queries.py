@@ -16,8 +16,11 @@ from .line_dedup import line_dedup
 from .ngram_join import link_components
 from .packing import pack
 from .quality import compression_bands
+from .quality_pu import quality
+from .spelling import spelling_variants
 from .token_cache import fill, token_counts
 from .toxicity import toxicity
+from .vector_codes import vector_codes
 from .warc import round_trip
 
 
@@ -65,6 +68,18 @@ def op10_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_errata_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_yinyang_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -93,6 +108,31 @@ l AS (SELECT id, n, i, item, j FROM m QUALIFY row_number() OVER (PARTITION BY id
 SELECT CAST(w.id AS BIGINT) AS doc_id, CAST(len(x) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(l.n AS BIGINT) AS longest_match, l.item AS longest_item, CAST(l.i AS BIGINT) AS longest_at, CAST(l.j AS BIGINT) AS longest_item_at FROM w LEFT JOIN c ON c.id = w.id LEFT JOIN t ON t.id = w.id LEFT JOIN l ON l.id = w.id WHERE kind = 'd'"""
 
 
+OP11_SQL = r"""WITH RECURSIVE tab AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c FROM (SELECT unnest(range(256)) AS b))),
+r AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents) GROUP BY 1, 2),
+h AS (SELECT run, k, xor(list_reduce(list_transform(range(strlen(id || ':' || run)), lambda i: CAST('0x' || substr(hex(id || ':' || run), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)), lambda c, x: xor(c >> 8, t[CAST((xor(c, x) & 255) + 1 AS INTEGER)]), 4294967295), 4294967295) AS h FROM r, tab),
+w AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, k FROM h) WHERE length(word) >= 7 GROUP BY 1 HAVING sum(k) >= 2),
+d AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS i FROM w)),
+p AS (SELECT a.word AS a, a.n AS an, b.word AS b, b.n AS bn FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word UNION SELECT a.word, a.n, b.word, b.n FROM d a JOIN w b ON a.rest = b.word UNION SELECT b.word, b.n, a.word, a.n FROM d a JOIN w b ON a.rest = b.word),
+f AS MATERIALIZED (SELECT a AS word, count(*) AS n_near, arg_min(b, (-bn, encode(b))) AS b, max(bn) AS bn FROM p GROUP BY 1),
+x AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 10 * n THEN b END AS form, CASE WHEN bn >= 10 * n THEN bn END AS form_n FROM w LEFT JOIN f USING (word)),
+s AS (SELECT word, word AS root, form AS nxt FROM x UNION ALL SELECT s.word, s.nxt, x.form FROM s JOIN x ON x.word = s.nxt)
+SELECT x.word, x.form, s.root, x.n, x.n_near, x.form_n FROM x JOIN s ON s.word = x.word AND s.nxt IS NULL"""
+
+#: Entries of a round from those before: nearest entry of each part, then floors of means.
+OP12_ROUND = """, a{r} AS MATERIALIZED (SELECT v, p, min({{'d': list_inner_product(y, y) - 2 * list_inner_product(y, e) + list_inner_product(e, e), 'j': j}}) AS m FROM y JOIN c{r} USING (p) GROUP BY v, p),
+c{s} AS MATERIALIZED (SELECT p, j, coalesce(n.e, c.e) AS e FROM c{r} c LEFT JOIN (SELECT p, j, list(s ORDER BY i) AS e FROM (SELECT p, m.j AS j, i, floor(sum(z) / count(*)) AS s FROM (SELECT v, p, generate_subscripts(y, 1) AS i, unnest(y) AS z FROM y) JOIN a{r} USING (v, p) GROUP BY 1, 2, 3) GROUP BY 1, 2) n USING (p, j))"""
+
+OP12_SQL = (
+    """WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS v, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+y AS MATERIALIZED (SELECT v, p, x[p * len(x) // 4 + 1 : (p + 1) * len(x) // 4] AS y FROM k, range(4) t(p)),
+c0 AS MATERIALIZED (SELECT p, v - 1 AS j, y AS e FROM y WHERE v <= 256)"""
+    + "".join(OP12_ROUND.format(r=r, s=r + 1) for r in range(5))
+    + """, g AS (SELECT v, string_agg(printf('%02x', CAST(m.j AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a4 GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, j)) FROM c4) AS codebooks_sha256 FROM k JOIN g USING (v)"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express a query: not models, compressors, tokenizers or packings."""
-    return {"op1_warc_transactions": OP1_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_suffix_arrays": OP8_SQL}
+    return {"op1_warc_transactions": OP1_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_suffix_arrays": OP8_SQL, "op11_errata_tries": OP11_SQL, "op12_yinyang_codes": OP12_SQL}
