@@ -7,24 +7,28 @@ skipped, replaced by the heavy one, or set behind the heavy one are looked up am
 whose rests after the skipped character coincide at a node are one replacement apart. A word lies in at
 most log2(words) light subtrees, so it is moved that often, not once a character. Each pair comes up once.
 
-Tries, moves and look-ups are rows, keyed by the node's prefix or by whole words. The `hot` nodes with most words are
-broadcast (their number is the bound); other prefixes and words meet by shuffles. Light words that coincide at a node differ in
+Tries, moves and look-ups are rows, keyed by nodes or by whole words. The `hot` nodes with most words are
+broadcast (their number is the bound); other nodes and words meet by shuffles. Light words that coincide at a node differ in
 one character, so a group is as large as the alphabet at most and gives its members their count and best
 partner without its pairs. A root is found by doubling: forms grow tenfold a step, so steps are few.
 
 Cases: null and empty texts have no words. A null id stands as an empty text where words are spelt anew. Repeated rows
-count each time. Of equally frequent near words the first in code-point order is the form. Long texts are read whole. Only id
+count each time. Long words are rows of a fixed size until they are moved. Of equally frequent near words the first in code-point order is the form. Long texts are read whole. Only id
 and text are read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, owned
+from .common import ascii_lower, cut, in_batches, owned, record_batch, slices
 
 RUN = "[A-Za-zÀ-ÿ]{%d,}"
 
@@ -42,20 +46,61 @@ def vocabulary(docs: DataFrame, least_chars: int = 7, least_n: int = 2, every: i
     return runs.select(word.alias("word")).where(F.length("word") >= least_chars).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_n)
 
 
-def light_edges(words: DataFrame, hot: int = 1000) -> DataFrame:
-    """word, n, prefix, char, rest, heavy: for each node where the word leaves the heavy path; char is empty where it ends."""
+@dataclass
+class DeepSteps:
+    """Of (key, n, word): (key, n, at, node, char) behind the first `depth` characters. Nodes are rolling hashes of prefixes."""
+
+    depth: int
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text=2):
+            for key, n, word in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                node, rows = 0, []
+                for at, char in enumerate(chain(word, ("",))):
+                    if at > self.depth:
+                        rows.append((key, n, at, node, char))
+                    if len(rows) == 50_000:
+                        yield stepped(rows)
+                        rows = []
+                    node = (node * 1_000_003 + ord(char)) % ((1 << 61) - 1) if char else node
+                yield stepped(rows)
+
+
+def stepped(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+    return record_batch(["key", "n", "at", "node", "char"], types, list(zip(*rows, strict=True)) or [[]] * 5)
+
+
+def light_edges(words: DataFrame, hot: int = 1000, depth: int = 64) -> DataFrame:
+    """word, n, prefix, char, rest, heavy: for each node where the word leaves the heavy path; char is empty where it ends.
+
+    A node is a hash of its prefix, so a long word takes rows of a fixed size. Two prefixes of one hash
+    share a heavy child, which may cost moves but no pair: any child may be taken for the heavy one. Behind `depth`
+    characters only words go on that share so many with another.
+    """
     at, word = F.col("at"), F.col("word")
-    steps = words.select("word", "n", F.explode(F.sequence(F.lit(0), F.length("word"))).alias("at"))
-    steps = steps.select("word", "n", word.substr(F.lit(1), at).alias("prefix"), word.substr(at + 1, F.lit(1)).alias("char"), word.substr(at + 2, F.length(word)).alias("rest"))
-    children = steps.groupBy("prefix", "char").agg(F.count(F.lit(1)).alias("size"))
-    # An end is one word: at a node with other children it is never heavy.
-    nodes = children.groupBy("prefix").agg(F.max_by("char", F.struct("size", "char")).alias("heavy"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("children"))
-    nodes = cut(nodes.where("children > 1").select("prefix", "heavy", "size"), "nodes")
-    often = nodes.orderBy(F.desc("size"), "prefix").limit(hot).select("prefix", F.col("heavy").alias("_heavy"))
-    known = steps.join(F.broadcast(often), "prefix", "left")
+    # Words have letters only.
+    keyed = words.select("word", "n", F.when(F.length("word") <= depth, word).otherwise(F.concat(F.lit(":"), F.sha2("word", 256))).alias("key"))
+    steps = keyed.select("key", "n", "word", F.explode(F.sequence(F.lit(0), F.least(F.length("word"), F.lit(depth)))).alias("at"))
+    steps = steps.select("key", "n", "at", F.xxhash64(word.substr(F.lit(1), at)).alias("node"), word.substr(at + 1, F.lit(1)).alias("char"))
+    long = keyed.where(F.length("word") > depth).withColumn("start", word.substr(F.lit(1), F.lit(depth + 1)))
+    shared = long.groupBy("start").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("start")
+    deep = in_batches(long.join(shared, "start", "left_semi").select("key", "n", "word"), DeepSteps(depth), "key string, n long, at int, node long, char string")
+    steps = steps.unionByName(deep)
+    children = steps.where("char <> ''").groupBy("node", "char").agg(F.count(F.lit(1)).alias("size"))
+    ends = steps.where("char = ''").select("node", "char", F.lit(1).cast("long").alias("size"))
+    both = children.unionByName(ends)
+    nodes = both.groupBy("node").agg(F.max_by("char", F.when(F.col("char") != "", F.struct("size", "char"))).alias("heavy"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("children"))
+    nodes = cut(nodes.where("children > 1 AND heavy IS NOT NULL").select("node", "heavy", "size"), "nodes")
+    often = nodes.orderBy(F.desc("size"), "node").limit(hot).select("node", F.col("heavy").alias("_heavy"))
+    known = steps.join(F.broadcast(often), "node", "left")
     near = known.where("char <> _heavy").withColumnRenamed("_heavy", "heavy")
-    far = known.where("_heavy IS NULL").drop("_heavy").join(nodes.select("prefix", "heavy"), "prefix").where("char <> heavy")
-    return near.unionByName(far)
+    far = known.where("_heavy IS NULL").drop("_heavy").join(nodes.select("node", "heavy"), "node").where("char <> heavy")
+    light = near.unionByName(far).select("key", "n", "at", "char", "heavy")
+    short = light.where(~F.col("key").startswith(":")).withColumnRenamed("key", "word")
+    others = light.where(F.col("key").startswith(":")).join(keyed.where(F.length("word") > depth).select("key", "word"), "key").drop("key")
+    found = short.unionByName(others)
+    return found.select("word", "n", word.substr(F.lit(1), at).alias("prefix"), "char", word.substr(at + 2, F.length(word)).alias("rest"), "heavy")
 
 
 def moved(light: DataFrame) -> DataFrame:
