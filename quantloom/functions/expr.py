@@ -7,6 +7,8 @@ could make one of them (division, logarithm, root) is guarded, in ANSI mode too.
 from __future__ import annotations
 
 import ast
+import functools
+import operator
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,8 +58,16 @@ class FormulaError(ValueError):
     pass
 
 
+def parsed(formula: str) -> ast.Expression:
+    """& and | bind as loosely as the words."""
+    try:
+        return ast.parse(formula.replace("&", " and ").replace("|", " or ").strip(), mode="eval")
+    except SyntaxError as e:
+        raise FormulaError(str(e)) from e
+
+
 def names_in(formula: str) -> set[str]:
-    tree = ast.parse(formula, mode="eval")
+    tree = parsed(formula)
     called = {n.func for n in ast.walk(tree) if isinstance(n, ast.Call)}
     return {n.id for n in ast.walk(tree) if isinstance(n, ast.Name) and n not in called}
 
@@ -88,11 +98,11 @@ def compile_formula(formula: str, columns: list[str]) -> Column:
                 if not boolean:
                     raise FormulaError("~ needs a condition")
                 return ~c, True
-            case ast.BinOp(op=ast.BitAnd() | ast.BitOr(), left=a, right=b):
-                (x, p), (y, q) = walk(a), walk(b)
-                if not (p and q):
-                    raise FormulaError("& and | need conditions")
-                return (x & y if isinstance(n.op, ast.BitAnd) else x | y), True
+            case ast.BoolOp(op=op, values=values):
+                sides = [walk(v) for v in values]
+                if not all(boolean for _, boolean in sides):
+                    raise FormulaError("and, or need conditions")
+                return functools.reduce(operator.and_ if isinstance(op, ast.And) else operator.or_, [c for c, _ in sides]), True
             case ast.BinOp(left=a, right=b):
                 (x, p), (y, q) = walk(a), walk(b)
                 if p and q and isinstance(n.op, ast.Div):
@@ -105,9 +115,10 @@ def compile_formula(formula: str, columns: list[str]) -> Column:
                 if type(n.op) not in ops:
                     raise FormulaError(f"no operator {type(n.op).__name__}")
                 return ops[type(n.op)](), False
-            case ast.Compare(left=a, ops=[op], comparators=[b]) if type(op) in COMPARE:
-                x, y = number(*walk(a)), number(*walk(b))
-                return F.coalesce(getattr(x, COMPARE[type(op)])(y), F.lit(False)), True
+            case ast.Compare(left=a, ops=ops, comparators=others) if all(type(op) in COMPARE for op in ops):
+                sides = [number(*walk(x)) for x in (a, *others)]
+                each = [F.coalesce(getattr(x, COMPARE[type(op)])(y), F.lit(False)) for x, op, y in zip(sides, ops, sides[1:], strict=False)]
+                return functools.reduce(operator.and_, each), True
             case ast.Call(func=ast.Name(id=name), args=[x], keywords=[]) if name in FUNCTIONS:
                 return FUNCTIONS[name](number(*walk(x))).cast("double"), False
             case ast.Call(func=ast.Name(id="clip"), args=[x, lo, hi], keywords=[]):
@@ -115,8 +126,4 @@ def compile_formula(formula: str, columns: list[str]) -> Column:
                 return F.when(c.isNotNull(), F.least(F.greatest(c, low), high)), False
         raise FormulaError(f"not allowed in a formula: {ast.unparse(n)}")
 
-    try:
-        tree = ast.parse(formula, mode="eval")
-    except SyntaxError as e:
-        raise FormulaError(str(e)) from e
-    return walk(tree.body)[0]
+    return walk(parsed(formula).body)[0]

@@ -67,13 +67,23 @@ def forward_returns(prices: DataFrame, horizons: list[int], price: str = "close"
 
 
 def ic_series(df: DataFrame, factor: str, ret: str, groups: list[str], joint: bool = False, least: int = 2) -> DataFrame:
-    """Rank correlation per group. Ranks are of each side's own values, or (joint) of those where both are there."""
+    """Rank correlation per group. Ranks are of each side's own values, or (joint) of those where both are there.
+
+    Twice an average rank is whole, so the moments are whole numbers and a coefficient of 0 is 0.
+    """
     ok = F.col(factor).isNotNull() & F.col(ret).isNotNull()
     a, b = (F.when(ok, F.col(factor)), F.when(ok, F.col(ret))) if joint else (F.col(factor), F.col(ret))
     ranked = df.withColumn("_fv", a).withColumn("_rv", b)
-    ranked = ranked.select(*groups, rank("_fv", groups).alias("_a"), rank("_rv", groups).alias("_b")).where("_a is not null and _b is not null")
-    out = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.covar_pop("_a", "_b").alias("_c"), F.var_pop("_a").alias("_va"), F.var_pop("_b").alias("_vb"))
-    return out.where(F.col("n") >= least).select(*groups, "n", F.when((F.col("_va") > 1e-12) & (F.col("_vb") > 1e-12), F.col("_c") / F.sqrt(F.col("_va") * F.col("_vb"))).alias("ic"))
+    twice = lambda c: (rank(c, groups) * 2).cast("long")
+    ranked = ranked.select(*groups, twice("_fv").alias("_a"), twice("_rv").alias("_b")).where("_a is not null and _b is not null")
+    total = lambda c: F.sum(c).cast("decimal(19,0)")
+    x, y = F.col("_a"), F.col("_b")
+    out = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), total(x).alias("_x"), total(y).alias("_y"), total(x * x).alias("_xx"), total(y * y).alias("_yy"), total(x * y).alias("_xy"))
+    n = F.col("n").cast("decimal(18,0)")
+    centred = lambda xy, u, v: n * F.col(xy) - F.col(u) * F.col(v)
+    xx, yy, xy = centred("_xx", "_x", "_x"), centred("_yy", "_y", "_y"), centred("_xy", "_x", "_y")
+    ic = F.when((xx > 0) & (yy > 0), xy.cast("double") / F.sqrt(xx.cast("double") * yy.cast("double")))
+    return out.where(F.col("n") >= least).select(*groups, "n", ic.alias("ic"))
 
 
 def ic_summary(ics: DataFrame, groups: list[str]) -> DataFrame:

@@ -22,7 +22,7 @@ def compute(df: DataFrame, formula: str, source_columns: list[str], output: str)
 
 def filter_rows(df: DataFrame, condition: str) -> DataFrame:
     """Rows for which the condition holds; a comparison with a missing value doesn't."""
-    return df.where(compile_formula(condition.replace(" and ", " & ").replace(" or ", " | "), df.columns))
+    return df.where(compile_formula(condition, df.columns))
 
 
 def winsorize(df: DataFrame, source: str, output: str, groups: list[str], n: float = 3.0) -> DataFrame:
@@ -46,13 +46,17 @@ def transform(df: DataFrame, method: str, source: str, output: str, periods: int
         "shift": lambda: back(1 if periods is None else periods),
         "yoy": lambda: change(periods or 4),
         "qoq": lambda: change(periods or 1),
-        "zscore": lambda: zscore(x, by or []),
+        "zscore": lambda: zscore(x, by),
         "cs_demean": lambda: x - F.avg(x).over(Window.partitionBy(*(by or [date]))),
         "abs": lambda: F.abs(x),
         "ffill": lambda: F.last(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         "bfill": lambda: F.first(x, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
         "diff_quarterly": lambda: F.when(F.col("quarter").endswith("q1"), x).otherwise(x - back(1)),
     }
+    if method == "zscore" and not by:
+        # One row for the whole table, not a window without keys.
+        whole = df.agg(F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_std"))
+        return df.crossJoin(F.broadcast(whole)).withColumn(output, div(x - F.col("_mean"), "_std")).drop("_mean", "_std")
     if method == "winsorize":
         return winsorize(df, source, output, by or [date], n)
     if method not in made:

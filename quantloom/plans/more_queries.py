@@ -12,7 +12,7 @@ from ..operators import panel as pan
 from ..sources import tables
 from . import spec
 from .panels import MINUTES_SQL, PANEL_SQL, minutes, panel
-from .queries import D_, E_, IND_SQL, LAYER_SQL, MASK_SQL, ON_SQL, ORDERS_SQL, QUERIES, SQL, flags, frame, industries, layered, query, reports
+from .queries import D_, E_, IND_SQL, LAYER_SQL, MASK_SQL, ON_SQL, ORDERS_SQL, QUERIES, SQL, exact_ic, flags, frame, industries, layered, query, reports
 from .recipes import recipes
 
 # ---- fundamental factors
@@ -155,7 +155,7 @@ def layer_turnover(spark: SparkSession, d: str) -> DataFrame:
     return ev.turnover(m, "layer", "per")
 
 
-ICS_SQL = ", ics AS (SELECT date, corr(a, b) AS ic FROM (SELECT date, rank() OVER (PARTITION BY date ORDER BY f) AS a, rank() OVER (PARTITION BY date ORDER BY r) AS b FROM (SELECT date, volume + entity / 1000.0 AS f, lead(close, 2) OVER (PARTITION BY entity ORDER BY date) / lead(close, 1) OVER (PARTITION BY entity ORDER BY date) - 1 AS r FROM panel) WHERE r IS NOT NULL) GROUP BY date HAVING count(*) > 2)"
+ICS_SQL = f", ics AS (SELECT date, {exact_ic('a', 'b')} AS ic FROM (SELECT date, rank() OVER (PARTITION BY date ORDER BY f) AS a, rank() OVER (PARTITION BY date ORDER BY r) AS b FROM (SELECT date, volume + entity / 1000.0 AS f, lead(close, 2) OVER (PARTITION BY entity ORDER BY date) / lead(close, 1) OVER (PARTITION BY entity ORDER BY date) - 1 AS r FROM panel) WHERE r IS NOT NULL) GROUP BY date HAVING count(*) > 2)"
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -182,8 +182,8 @@ def flipped_factor(spark: SparkSession, d: str) -> DataFrame:
     return ev.flipped(df, ev.ic_series(df, "f", "ret", ["date"], True, 3), "f", "signed")
 
 
-RANK = "CASE WHEN {x} IS NOT NULL THEN rank() OVER (PARTITION BY {g} ORDER BY {x} NULLS LAST) + (count(*) OVER (PARTITION BY {g}, {x}) - 1) / 2.0 END"
-LONG_IC = "SELECT {keys}, count(*) AS n, CASE WHEN var_pop(a) > 1e-12 AND var_pop(b) > 1e-12 THEN covar_pop(a, b) / sqrt(var_pop(a) * var_pop(b)) END AS ic FROM (SELECT *, " + RANK.format(x="value", g="{keys}") + " AS a, " + RANK.format(x="ret", g="{keys}") + " AS b FROM ({source})) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY {keys} HAVING count(*) >= {least}"
+TWICE_RANK = "CASE WHEN {x} IS NOT NULL THEN 2 * rank() OVER (PARTITION BY {g} ORDER BY {x} NULLS LAST) + count(*) OVER (PARTITION BY {g}, {x}) - 1 END"
+LONG_IC = "SELECT {keys}, count(*) AS n, " + exact_ic("a", "b") + " AS ic FROM (SELECT *, " + TWICE_RANK.format(x="value", g="{keys}") + " AS a, " + TWICE_RANK.format(x="ret", g="{keys}") + " AS b FROM ({source})) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY {keys} HAVING count(*) >= {least}"
 FWD_SQL = f", fwd AS (SELECT entity, date, 1 AS horizon, lead(close, 2) {E_} / lead(close, 1) {E_} - 1 AS ret FROM panel UNION ALL SELECT entity, date, 3, lead(close, 4) {E_} / lead(close, 1) {E_} - 1 FROM panel)"
 CLEAN_SQL = f""", cleaned AS (SELECT entity, date, CASE WHEN post THEN (w - avg(w) {D_}) / nullif(stddev_pop(w) {D_}, 0) END AS y FROM (SELECT *, CASE WHEN x IS NOT NULL THEN CASE WHEN mad > 0 THEN greatest(least(x, med + 3 * mad), med - 3 * mad) ELSE x END END AS w FROM (SELECT *, 1.4826 * quantile_cont(abs(x - med), 0.5) {D_} AS mad FROM (SELECT *, quantile_cont(x, 0.5) {D_} AS med FROM (SELECT m.*, CASE WHEN pre THEN turnover END AS x FROM mask m JOIN panel USING (entity, date)))))),
 neut AS (SELECT entity, date, CASE WHEN y IS NOT NULL AND x IS NOT NULL AND n >= greatest(g + 2, 10) THEN dy - coalesce(sum(dx * dy) {D_} / nullif(sum(dx * dx) {D_}, 0), 0) * dx END AS y FROM (SELECT *, count(CASE WHEN x IS NOT NULL THEN y END) {D_} AS n, len(list_distinct(list(CASE WHEN y IS NOT NULL AND x IS NOT NULL THEN industry END) {D_})) AS g FROM (SELECT *, CASE WHEN x IS NOT NULL THEN y END - avg(CASE WHEN x IS NOT NULL THEN y END) OVER (PARTITION BY date, industry) AS dy, CASE WHEN y IS NOT NULL THEN x END - avg(CASE WHEN y IS NOT NULL THEN x END) OVER (PARTITION BY date, industry) AS dx FROM (SELECT c.*, industry, CASE WHEN size > 0 THEN ln(size) END AS x FROM cleaned c JOIN ind USING (entity, date))))),

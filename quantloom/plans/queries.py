@@ -42,13 +42,19 @@ def frame(n: int) -> str:
     return f"OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
 
+def exact_ic(a: str, b: str) -> str:
+    """The correlation of whole numbers, from whole sums."""
+    centred = lambda x, y: f"(count(*) * sum({x} * {y}) - sum({x}) * sum({y}))"
+    return f"CASE WHEN {centred(a, a)} > 0 AND {centred(b, b)} > 0 THEN CAST({centred(a, b)} AS DOUBLE) / sqrt(CAST({centred(a, a)} AS DOUBLE) * CAST({centred(b, b)} AS DOUBLE)) END"
+
+
 E_ = "OVER (PARTITION BY entity ORDER BY date)"
 D_ = "OVER (PARTITION BY date)"
 
 
 @query(
-    f"""SELECT date, count(*) AS n, CASE WHEN var_pop(a) > 1e-12 AND var_pop(b) > 1e-12 THEN covar_pop(a, b) / sqrt(var_pop(a) * var_pop(b)) END AS ic FROM (
-SELECT date, CASE WHEN f IS NOT NULL THEN rank() OVER (PARTITION BY date ORDER BY f NULLS LAST) + (count(*) OVER (PARTITION BY date, f) - 1) / 2.0 END AS a, CASE WHEN r IS NOT NULL THEN rank() OVER (PARTITION BY date ORDER BY r NULLS LAST) + (count(*) OVER (PARTITION BY date, r) - 1) / 2.0 END AS b
+    f"""SELECT date, count(*) AS n, {exact_ic("a", "b")} AS ic FROM (
+SELECT date, CASE WHEN f IS NOT NULL THEN 2 * rank() OVER (PARTITION BY date ORDER BY f NULLS LAST) + count(*) OVER (PARTITION BY date, f) - 1 END AS a, CASE WHEN r IS NOT NULL THEN 2 * rank() OVER (PARTITION BY date ORDER BY r NULLS LAST) + count(*) OVER (PARTITION BY date, r) - 1 END AS b
 FROM (SELECT date, close - lag(close) {E_} AS f, lead(close, 2) {E_} / lead(close, 1) {E_} - 1 AS r FROM panel))
 WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY date HAVING count(*) >= 2""",
     "date, n", "ic")

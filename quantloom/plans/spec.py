@@ -107,7 +107,7 @@ def check_step(*names: str, by_date: bool = False, makes: bool = False) -> Calla
 
 
 def check_fetch(step: dict, known: dict[str, set[str]]) -> None:
-    if step.get("api", "get_factor") not in APIS:
+    if step.get("api", DEFAULT_API) not in APIS:
         raise SpecError(f"fetch: no api {step['api']}")
     if step.get("api") == "custom":
         require(step, "command", "output_column")
@@ -197,12 +197,13 @@ def intervals(ctx: Context, step: dict) -> DataFrame:
     return tables.intervals_to_daily(days, events.select("entity", "date", F.col("value").alias(step["output_column"])), step["output_column"])
 
 
+DEFAULT_API = "get_pit_financials_ex"
 APIS = {"get_factor": daily_fields, "get_pit_financials_ex": quarters, "custom": intervals}
 
 
 @register("fetch", check_fetch)
 def fetch(ctx: Context, step: dict) -> None:
-    df = APIS[step.get("api", "get_factor")](ctx, step)
+    df = APIS[step.get("api", DEFAULT_API)](ctx, step)
     names = {step["output_column"]: step["output_column"]} if step.get("api") == "custom" else output_names(step)
     ctx.frames[target(step)] = df.select("entity", "date", *(F.col(a).alias(b) for a, b in names.items()), *step.get("keep", ()))
 
