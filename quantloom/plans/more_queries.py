@@ -474,8 +474,22 @@ SELECT *, coalesce(a > thr, false) AS jump, coalesce(a >= thr, false) AS hi FROM
     f"SELECT entity, date, {', '.join(WARM.format(c=c) for c in KIND_COLS)} FROM (SELECT entity, date, {KIND_AGG} FROM (SELECT *, {GAPS} FROM ({JUMP_FLAGS})) GROUP BY 1, 2)",
     doubles=", ".join(KIND_COLS), ctes=GRID_SQL)
 def minute_price_jumps(spark: SparkSession, d: str) -> DataFrame:
-    """M2: all columns."""
-    return minute.price_jump(minutes(spark, d), 5)
+    """M2: kinds, intervals and the day."""
+    return minute.price_jump(minutes(spark, d), 5).select("entity", "date", *KIND_COLS)
+
+
+JUMP_COLS = ["ridge_return_sum", "jump_count", "jump_turnover_sum", "jump_turnover_sumsq", "jump_next_turnover_sum", "jump_next_turnover_sumsq", "jump_xy_sum"]
+JUMP_AGG = "coalesce(sum(r) FILTER (ridge), 0) AS ridge_return_sum, count(*) FILTER (jump) AS jump_count, coalesce(sum(turnover) FILTER (jump), 0) AS jump_turnover_sum, coalesce(sum(turnover * turnover) FILTER (jump), 0) AS jump_turnover_sumsq, coalesce(sum(nx) FILTER (jump), 0) AS jump_next_turnover_sum, coalesce(sum(nx * nx) FILTER (jump), 0) AS jump_next_turnover_sumsq, coalesce(sum(turnover * nx) FILTER (jump), 0) AS jump_xy_sum"
+JUMP_POOL = "SELECT entity, date, CASE WHEN var_pop(p) > 0 AND var_pop(q) > 0 THEN covar_pop(p, q) / sqrt(var_pop(p) * var_pop(q)) END AS pooled FROM (SELECT entity, date, sum(CAST(peak AS INTEGER)) OVER w AS p, sum(CAST(ridge AS INTEGER)) OVER w AS q FROM jf WINDOW w AS (PARTITION BY entity, minute ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) GROUP BY 1, 2"
+
+
+@query(
+    f"SELECT entity, date, {', '.join(WARM.format(c=c) for c in [*JUMP_COLS, 'pooled'])} FROM (SELECT entity, date, {JUMP_AGG} FROM (SELECT *, close / lag(close) {_M} - 1 AS r, coalesce(lead(turnover) {_M}, 0) AS nx FROM jf) GROUP BY 1, 2) LEFT JOIN ({JUMP_POOL}) USING (entity, date)",
+    doubles=", ".join([*JUMP_COLS, "pooled"]), ctes=GRID_SQL + f", jf AS ({JUMP_FLAGS})")
+def minute_jump_moments(spark: SparkSession, d: str) -> DataFrame:
+    """M2: jumps, what follows them, returns on ridges, pooled counts; by the names that specifications use."""
+    out = minute.reduce_minutes(minutes(spark, d), "minute_pricejump_aggregate", [*JUMP_COLS, "peakridge_minute_corr_pooled"], std_window=5)
+    return out.withColumnRenamed("peakridge_minute_corr_pooled", "pooled")
 
 
 @query(

@@ -136,6 +136,8 @@ def check_minute(step: dict, known: dict[str, set[str]]) -> None:
     require(step, "cache_key", "features")
     if int(step.get("std_window", 1)) <= 0 or float(step.get("std_threshold", 1)) <= 0:
         raise SpecError(f"{step['action']}: std_window and std_threshold must be positive")
+    if missing := minute.missing_features(step["action"], step["features"]):
+        raise SpecError(f"{step['action']} has no features {missing}")
     columns = known.setdefault(target(step), set(KEYS))
     if clash := set(step["features"]) & columns:
         raise SpecError(f"{step['action']}: {sorted(clash)} are there already")
