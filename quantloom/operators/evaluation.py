@@ -156,15 +156,43 @@ def factor_correlation(long: DataFrame, centred: bool = False, names: list[str]
 
 
 def average_linkage(names: list[str], rho: dict[tuple[str, str], float], cut: float = 0.4) -> list[set[str]]:
-    """Clusters of a few hundred factors by mean distance 1 - rho, merged while it stays at or under `cut`."""
-    clusters = [{n} for n in sorted(names)]
-    far = lambda p, q: float(np.mean([1 - rho.get((min(a, b), max(a, b)), 0.0) for a in p for b in q]))
-    while len(clusters) > 1:
-        d, i, j = min((far(p, q), i, j) for i, p in enumerate(clusters) for j, q in enumerate(clusters[:i]))
-        if d > cut:
-            break
-        clusters[j] |= clusters.pop(i)
-    return clusters
+    """Clusters of a few hundred factors by mean distance 1 - rho, merged while it stays at or under `cut`.
+
+    Chains of nearest neighbours: two clusters that are each other's nearest merge at once, as no later merge brings another
+    nearer to either. A merged cluster's distances are the weighted means of its parts', so each merge is one row's update. Unknown
+    pairs are at distance 1.
+    """
+    names = sorted(names)
+    far = np.array([[1 - rho.get((min(a, b), max(a, b)), 0.0) if a != b else np.inf for b in names] for a in names], float).reshape(len(names), len(names))
+    far[np.isnan(far)] = 1.0
+    members, alive, chain = [{n} for n in names], list(range(len(names))), []
+    while len(alive) > 1:
+        chain = chain or [alive[0]]
+        top = chain[-1]
+        near = min(alive, key=lambda k: (far[top, k], len(chain) < 2 or k != chain[-2], k))
+        if len(chain) < 2 or near != chain[-2]:
+            if far[top, near] > cut:
+                # Nothing comes nearer than the nearest of a pair in the chain's end: this cluster stays.
+                alive.remove(top)
+                chain.pop()
+                continue
+            chain.append(near)
+            continue
+        i, j = sorted((top, near))
+        n, m = len(members[i]), len(members[j])
+        far[i] = far[:, i] = (n * far[i] + m * far[j]) / (n + m)
+        far[i, i] = np.inf
+        members[i] |= members[j]
+        alive.remove(j)
+        far[j] = far[:, j] = np.inf
+        chain = chain[:-2]
+    return sorted((members[k] for k in range(len(names)) if not any(members[k] < o for o in members)), key=min)
+
+
+def clusters(rho: DataFrame, names: list[str], cut: float = 0.4) -> DataFrame:
+    """factor, cluster (numbered by first name) from correlations (f1, f2, rho); a matrix of a few hundred names comes to the driver."""
+    found = average_linkage(names, {(min(r.f1, r.f2), max(r.f1, r.f2)): r.rho for r in rho.collect() if r.rho is not None}, cut)
+    return rho.sparkSession.createDataFrame([(n, k) for k, c in enumerate(found, 1) for n in sorted(c)], "factor string, cluster int")
 
 
 def excess_label(df: DataFrame, ret: str, mask: Column, output: str = "label") -> DataFrame:
@@ -178,26 +206,27 @@ def top_n(df: DataFrame, score: str, n: int) -> DataFrame:
     return df.where(F.col(score).isNotNull()).withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
 
 
-def exact_quantile(df: DataFrame, columns: list[str], q: float = 0.5, buckets: int = 1 << 16) -> DataFrame:
+def exact_quantile(df: DataFrame, columns: list[str], q: float = 0.5, small: int = 20_000, error: float = 3e-4) -> DataFrame:
     """feature, value: exact interpolated quantiles of whole columns, without one task that holds a column.
 
-    A pass counts values by equal buckets of each column's range; only the distinct values of the one or two buckets
-    in which the quantile lies go on, with their counts.
+    A sketch of each column, merged from its tasks, brackets the quantile's rank, whatever the distribution; its rank error is a third
+    of `error`. Then what lies below is counted, and only distinct values within the bracket, a few ten-thousandths of the
+    rows, go on with their counts. Columns of up to `small` values are their own bracket.
     """
     long = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot([], columns, "feature", "x").where("x is not null")
-    ends = long.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
+    shares = F.array(F.lit(max(q - error, 0.0)), F.lit(min(q + error, 1.0)))
+    ends = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.percentile_approx("x", shares, 10_000).alias("at"))
+    wide = F.col("n") <= small
+    ends = ends.select("feature", "n", F.when(wide | F.lit(q <= error), F.col("lo")).otherwise(F.col("at")[0]).alias("lo"), F.when(wide | F.lit(q >= 1 - error), F.col("hi")).otherwise(F.col("at")[1]).alias("hi"))
     # A row a column.
-    rows = long.join(F.broadcast(ends), "feature").withColumn("b", F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))).otherwise(F.lit(0)))
-    before = Window.partitionBy("feature").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    rows = long.join(F.broadcast(ends), "feature")
+    # What lies below the bracket is one row a task.
+    cells = rows.where("x <= hi").select("feature", "n", F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("x")).groupBy("feature", "n", "x").agg(F.count(F.lit(1)).alias("times"))
+    upto = F.sum("times").over(Window.partitionBy("feature").orderBy(F.col("x").asc_nulls_first()))
     at = (F.col("n") - 1) * F.lit(q)
-    cells = rows.groupBy("feature", "b").agg(F.count(F.lit(1)).alias("here"), F.first("n").alias("n")).withColumn("below", F.coalesce(F.sum("here").over(before), F.lit(0)))
-    hit = cells.where((F.col("below") <= F.ceil(at)) & (F.col("below") + F.col("here") > F.floor(at))).select("feature", "b", "below")
-    values = rows.join(F.broadcast(hit), ["feature", "b"]).groupBy("feature", "b", "x").agg(F.count(F.lit(1)).alias("times"), F.first("below").alias("below"), F.first("n").alias("n"))
-    upto = F.col("below") + F.sum("times").over(Window.partitionBy("feature", "b").orderBy("x"))
-    placed = values.withColumn("upto", upto)
     of = lambda k: F.max(F.when((F.col("upto") - F.col("times") <= k) & (F.col("upto") > k), F.col("x")))
-    ends = placed.groupBy("feature").agg(of(F.floor(at)).alias("a"), of(F.ceil(at)).alias("z"), F.first("n").alias("n"))
-    return ends.select("feature", (F.col("a") + (F.col("z") - F.col("a")) * (at - F.floor(at))).alias("value"))
+    placed = cells.withColumn("upto", upto).groupBy("feature").agg(of(F.floor(at)).alias("a"), of(F.ceil(at)).alias("z"), F.first("n").alias("n"))
+    return placed.select("feature", (F.col("a") + (F.col("z") - F.col("a")) * (at - F.floor(at))).alias("value"))
 
 
 def robust_scale(df: DataFrame, columns: list[str], train: Column) -> DataFrame:

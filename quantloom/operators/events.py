@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.expr import div, ln
 from .steps import as_of, cross_section_regress, keep_last, trailing
@@ -25,21 +29,27 @@ def clean_reports(reports: DataFrame) -> DataFrame:
 def revisions(reports: DataFrame, value: str, keys: list[str], date: str = "date", least: float = 0.01) -> DataFrame:
     """Per report its change against the analyst's baseline, which moves only when the change is large enough.
 
-    The baseline depends on all reports before: an ordered fold over each key's list, the one serial
-    operator. Lists are one analyst's reports on one entity and year.
+    The baseline depends on all reports before, so a key's reports are folded in order, the one serial operator. Tasks take
+    their keys' reports as a sorted stream and carry one baseline; no key's list is held.
     """
-    last = keep_last(reports, [*keys, date], [value])
-    ordered = last.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(date).alias("date"), F.col(value).alias("v")))).alias("s"))
-    start = F.struct(F.lit(None).cast("double").alias("base"), F.array().cast("array<struct<date:date,v:double,change:double>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        change = F.when(acc["base"] != 0, (x["v"] - acc["base"]) / F.abs(acc["base"]))
-        moved = acc["base"].isNull() | (F.abs(change) >= least)
-        return F.struct(F.when(moved, x["v"]).otherwise(acc["base"]).alias("base"), F.array_append(acc["out"], F.struct(x["date"].alias("date"), x["v"].alias("v"), F.when(moved, change).alias("change"))).alias("out"))
-
-    typed = F.transform("s", lambda x: F.struct(x["date"].cast("date").alias("date"), x["v"].cast("double").alias("v")))
-    folded = ordered.select(*keys, F.aggregate(typed, start, step, lambda acc: acc["out"]).alias("o"))
-    return folded.select(*keys, F.inline("o")).where("change is not null")
+    last = keep_last(reports, [*keys, date], [value]).select(*keys, F.col(date).cast("date").alias("date"), F.col(value).cast("double").alias("v"))
+    ordered = last.repartition(*keys).sortWithinPartitions(*keys, "date")
+    schema = StructType([*ordered.schema.fields, StructField("change", DoubleType())])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, base = None, None
+        for b in batches:
+            changes = []
+            for *k, v in zip(*(b.column(i).to_pylist() for i in range(len(keys))), b.column(len(keys) + 1).to_pylist(), strict=True):
+                if k != key:
+                    key, base = k, None
+                change = (v - base) / abs(base) if base and v is not None else None
+                moved = base is None or change is not None and abs(change) >= least
+                changes.append(change if moved else None)
+                base = v if moved else base
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(changes, pa.float64())], names=schema.names)
+
+    return ordered.mapInArrow(fold, schema).where("change is not null")
 
 
 def snapshots(events: DataFrame, value: str, lookback: int = 180, least_leads: int = 3) -> DataFrame:

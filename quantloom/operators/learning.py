@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import clean, div
-from .evaluation import ic_series, robust_scale, split_segments
+from .evaluation import exact_quantile, ic_series, robust_scale, split_segments
 
 
 def build_dataset(long: DataFrame, mask: DataFrame, label: DataFrame, features: list[str], train_end: str, valid_end: str, embargo_months: int = 1) -> DataFrame:
@@ -55,9 +55,12 @@ def common_last_day(long: DataFrame, features: list[str]) -> DataFrame:
 
 def scaler_table(train: DataFrame, features: list[str]) -> DataFrame:
     """feature, median, scale of the training rows: what is kept beside a model."""
-    x = train.unpivot(["entity", "date"], features, "feature", "x").where("x is not null")
-    med = x.groupBy("feature").agg(F.percentile("x", F.lit(0.5)).alias("median"))
-    return x.join(F.broadcast(med), "feature").groupBy("feature", "median").agg((F.percentile(F.abs(F.col("x") - F.col("median")), F.lit(0.5)) * 1.4826).alias("scale"))
+    med = exact_quantile(train, features).withColumnRenamed("value", "median")
+    # One row a feature, twice.
+    by = {r.feature: r.median for r in med.collect()}
+    away = train.select(*(F.abs(F.col(f) - F.lit(by[f])).alias(f) for f in features if f in by))
+    scale = exact_quantile(away, [f for f in features if f in by]) if by else med.withColumnRenamed("median", "value")
+    return med.join(scale, "feature").select("feature", "median", (F.col("value") * 1.4826).alias("scale"))
 
 
 def scaled(df: DataFrame, scaler: DataFrame, features: list[str]) -> DataFrame:

@@ -1,16 +1,18 @@
 """The declarative steps as functions of DataFrames. All are lazy; none needs a Python worker but
-`cross_section_regress` with more than two regressors."""
+`cross_section_regress` with more than two regressors, for a small system a group."""
 
 from __future__ import annotations
 
 import functools
 import itertools
 import operator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..functions.expr import col, compile_formula, div
 from ..functions.windows import AGGREGATES, bins, last_rows, rank, rolling, series, zscore
@@ -144,7 +146,7 @@ def row_correlate(df: DataFrame, a: list[str], b: list[str], output: str, method
 
 
 def cross_section_regress(df: DataFrame, y: str, xs: list[str], output: str, add_intercept: bool = True, date: str = "date", group: str | None = None, min_samples: int = 30) -> DataFrame:
-    """Least-squares residual within each date (and group). One or two regressors: window sums; more: one task a group."""
+    """Least-squares residual within each date (and group). One or two regressors: window sums; more: co-moments by group, solved, and joined."""
     keys = [date, *([group] if group else [])]
     ok = functools.reduce(operator.and_, (F.col(c).isNotNull() for c in [y, *xs, *keys]))
     need = max(len(xs) + add_intercept + 5, min_samples)
@@ -171,18 +173,32 @@ def cross_section_regress(df: DataFrame, y: str, xs: list[str], output: str, add
         apart = det > 1e-12 * aa * bb
         p, q = F.when(apart, (av * bb - bv * ab) / det).otherwise(alone[0]), F.when(apart, (bv * aa - av * ab) / det).otherwise(alone[1])
         return df.withColumn(output, F.when(ok & (F.col("_n") >= need), v - p * a - q * b)).drop(*cols, *(f"_m{n}" for n in cols), *s, "_n")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{output}` double"
-
-    def residual(rows: pd.DataFrame) -> pd.DataFrame:
-        m = rows[[y, *xs]].to_numpy(float, na_value=np.nan)
-        good = np.isfinite(m).all(1) & rows[keys].notna().all(axis=1).to_numpy()
-        out = np.full(len(rows), np.nan)
-        if good.sum() >= need:
-            a = np.column_stack([m[good, 1:], np.ones(good.sum())]) if add_intercept else m[good, 1:]
-            out[good] = m[good, 0] - a @ np.linalg.lstsq(a, m[good, 0], rcond=None)[0]
-        return rows.assign(**{output: pd.Series(out, rows.index).astype("Float64").where(~np.isnan(out))})
-
-    return df.groupBy(*keys).applyInPandas(residual, schema)
+    names = [*xs, y]
+    at = list(itertools.combinations_with_replacement(range(len(names)), 2))
+    # Co-moments by date: one row of p^2 numbers, combined within tasks first.
+    x = [F.when(ok, F.col(c).cast("double")) for c in names]
+    moment = (lambda a, b: F.covar_pop(a, b)) if add_intercept else (lambda a, b: F.avg(a * b))
+    gram = df.where(ok).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.array(*((F.avg(v) if add_intercept else F.lit(0.0)) for v in x)).alias("_means"), F.array(*(moment(x[i], x[j]) for i, j in at)).alias("_moments")).where(F.col("_n") >= need)
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slopes = []
+            for m in b.column(b.schema.get_field_index("_moments")).to_pylist():
+                full = np.zeros((len(names),) * 2)
+                for (i, j), v in zip(at, m, strict=True):
+                    full[i, j] = full[j, i] = v
+                scale = np.sqrt(np.maximum(np.diag(full)[:-1], 0.0))
+                scale = np.where(scale > 0, scale, 1.0)
+                # Any least-squares solution leaves the same residual; directions without variance are left out.
+                slopes.append((np.linalg.pinv(full[:-1, :-1] / np.outer(scale, scale), rcond=1e-10, hermitian=True) @ (full[:-1, -1] / scale) / scale).tolist())
+            kept = [c for n, c in zip(b.schema.names, b.columns, strict=True) if n not in ("_n", "_moments")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(slopes, pa.list_(pa.float64()))], names=solved.names)
+
+    solved = StructType([*(gram.schema[k] for k in keys), StructField("_means", ArrayType(DoubleType())), StructField("_slopes", ArrayType(DoubleType()))])
+    on = df.join(gram.mapInArrow(solve, solved), keys, "left")
+    fitted = functools.reduce(operator.add, (F.get("_slopes", F.lit(i)) * (F.col(c) - F.get("_means", F.lit(i))) for i, c in enumerate(xs)))
+    residual = F.when(ok, F.col(y) - F.get("_means", F.lit(len(xs))) - fitted)
+    return on.withColumn(output, residual).select(*df.columns, output)
 
 
 def rolling_ts_regress(df: DataFrame, seg1: str, seg2: str, index1: str, index2: str, output: str, window: int = 20, min_obs: int | None = None, group_by: str = "entity", date: str = "date") -> DataFrame:
