@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from ..shipping import ship
 from .evaluation import exact_quantile
 
 
@@ -87,6 +88,7 @@ def attributions(model: GBTRegressionModel, dataset: DataFrame, features: list[s
 
     base + sum(shap) is the model's prediction.
     """
+    ship(dataset.sparkSession)
     every = dataset.sparkSession.sparkContext.broadcast(stored_trees(model, folder))
     keys = [c for c in dataset.columns if c not in features]
     schema = StructType([*(dataset.schema[c] for c in keys), StructField("base", DoubleType()), StructField("shap", ArrayType(DoubleType()))])

@@ -7,9 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.expr import col, div, greater, less, ln
 from ..functions.windows import ENTITY, last_rows, moments, pearson, series
+from ..shipping import ship
+from .sliding import BARS, Slide
 
 EPS = 1e-12
 WINDOWS = (5, 10, 20, 30, 60)
@@ -165,9 +169,21 @@ def factor_names(windows: tuple[int, ...] = WINDOWS) -> list[str]:
 
 
 def all_factors(panel: DataFrame, windows: tuple[int, ...] = WINDOWS, only: list[str] | None = None, as_float: bool = False) -> DataFrame:
-    """entity, date and the factors asked for (all 158 by default); panel: entity, date, OHLC, volume, vwap."""
-    made = candle_factors() | {f"{n}{w}": c for w in windows for n, c in window_factors(w).items()}
-    if unknown := set(only or ()) - made.keys():
+    """entity, date and the factors asked for (all 158 by default); panel: entity, date, OHLC, volume, vwap.
+
+    One exchange and one sort by entity; candles are columns, window factors one pass over the sorted series (`sliding`).
+    """
+    ship(panel.sparkSession)
+    candles = candle_factors()
+    of = {f"{n}{w}": (n, w) for w in windows for n in FAMILIES}
+    names = only or [*candles, *of]
+    if unknown := set(names) - candles.keys() - of.keys():
         raise ValueError(f"no factors {sorted(unknown)}")
+    asked, plain = [n for n in names if n in of], [n for n in names if n in candles]
+    bars = [F.col(c).cast("double").alias(c) for c in BARS]
+    rows = panel.select(ENTITY, "date", *bars, F.row_number().over(series()).cast("double").alias("_place"), *(candles[n].alias(f"_{n}") for n in plain))
+    schema = StructType([rows.schema[ENTITY], rows.schema["date"], *(StructField(n, DoubleType()) for n in [*asked, *plain])])
+    # The window's order is the sort's: no second one.
+    made = rows.sortWithinPartitions(ENTITY, "date").mapInArrow(Slide(2, [of[n] for n in asked], to_arrow_schema(schema)), schema)
     kind = "float" if as_float else "double"
-    return prepared(panel).select(ENTITY, "date", *(made[n].cast(kind).alias(n) for n in only or made))
+    return made.select(ENTITY, "date", *(F.col(n).cast(kind).alias(n) for n in names))

@@ -21,6 +21,8 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
+from ..shipping import ship
+
 DAY = datetime.timedelta(days=1)
 PUSH_DOWN = "spark.sql.python.filterPushdown.enabled"
 
@@ -109,6 +111,7 @@ def field_names(options: dict[str, str]) -> list[str]:
 
 def register(spark: SparkSession, name: str, client: Client) -> None:
     """Makes `spark.read.format(name)` read this client."""
+    ship(spark)
 
     class Remote(DataSource):
         @classmethod

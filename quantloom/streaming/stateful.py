@@ -21,6 +21,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import BooleanType, StructType
 
 from ..operators.steps import keep_last
+from ..shipping import ship
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -79,6 +80,7 @@ def unpacked(raw: bytes) -> pd.DataFrame:
 
 def refresh_stream(spark: SparkSession, raw: str, cache: str, late: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame], warm_up: int, schema: StructType, provisional: int = 1) -> None:
     """Drains the folder's new files into the cache; the checkpoint carries state and place from call to call."""
+    ship(spark)
     if spark.conf.get(PROVIDER, ROCKS) != ROCKS or not spark.conf.get(PROVIDER, None):
         spark.conf.set(PROVIDER, ROCKS)
     marked = StructType([*schema.fields]).add("fresh", BooleanType())
