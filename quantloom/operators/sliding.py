@@ -51,9 +51,14 @@ class Frame:
     def n(self) -> np.ndarray:
         return self.ok.sum(1)
 
+    @cached_property
+    def whole(self) -> bool:
+        """No window lacks a value: nothing to mask."""
+        return bool(self.ok.all())
+
     @cached_property
     def total(self) -> np.ndarray:
-        return np.where(self.n > 0, np.where(self.ok, self.m, 0.0).sum(1), np.nan)
+        return np.where(self.n > 0, (self.m if self.whole else np.where(self.ok, self.m, 0.0)).sum(1), np.nan)
 
     @cached_property
     def mean(self) -> np.ndarray:
@@ -125,6 +130,14 @@ class Frame:
         at = (self.m == of[:, None]).argmax(1) - np.maximum(self.w - self.place, 0) + 1.0
         return np.where(self.n > 0, at, np.nan)
 
+    @cached_property
+    def first_high(self) -> np.ndarray:
+        return self.first(self.high)
+
+    @cached_property
+    def first_low(self) -> np.ndarray:
+        return self.first(self.low)
+
     def corr(self, other: Frame) -> np.ndarray:
         gone = ~(self.ok & other.ok)
         a, b = (Pair(np.where(gone, np.nan, f.m)) for f in (self, other))
@@ -168,7 +181,7 @@ class Block:
         f = lambda name: self.frame(name, w)
         c, v = self.series["close"], self.series["volume"]
         share = lambda part, whole: div(f(part).total, f(whole).total + EPS)
-        imax, imin = (lambda: f("high").first(f("high").high) / w), (lambda: f("low").first(f("low").low) / w)
+        imax, imin = (lambda: f("high").first_high / w), (lambda: f("low").first_low / w)
         made: dict[str, Callable[[], np.ndarray]] = {
             "roc": lambda: div(self.back(c, w), c), "ma": lambda: div(f("close").mean, c), "std": lambda: div(f("close").std, c),
             "beta": lambda: div(f("close").slope, c), "rsqr": lambda: f("close").rsquare, "resi": lambda: div(f("close").residual, c),

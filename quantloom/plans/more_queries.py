@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import div, greater, less
 from ..operators import evaluation as ev
-from ..operators import events, learning, minute, steps
+from ..operators import attribution, events, learning, minute, steps
 from ..operators import panel as pan
+from ..shipping import shared_dir
 from ..sources import tables
 from . import spec
 from .panels import MINUTES_SQL, PANEL_SQL, minutes, panel
@@ -294,10 +295,11 @@ def last_of_year(spark: SparkSession, d: str) -> DataFrame:
     return tables.last_value(panel(spark, d).withColumn("yr", F.year("date")), ["entity", "yr"], "close", "date")
 
 
-@query("SELECT CAST(entity AS VARCHAR) AS entity, date, close AS value FROM panel WHERE entity BETWEEN 1 AND 4", "entity, date", "value")
+@query("SELECT CAST(entity AS VARCHAR) AS entity, date, close AS value FROM panel", "entity, date", "value")
 def wide_and_back(spark: SparkSession, d: str) -> DataFrame:
     """U5, U7, U8."""
-    return tables.melt(tables.pivot(panel(spark, d), "close", [1, 2, 3, 4]))
+    entities = [r.s_suppkey for r in tables.read(spark, d, "supplier").select("s_suppkey").orderBy("s_suppkey").collect()]  # the export's columns
+    return tables.melt(tables.pivot(panel(spark, d), "close", entities))
 
 
 @query("SELECT p.entity, p.date, e.f AS value FROM panel p ASOF JOIN (SELECT o_custkey AS entity, CAST(o_orderdate AS DATE) AS date, max(sqrt(o_totalprice)) AS f FROM orders GROUP BY 1, 2) e ON p.entity = e.entity AND p.date >= e.date", doubles="value")
@@ -406,12 +408,12 @@ def filled_lead_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT d.entity, d.date, d.yr, CASE WHEN d.date - s.date < 120 THEN s.view END AS view FROM (SELECT DISTINCT entity, date, year(date) - CASE WHEN month(date) < 5 THEN 1 ELSE 0 END AS yr FROM rep) d ASOF JOIN (SELECT entity, year(date) AS yr, date, max(v) AS view FROM rep WHERE lead LIKE '1%' GROUP BY 1, 2, 3) s ON s.entity = d.entity AND s.yr = d.yr AND d.date >= s.date WHERE d.date - s.date < 120""",
+    """SELECT d.entity, d.date, d.yr, CASE WHEN d.date - s.date < 120 THEN s.view END AS view FROM (SELECT DISTINCT entity, date, year(date) - CASE WHEN month(date) < 5 THEN 1 ELSE 0 END AS yr FROM rep) d ASOF JOIN (SELECT entity, year(date) AS yr, date, max(v) AS view FROM rep GROUP BY 1, 2, 3) s ON s.entity = d.entity AND s.yr = d.yr AND d.date >= s.date WHERE d.date - s.date < 120""",
     "entity, date, yr", "view", ORDERS_SQL)
 def revision_panels(spark: SparkSession, d: str) -> DataFrame:
     """A fiscal year's views on the days on which it is the next to be reported, until they expire."""
     r = reports(spark, d)
-    snaps = r.where("lead like '1%'").groupBy("entity", F.year("date").alias("year"), "date").agg(F.max("v").alias("view"))
+    snaps = r.groupBy("entity", F.year("date").alias("year"), "date").agg(F.max("v").alias("view"))
     return events.revision_panel(r.select("entity", "date").distinct(), snaps, 120).withColumnRenamed("year", "yr")
 
 
@@ -543,12 +545,48 @@ def boosted_scores(spark: SparkSession, d: str) -> DataFrame:
     """Trees trained on one segment, live scores of all usable cells; rows only (trees have no twin)."""
     data = learning_dataset(spark, d)
     features = ["close", "volume"]
-    model = learning.train_boosted(data, features, rounds=3, depth=3)
+    model = learning.train_boosted(data, features, rounds=10)
     raw = long(spark, d)
     wide = raw.where(F.col("date") <= F.lit("1995-12-31").cast("date")).groupBy("entity", "date").pivot("factor", features).agg(F.max("value"))
     return learning.predict_live(model, learning.scaler_table(wide, features), raw, ev.masks(flags(spark, d)), features, "1997-01-01")
 
 
+@query(keys="feature, n", doubles="mean_abs, skew, q05, q50, q95, rank_corr")
+def attribution_report(spark: SparkSession, d: str) -> DataFrame:
+    """What each feature adds to the trees' predictions; no SQL (trees)."""
+    data, features = learning_dataset(spark, d), ["close", "volume"]
+    model = learning.train_boosted(data, features, rounds=5)
+    attributed = attribution.attributions(model, data, features, shared_dir(spark)).persist()  # read several times
+    return attribution.attribution_statistics(attributed, data, features)
+
+
+@query(keys="cluster, factor, size", doubles="icir")
+def clustered_factors(spark: SparkSession, d: str) -> DataFrame:
+    """From the factors of one width to clusters to each cluster's strongest; no SQL (a dendrogram)."""
+    names = [f"{n}5" for n in pan.FAMILIES]
+    p = panel(spark, d)
+    every = pan.all_factors(p.withColumn("vwap", F.col("close")), (5,), names).unpivot(["entity", "date"], names, "factor", "value").where("value is not null")
+    found = ev.clusters(ev.factor_correlation(every), names)
+    return ev.representatives(found, ev.inventory(every, p, (1,)))
+
+
+@query("SELECT entity, date, volume * open AS money FROM panel WHERE close > 0 AND volume > 0 OR open > 1000", doubles="money", ctes=PANEL_SQL)
+def merged_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Two frames merged, a panel loaded, a filter with words."""
+    p = panel(spark, d)
+    fetch = {"action": "fetch", "api": "get_factor"}
+    todo = [
+        fetch | {"fields": "close", "output_column": "close"},
+        fetch | {"fields": "volume", "output_column": "volume", "output_dataframe": "other"},
+        {"action": "merge", "target_dataframe": "data", "source_dataframe": "other", "on": ["entity", "date"], "columns": ["volume"]},
+        {"action": "load_panel", "panel_config": "opens", "output_column": "open"},
+        {"action": "filter", "condition": "close > 0 and volume > 0 or open > 1000"},
+        {"action": "compute", "formula": "volume * open", "source_columns": ["volume", "open"], "output_column": "money"},
+    ]
+    recipe = {"factor": {"name": "m", "column": "money"}, "calculation_steps": todo}
+    return spec.run(recipe, spec.Context({"daily": p, "opens": p.select("entity", "date", F.col("open").alias("value"))}))
+
+
 @query("SELECT 1 AS one, min(d) AS last_day FROM (SELECT factor, max(date) AS d FROM long GROUP BY factor)", "one, last_day", "", PANEL_SQL + LONG_SQL)
 def common_last_day(spark: SparkSession, d: str) -> DataFrame:
     """The day to which live scores go."""

@@ -24,3 +24,14 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(PACKAGE.rglob("*.py")):
             z.write(f, f.relative_to(PACKAGE.parent))
     sc.addPyFile(archive)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder; a local one only in local mode."""
+    sc = spark.sparkContext
+    if folder := spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir():
+        return folder.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(folder := "file://" + tempfile.mkdtemp(prefix="quantloom-"))
+    return folder
