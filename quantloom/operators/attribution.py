@@ -113,7 +113,7 @@ def top_by_attribution(attributed: DataFrame, features: list[str], k: int = 64)
 def attribution_statistics(attributed: DataFrame, dataset: DataFrame, features: list[str], keys: tuple[str, ...] = ("entity", "date"), shares: tuple[float, ...] = (0.05, 0.5, 0.95)) -> DataFrame:
     """By feature: mean absolute attribution, exact quantiles, bias-corrected skewness, and the rank correlation of value and attribution.
 
-    Both tables are read several times: store or persist them before.
+    Both tables are read several times: give stored ones.
     """
     by = [*keys]
     on = attributed.select(*by, *(F.get("shap", F.lit(i)).alias(f"_s{i}") for i in range(len(features)))).join(dataset.select(*by, *(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"_x{i}") for i, f in enumerate(features))), by)

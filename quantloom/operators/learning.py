@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import clean, div
+from ..shipping import stored
 from .evaluation import exact_quantile, ic_series, robust_scale, split_segments
 
 
@@ -19,8 +20,8 @@ def build_dataset(long: DataFrame, mask: DataFrame, label: DataFrame, features:
     """entity, date, segment, label and scaled features, for usable cells (pre) with a finite label."""
     wide = long.where(F.col("factor").isin(features)).groupBy("entity", "date").pivot("factor", features).agg(F.max(clean("value")))
     on = mask.where("pre").select("entity", "date").join(label.where(clean("label").isNotNull()).select("entity", "date", "label"), ["entity", "date"]).join(wide, ["entity", "date"], "left")
-    # Scaling reads the joined cells several times, training after it too.
-    on = on.persist()
+    # Scaling reads the joined cells several times.
+    on = stored(on, "cells")
     return robust_scale(split_segments(on, train_end, valid_end, embargo_months), features, F.col("segment") == "train").select("entity", "date", "segment", "label", *features)
 
 

@@ -9,7 +9,7 @@ from ..functions.expr import div, greater, less
 from ..operators import evaluation as ev
 from ..operators import attribution, events, learning, minute, steps
 from ..operators import panel as pan
-from ..shipping import shared_dir
+from ..shipping import shared_dir, stored
 from ..sources import tables
 from . import spec
 from .panels import MINUTES_SQL, PANEL_SQL, minutes, panel
@@ -543,7 +543,7 @@ def learning_dataset(spark: SparkSession, d: str) -> DataFrame:
 @query(doubles="score")
 def boosted_scores(spark: SparkSession, d: str) -> DataFrame:
     """Trees trained on one segment, live scores of all usable cells; rows only (trees have no twin)."""
-    data = learning_dataset(spark, d)
+    data = stored(learning_dataset(spark, d), "dataset")
     features = ["close", "volume"]
     model = learning.train_boosted(data, features, rounds=10)
     raw = long(spark, d)
@@ -554,10 +554,10 @@ def boosted_scores(spark: SparkSession, d: str) -> DataFrame:
 @query(keys="feature, n", doubles="mean_abs, skew, q05, q50, q95, rank_corr")
 def attribution_report(spark: SparkSession, d: str) -> DataFrame:
     """What each feature adds to the trees' predictions; no SQL (trees)."""
-    data, features = learning_dataset(spark, d), ["close", "volume"]
+    data, features = stored(learning_dataset(spark, d), "dataset"), ["close", "volume"]
     model = learning.train_boosted(data, features, rounds=5)
-    attributed = attribution.attributions(model, data, features, shared_dir(spark)).persist()  # read several times
-    return attribution.attribution_statistics(attributed, data, features)
+    attributed = attribution.attributions(model, data, features, shared_dir(spark))
+    return attribution.attribution_statistics(stored(attributed, "shap"), data, features)
 
 
 @query(keys="cluster, factor, size", doubles="icir")

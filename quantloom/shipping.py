@@ -1,13 +1,15 @@
-"""This package on the executors, for operators whose tasks run its Python code."""
+"""This package on the executors, and tables in the folder that they share."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
@@ -35,3 +37,28 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(folder := "file://" + tempfile.mkdtemp(prefix="quantloom-"))
     return folder
+
+
+_homes: dict[str, tuple[SparkSession, str]] = {}
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """The rows as a table in the shared folder: a short plan, read as often as needed, that outlives executors. Dropped at the end."""
+    spark = df.sparkSession
+    key = spark.sparkContext.applicationId
+    if key not in _homes:
+        name = f"quantloom_core_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark)}/{name}'")
+        _homes[key] = spark, name
+    table = f"{_homes[key][1]}.{tag}_{uuid.uuid4().hex}"
+    df.write.saveAsTable(table)
+    return spark.table(table)
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, name in _homes.values():
+        try:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        except Exception:  # the session may have ended before the interpreter
+            break
