@@ -155,7 +155,7 @@ def test_average_linkage():
 
 def test_spec_validation_and_run(spark):
     good = {"factor": {"name": "f", "column": "r"}, "calculation_steps": [
-        {"action": "fetch", "fields": ["x"], "output_columns": {"x": "x"}},
+        {"action": "fetch", "api": "get_factor", "fields": ["x"], "output_columns": {"x": "x"}},
         {"action": "transform", "method": "diff", "source_column": "x", "output_column": "d"},
         {"action": "rank", "source_column": "d", "output_column": "r", "group_by": ["date"], "pct": True},
     ]}
