@@ -80,6 +80,12 @@ class CountTrigrams:
         yield record_batch(["code", "n"], [pa.int64(), pa.int64()], [at, total[at]])
 
 
+#: Longer tokens and spans aren't kept by workers.
+LONGEST = 48
+#: Characters of a path that a step copies at most.
+PIECE = 32
+
+
 @dataclass
 class Restore:
     """Viterbi decoding under log p(c | a, b). The name is the model's own: workers keep decodings under it."""
@@ -108,7 +114,8 @@ class Restore:
         """The likeliest letters; ties go to the first found, which keeps what was written. With repeats, all are kept."""
         log_p = self.flat
         # A state is the last two letters' codes in one number.
-        paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        # A path ends in a short piece of text, behind linked longer ones: a step copies the piece alone.
+        paths: dict[int, tuple[float, tuple | None, str]] = {0: (0.0, None, "")}
         last = ""
         for c in span:
             options = [(c, 0.0)] if c.isalpha() else []
@@ -118,17 +125,25 @@ class Restore:
                 # A repetition is kept at a price, or taken for one letter.
                 options, drop = [(x, cost + self.keep_repeat_cost) for x, cost in options], 0.0
             coded = [(CODE.get(x, OTHER), x, more) for x, more in options]
-            ahead: dict[int, tuple[float, str]] = {}
-            for state, (cost, text) in paths.items():
-                if drop is not None and (state not in ahead or (cost + drop, text) < ahead[state]):
-                    ahead[state] = cost + drop, text
+            ahead: dict[int, tuple[float, tuple | None, str]] = {}
+            for state, (cost, behind, text) in paths.items():
+                if drop is not None and (state not in ahead or cost + drop < ahead[state][0]):
+                    ahead[state] = cost + drop, behind, text
+                if len(text) == PIECE:
+                    behind, text = (behind, text), ""
                 for to, x, more in coded:
                     place = state * SIZE + to
                     at, state_to = cost + more - log_p[place], place % SIZE**2
                     if state_to not in ahead or at < ahead[state_to][0]:
-                        ahead[state_to] = at, text + x
+                        ahead[state_to] = at, behind, text + x
             paths, last = ahead, c
-        return min((cost - log_p[state * SIZE], text) for state, (cost, text) in paths.items())[1]
+        ended = [(cost - log_p[state * SIZE], behind, text) for state, (cost, behind, text) in paths.items()]
+        _, behind, text = min(ended, key=lambda x: x[0])
+        pieces = [text]
+        while behind:
+            behind, text = behind
+            pieces.append(text)
+        return "".join(reversed(pieces))
 
     @cached_property
     def flat(self) -> list[float]:
@@ -139,7 +154,9 @@ class Restore:
         if (out := known.get(span)) is None:
             if len(known) > 200_000:
                 known.clear()
-            out = known[span] = self.readings(span)
+            out = self.readings(span)
+            if len(span) <= LONGEST:
+                known[span] = out
         return out
 
     def tokens(self, text: str, known: dict[str, str]) -> list[str]:
@@ -161,10 +178,6 @@ class Restore:
         return " ".join(self.restored(t, known) for t in self.tokens(text, known))
 
 
-#: Longer tokens aren't kept by workers.
-LONGEST = 48
-
-
 def looked_up(known: dict, tokens: list[str], make: Callable[[str], object], most: int = 400_000) -> list:
     """make of each token, kept in known: a worker works out a token once while its table isn't full."""
     missing = set(tokens).difference(known)
@@ -210,7 +223,16 @@ PARTS = ["part", "clean0", "toxic0", "clean1", "toxic1"]
 
 def decoded(restore: Broadcast) -> dict[str, str]:
     """What a worker has decoded by this very model."""
-    return worker_store("toxicity", f"restored by {restore.value.name}")
+    return latest("restored", restore.value.name)
+
+
+def latest(kind: str, name: str) -> dict:
+    """A worker's table of one model: another model's goes."""
+    held = worker_store("toxicity", kind)
+    if held.get("name") != name:
+        held.clear()
+        held |= {"name": name, "table": {}}
+    return held["table"]
 
 
 @dataclass
@@ -234,7 +256,7 @@ class Score:
         return max(found, default=0.0), float(np.log1p(sum(x >= 3.0 for x in found))), float(np.log1p(sum(found)))
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restored, known = decoded(self.restore), worker_store("toxicity", f"weights {self.weights.value[0]}")
+        restored, known = decoded(self.restore), latest("weights", self.weights.value[0])
         for b in slices(batches, max_bytes=16 << 20):
             rows = np.array([self.features(t or "", restored, known) for t in b.column(1).to_pylist()]).reshape(-1, 3)
             if self.curve is None:

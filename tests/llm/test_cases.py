@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import time
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -149,6 +150,12 @@ def test_viterbi_finds_the_best_of_all_paths():
         for repeats in (False, True):
             best = min(c for c, _ in paths(span, repeats))
             assert restore.word(span, repeats) in {w for c, w in paths(span, repeats) if c < best + 1e-9}, span
+    # a path's pieces are put together again, and time grows with the length
+    long = "1d10t-" * 40
+    assert restore.word(long) == "idiot" * 40
+    began = time.time()
+    assert len(restore.word("1a" * 100_000)) == 200_000
+    assert time.time() - began < 8
     # the restored word stands for what was written
     assert restore.text("An 1d10t.", {}) == "an idiot."
 
