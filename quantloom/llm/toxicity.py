@@ -82,8 +82,8 @@ class CountTrigrams:
 
 #: Longer tokens and spans aren't kept by workers.
 LONGEST = 48
-#: Characters of a path that a step copies at most.
-PIECE = 32
+#: Characters of a path that a step copies at most; the first of the private code points, more than there are states.
+PIECE, HEAD = 32, 0xF0000
 
 
 @dataclass
@@ -114,10 +114,14 @@ class Restore:
         """The likeliest letters; ties go to the first found, which keeps what was written. With repeats, all are kept."""
         log_p = self.flat
         # A state is the last two letters' codes in one number.
-        # A path ends in a short piece of text, behind linked longer ones: a step copies the piece alone.
-        paths: dict[int, tuple[float, tuple | None, str]] = {0: (0.0, None, "")}
+        # A path's text begins with the number of the linked pieces before it, so a step copies one piece at most.
+        heads: list[tuple | None] = [None]
+        paths: dict[int, tuple[float, str]] = {0: (0.0, chr(HEAD))}
         last = ""
-        for c in span:
+        for i, c in enumerate(span):
+            if i % PIECE == 0 and i:
+                heads = [(heads[ord(text[0]) - HEAD], text[1:]) for _, text in paths.values()]
+                paths = {state: (cost, chr(HEAD + k)) for k, (state, (cost, _)) in enumerate(paths.items())}
             options = [(c, 0.0)] if c.isalpha() else []
             options += [(x, self.swap_cost) for x in LOOKS.get(c, "")]
             drop = self.drop_cost if not options else None
@@ -125,21 +129,18 @@ class Restore:
                 # A repetition is kept at a price, or taken for one letter.
                 options, drop = [(x, cost + self.keep_repeat_cost) for x, cost in options], 0.0
             coded = [(CODE.get(x, OTHER), x, more) for x, more in options]
-            ahead: dict[int, tuple[float, tuple | None, str]] = {}
-            for state, (cost, behind, text) in paths.items():
-                if drop is not None and (state not in ahead or cost + drop < ahead[state][0]):
-                    ahead[state] = cost + drop, behind, text
-                if len(text) == PIECE:
-                    behind, text = (behind, text), ""
+            ahead: dict[int, tuple[float, str]] = {}
+            for state, (cost, text) in paths.items():
+                if drop is not None and (state not in ahead or (cost + drop, text) < ahead[state]):
+                    ahead[state] = cost + drop, text
                 for to, x, more in coded:
                     place = state * SIZE + to
                     at, state_to = cost + more - log_p[place], place % SIZE**2
                     if state_to not in ahead or at < ahead[state_to][0]:
-                        ahead[state_to] = at, behind, text + x
+                        ahead[state_to] = at, text + x
             paths, last = ahead, c
-        ended = [(cost - log_p[state * SIZE], behind, text) for state, (cost, behind, text) in paths.items()]
-        _, behind, text = min(ended, key=lambda x: x[0])
-        pieces = [text]
+        text = min((cost - log_p[state * SIZE], text) for state, (cost, text) in paths.items())[1]
+        behind, pieces = heads[ord(text[0]) - HEAD], [text[1:]]
         while behind:
             behind, text = behind
             pieces.append(text)
