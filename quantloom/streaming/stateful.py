@@ -81,8 +81,7 @@ def unpacked(raw: bytes) -> pd.DataFrame:
 def refresh_stream(spark: SparkSession, raw: str, cache: str, late: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame], warm_up: int, schema: StructType, provisional: int = 1) -> None:
     """Drains the folder's new files into the cache; the checkpoint carries state and place from call to call."""
     ship(spark)
-    if spark.conf.get(PROVIDER, ROCKS) != ROCKS or not spark.conf.get(PROVIDER, None):
-        spark.conf.set(PROVIDER, ROCKS)
+    spark.conf.set(PROVIDER, ROCKS)  # the only store for this kind of state
     marked = StructType([*schema.fields]).add("fresh", BooleanType())
     rows = spark.readStream.schema(schema).parquet(raw).where("entity IS NOT NULL AND date IS NOT NULL")
     days = rows.groupBy("entity").transformWithStateInPandas(LastDays(warm_up, provisional, schema.names), marked, "append", "none")
