@@ -1,18 +1,25 @@
 """Line dedup by content-defined chunks, in DataFrame functions only.
 
-Lines are hashed, and a rolling hash goes over every two of them. A place is a boundary if its rolling
-hash is the smallest of some `spacing` places in a row: that depends on the lines around it alone, so
-boundaries move with the text, and no `spacing` places lack one. The two lines at a boundary are a
-chunk; the chunk with one more line on either side finishes a passage off at its edges. With the
-default spacing of 2, any passage of three lines or more holds a boundary, the same in all documents,
-and is covered to its first and last line; of passages of two lines between other lines a part has none
-(spacing 1 makes every place a boundary). A line of at least `min_words` words is a chunk of its own.
-
-Chunks that occur more than once in the corpus are found by hash, then grouped by their bytes. All but
-the first occurrence, in order of document and line, are removed; the first one stays.
-
-Hashes travel without text; text is sent for repeated chunks only, and counts combine before the
-shuffle, so a passage that a third of all rows share is one row a task. The most frequent chunks, a
+Lines are hashed, and a rolling hash goes over every two of them. The place between two lines is a
+boundary if its rolling hash is the smallest of some `spacing` places in a row, or if the two lines hold
+at least `min_words` words: that depends on the lines around it alone, so boundaries move with the text,
+and no `spacing` places lack one. A chunk is all lines from one boundary to the next (a text's start and
+end are boundaries too); chunks of several lines, and lines of at least `min_words` words, are compared
+over the corpus. The two lines at a boundary, its seam, are compared too: they tie a chunk to the next
+one, and meet repetitions that hold a boundary but no whole chunk. From every repeated seam the
+repetition is followed outwards, line by line on both sides, up to the most lines that a chunk may have:
+there the next common boundary takes over, so that it ends where the repetition ends.
+
+So any passage of more than `spacing` lines holds a boundary, the same in all documents, and is covered
+to its first and last line, as is any of two lines and `min_words` words. Larger spacing makes longer
+chunks and fewer rows, and misses more of the passages that are shorter than it.
+
+Units that occur more than once in the corpus are found by hash, then grouped by their bytes; a line
+outwards is grouped by its bytes and a digest of 128 bits of those between it and the seam, the seam
+included. All but the first occurrence, in order of document and line, are removed; the first one stays.
+
+Hashes travel without text; text is sent for repeated units only, and counts combine before the
+shuffle, so a passage that a third of all rows share is one row a task. The most frequent units, a
 bounded number of bounded size, reach their occurrences by broadcast, all others by equi-joins that
 adaptive execution splits. The earliest occurrence of every line stays somewhere.
 
@@ -45,29 +52,58 @@ def once(value: Column, of) -> Column:
 
 
 def units(lines: Column, min_words: int, spacing: int) -> Column:
-    """array<struct<start, n, hash>>: chunks at boundaries, the same with a line more, and long lines."""
-    span = lambda start, n: F.struct(start.cast("int").alias("start"), F.lit(n).alias("n"))
-    none = F.array().cast("array<struct<start:int,n:int>>")
-
-    def chunks(hashes: Column, rolled: Column) -> Column:
-        last = F.size(rolled) - 1
-        runs = lambda i: F.sequence(F.greatest(i - spacing + 1, F.lit(0)), F.least(i, F.greatest(last + 1 - spacing, F.lit(0))))
-        least = lambda i: F.exists(runs(i), lambda s: F.array_min(F.slice(rolled, s + 1, spacing)) == F.get(rolled, i))
-        at = F.filter(F.sequence(F.lit(0), last), least)
-        before = F.transform(F.filter(at, lambda i: i > 0), lambda i: span(i - 1, 3))
-        after = F.transform(F.filter(at, lambda i: i < last), lambda i: span(i, 3))
-        return F.concat(F.transform(at, lambda i: span(i, 2)), F.array_union(before, after))
-
-    def of(hashes: Column) -> Column:
-        n = F.size(hashes)
-        pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.xxhash64(F.slice(hashes, i, 2)))
-        found = F.when(n > 1, once(pairs, lambda rolled: chunks(hashes, rolled))).otherwise(none)
-        # A line of so many words has that many characters and the gaps between them.
-        long_lines = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (F.length(F.get(lines, i)) >= 2 * min_words - 1) & (F.regexp_count(F.get(lines, i), F.lit(WORDS)) >= min_words))
-        every = F.concat(found, F.transform(long_lines, lambda i: span(i, 1)))
+    """array<struct<start, n, hash>>: chunks of several lines, seams, and long lines."""
+    span = lambda start, n: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"))
+    words = F.transform(lines, lambda x: F.regexp_count(x, F.lit(WORDS)))
+
+    def spans(hashes: Column, words: Column) -> Column:
+        last = F.size(hashes) - 2
+        long_lines = F.filter(F.sequence(F.lit(0), last + 1), lambda i: F.get(words, i) >= min_words)
+        long_lines = F.transform(long_lines, lambda i: span(i, F.lit(1)))
+
+        def chunks(rolled: Column) -> Column:
+            runs = lambda i: F.sequence(F.greatest(i - spacing + 1, F.lit(0)), F.least(i, F.greatest(last + 1 - spacing, F.lit(0))))
+            least = lambda i: F.exists(runs(i), lambda s: F.array_min(F.slice(rolled, s + 1, spacing)) == F.get(rolled, i))
+            full = lambda i: F.get(words, i) + F.get(words, i + 1) >= min_words
+            at = F.filter(F.sequence(F.lit(0), last), lambda i: full(i) | least(i))
+            return once(F.concat(F.array(F.lit(-1)), at, F.array(last + 1)), between)
+
+        def between(edges: Column) -> Column:
+            pairs = F.arrays_zip(F.slice(edges, 1, F.size(edges) - 1).alias("a"), F.slice(edges, 2, F.size(edges) - 1).alias("b"))
+            whole = F.filter(F.transform(pairs, lambda e: span(e["a"] + 1, e["b"] - e["a"])), lambda s: s["n"] > 1)
+            seams = F.transform(F.slice(edges, 2, F.size(edges) - 2), lambda i: span(i, F.lit(2)))
+            return F.concat(seams, whole)
+
+        rolled = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.xxhash64(F.slice(hashes, i, 2)))
+        return F.concat(F.when(last >= 0, once(rolled, chunks)).otherwise(F.array().cast("array<struct<start:int,n:int>>")), long_lines)
+
+    def hashed(hashes: Column) -> Column:
+        every = once(words, lambda w: spans(hashes, w))
         return F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"), F.xxhash64(F.slice(hashes, s["start"] + 1, s["n"])).alias("hash")))
 
-    return once(F.transform(lines, lambda x: F.xxhash64(x)), of)
+    return once(F.transform(lines, lambda x: F.xxhash64(x)), hashed)
+
+
+def texts(found: Column, lines: Column, spacing: int) -> Column:
+    """array<struct<start, n, step, hash, chunk>>: each unit's text (step 0), and the lines outwards from it where it has two lines.
+
+    A line outwards has its distance as step, below 0 before the seam; its chunk is the line behind a digest of what lies between.
+    """
+    text = lambda start, n: F.array_join(F.slice(lines, start + 1, n), "\n")
+    row = lambda start, n, step, hash_, chunk: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"), step.cast("int").alias("step"), hash_.alias("hash"), chunk.alias("chunk"))
+    own = F.transform(found, lambda u: row(u["start"], u["n"], F.lit(0), u["hash"], text(u["start"], u["n"])))
+    if spacing == 1:
+        return own
+
+    def outward(start: Column, step: Column) -> Column:
+        behind = F.when(step > 0, text(start, step + 1)).otherwise(text(start + step + 1, 1 - step))
+        at = start + step + F.when(step > 0, 1).otherwise(0)
+        return once(F.concat(F.md5(behind), F.get(lines, at)), lambda chunk: row(at, F.lit(1), step, F.xxhash64(chunk), chunk))
+
+    steps = F.array(*(F.lit(k) for k in range(1 - spacing, spacing) if k))
+    there = lambda u: F.filter(steps, lambda k: (u["start"] + k >= 0) & (u["start"] + k + 1 < F.size(lines)))
+    more = F.flatten(F.transform(F.filter(found, lambda u: u["n"] == 2), lambda u: F.transform(there(u), lambda k: outward(u["start"], k))))
+    return F.concat(own, more)
 
 
 def line_dedup(docs: DataFrame, min_words: int = 50, spacing: int = 2, drop_emptied: bool = False, id_col: str = "doc_id", text_col: str = "text", counts: bool = False, hot: int = 1000) -> DataFrame:
@@ -89,13 +125,12 @@ def line_dedup(docs: DataFrame, min_words: int = 50, spacing: int = 2, drop_empt
     met = cut(met, "texts").withColumn("_t", F.col("_d")[text_col].cast("string"))
     # Chunks are cut out before they become rows, so that no row carries its document's lines.
     held = met.where("_units is not null").select("_id", "_h", "_units", lines_of(F.col("_t")).alias("_lines"))
-    cut_out = F.transform("_units", lambda u: F.struct(u["start"].alias("start"), u["n"].alias("n"), u["hash"].alias("hash"), F.array_join(F.slice("_lines", u["start"] + 1, u["n"]), "\n").alias("chunk")))
-    chunks = cut(held.select("_id", "_h", F.inline(cut_out)), "chunks")
-    place = F.struct("_id", "_h", "start")
-    firsts = cut(chunks.groupBy("hash", "n", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"), "firsts")
-    often = firsts.where(F.octet_length("chunk") <= 4096).orderBy(F.desc("times"), "hash").limit(hot).select("hash", "n", "chunk", F.col("first").alias("_often"))
-    later = chunks.join(F.broadcast(often), ["hash", "n", "chunk"], "left").withColumn("_key", F.when(F.col("_often").isNull(), F.col("hash")).otherwise(F.monotonically_increasing_id()))
-    later = later.join(firsts.select(F.col("hash").alias("_key"), "n", "chunk", "first"), ["_key", "n", "chunk"], "left").where(place > F.coalesce("_often", "first"))
+    chunks = cut(held.select("_id", "_h", F.inline(texts(F.col("_units"), F.col("_lines"), spacing))), "chunks")
+    place, same = F.struct("_id", "_h", "start"), ["n", "step", "chunk"]
+    firsts = cut(chunks.groupBy("hash", *same).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"), "firsts")
+    often = firsts.where(F.octet_length("chunk") <= 4096).orderBy(F.desc("times"), "hash").limit(hot).select("hash", *same, F.col("first").alias("_often"))
+    later = chunks.join(F.broadcast(often), ["hash", *same], "left").withColumn("_key", F.when(F.col("_often").isNull(), F.col("hash")).otherwise(F.monotonically_increasing_id()))
+    later = later.join(firsts.select(F.col("hash").alias("_key"), *same, "first"), ["_key", *same], "left").where(place > F.coalesce("_often", "first"))
     lines = later.select("_id", "_h", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at"))
     gone = lines.groupBy(F.col("_id").alias("_gid"), F.col("_h").alias("_gh")).agg(F.collect_set("at").alias("_gone"))
 
