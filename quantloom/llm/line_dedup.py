@@ -85,20 +85,20 @@ def units(lines: Column, min_words: int, spacing: int) -> Column:
 
 
 def texts(found: Column, lines: Column, spacing: int) -> Column:
-    """array<struct<start, n, step, hash, chunk>>: each unit's text (step 0), and the lines outwards from it where it has two lines.
+    """array<struct<start, n, step, hash, chunk>>: each unit's bytes (step 0), and the lines outwards from it where it has two lines.
 
-    A line outwards has its distance as step, below 0 before the seam; its chunk is the line behind a digest of what lies between.
+    A line outwards has its distance as step, below 0 before the seam. The lines between are told by 64 bits as hash and 64 of another kind before the line's bytes.
     """
     text = lambda start, n: F.array_join(F.slice(lines, start + 1, n), "\n")
     row = lambda start, n, step, hash_, chunk: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"), step.cast("int").alias("step"), hash_.alias("hash"), chunk.alias("chunk"))
-    own = F.transform(found, lambda u: row(u["start"], u["n"], F.lit(0), u["hash"], text(u["start"], u["n"])))
+    own = F.transform(found, lambda u: row(u["start"], u["n"], F.lit(0), u["hash"], text(u["start"], u["n"]).cast("binary")))
     if spacing == 1:
         return own
 
     def outward(start: Column, step: Column) -> Column:
         behind = F.when(step > 0, text(start, step + 1)).otherwise(text(start + step + 1, 1 - step))
         at = start + step + F.when(step > 0, 1).otherwise(0)
-        return once(F.concat(F.md5(behind), F.get(lines, at)), lambda chunk: row(at, F.lit(1), step, F.xxhash64(chunk), chunk))
+        return once(behind, lambda x: row(at, F.lit(1), step, F.xxhash64(x), F.concat(F.unhex(F.substring(F.md5(x), 1, 16)), F.get(lines, at).cast("binary"))))
 
     steps = F.array(*(F.lit(k) for k in range(1 - spacing, spacing) if k))
     there = lambda u: F.filter(steps, lambda k: (u["start"] + k >= 0) & (u["start"] + k + 1 < F.size(lines)))
@@ -129,7 +129,9 @@ def line_dedup(docs: DataFrame, min_words: int = 50, spacing: int = 2, drop_empt
     place, same = F.struct("_id", "_h", "start"), ["n", "step", "chunk"]
     firsts = cut(chunks.groupBy("hash", *same).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"), "firsts")
     often = firsts.where(F.octet_length("chunk") <= 4096).orderBy(F.desc("times"), "hash").limit(hot).select("hash", *same, F.col("first").alias("_often"))
-    later = chunks.join(F.broadcast(often), ["hash", *same], "left").withColumn("_key", F.when(F.col("_often").isNull(), F.col("hash")).otherwise(F.monotonically_increasing_id()))
+    # What has met its first occurrence goes on without its bytes.
+    later = chunks.join(F.broadcast(often), ["hash", *same], "left").withColumn("chunk", F.when(F.col("_often").isNull(), F.col("chunk")))
+    later = later.withColumn("_key", F.when(F.col("_often").isNull(), F.col("hash")).otherwise(F.monotonically_increasing_id()))
     later = later.join(firsts.select(F.col("hash").alias("_key"), *same, "first"), ["_key", *same], "left").where(place > F.coalesce("_often", "first"))
     lines = later.select("_id", "_h", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at"))
     gone = lines.groupBy(F.col("_id").alias("_gid"), F.col("_h").alias("_gh")).agg(F.collect_set("at").alias("_gone"))
