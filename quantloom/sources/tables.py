@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import clean
 from ..operators.steps import as_of, keep_last
+from ..shipping import stored
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +65,42 @@ def write_partitioned(df: DataFrame, path: str, by: str = "date") -> None:
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def small_files(spark: SparkSession, path: str, by: str, target_bytes: int) -> DataFrame:
+    """Partitions that have more files than their bytes need: by, files, wanted. Sizes come with the scan, no column is read."""
+    files = spark.read.parquet(path).select(by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).distinct()
+    sized = files.groupBy(by).agg(F.count(F.lit(1)).alias("files"), F.greatest(F.ceil(F.sum("bytes") / target_bytes), F.lit(1)).alias("wanted"))
+    return sized.where("files > wanted")
+
+
+def compact(spark: SparkSession, path: str, by: str = "date", target_bytes: int = 128 << 20, order: tuple[str, ...] = ("entity",)) -> int:
+    """Rewrites partitions of many small files as files of about the target size; others aren't touched. Tells how many were.
+
+    Rows are stored before their partition is replaced, so a job that ends early leaves the old or the new files of each.
+    """
+    todo = stored(small_files(spark, path, by, target_bytes), "small")
+    rows = spark.read.parquet(path).join(F.broadcast(todo), by)  # a row a partition
+    held = stored(rows.withColumn("_part", F.pmod(F.xxhash64(*order), F.col("wanted"))), "compacted")
+    n = todo.count()
+    if n:
+        out = held.repartition(by, "_part").sortWithinPartitions(by, "_part", *order).drop("_part", "files", "wanted")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    return n
+
+
+def write_bucketed(minutes: DataFrame, table: str, buckets: int = 256) -> DataFrame:
+    """Minutes bucketed by entity and sorted: windows and groups that hold the entity need no exchange of them."""
+    minutes.repartition(buckets, "entity").write.mode("overwrite").bucketBy(buckets, "entity").sortBy("entity", "date", "minute").saveAsTable(table)
+    return minutes.sparkSession.table(table)
+
+
+def write_markdown(df: DataFrame, path: str, digits: int = 4) -> None:
+    """A report of few rows as a markdown table, a line a row, in the report's order of columns."""
+    shown = [F.coalesce(F.format_number(c, digits) if t in ("double", "float") else F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("\\|")), F.lit("")) for c, t in df.dtypes]
+    line = lambda cells: F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    head = df.sparkSession.range(1).select(line([F.lit(c) for c in df.columns]).alias("value")).unionByName(df.sparkSession.range(1).select(line([F.lit("-")] * len(df.columns)).alias("value")))
+    head.unionByName(df.select(line(shown).alias("value"))).coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_signal(ranked: DataFrame, path: str, merged: bool = False) -> None:
     """Text, a line `date_code` each, by date and position: a folder of one file a day, or one range-ordered set of files."""
     day = F.date_format("date", "yyyy-MM-dd")
