@@ -8,8 +8,8 @@ the sum by 2(N(g-s) - N(g)) + 2 (1 - 2N(g) for an exact fit), opening a bin by 2
 The rule needs the gaps' counts only, at most C of them, so its state is bounded. Pieces are dealt by
 hash to groups of about `group_rows` pieces, packed side by side in any number of tasks, longest
 first; the bins that stay under-filled in a group are opened, and their pieces dealt to groups of the
-same size and packed again. That ends when one group is left, or when more than the share `gain` of a
-level's pieces stayed open: then each group closes its bins as they are. No level has a group of more.
+same size and packed again. There are `levels` such passes for tables of every size; in the last one each
+group closes its bins as they are, which leaves a few under-filled bins a group of that level.
 
 Encoding works by words: this tokenizer splits at white space before anything else, so the ids of a
 text are those of its space- or newline-separated words, of which the frequent ones are kept in a
@@ -205,26 +205,24 @@ class PackGroup:
         return pd.DataFrame({"piece_key": rows["piece_key"].to_numpy(), "length": rows["length"].to_numpy(), "sequence_id": (((self.level << GROUP_BITS) + int(key[0])) << BIN_BITS) + where, "offset": offset, "open": opened})
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, group_rows: int = 16_384, full: float = 0.97, gain: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, group_rows: int = 16_384, full: float = 0.97, levels: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and input_ids)."""
     ship(docs.sparkSession, tokenizer)
     narrow = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.monotonically_increasing_id())
     pieces = in_batches(narrow, Cut(tokenizer, capacity, end_id, with_ids), PIECES).withColumn("piece_key", F.monotonically_increasing_id()).drop("_order")
     pieces = cut(pieces if with_ids else pieces.drop("input_ids"), "pieces")
     left, n = pieces.select("piece_key", "length"), pieces.count()
-    closed, level, before = [], 0, None
-    while n or not closed:
-        groups = max(1, -(-n // group_rows))
-        # Where packing again no longer helps, the open bins of each group are closed as they are.
-        last = groups == 1 or level == 12 or (before is not None and n > gain * before)
+    closed = []
+    for level in range(levels):
+        groups, last = max(1, -(-n // group_rows)), level == levels - 1
         packer = PackGroup(capacity, -1.0 if last else full, level)
         dealt = left.select("piece_key", "length", F.pmod(F.xxhash64("piece_key", F.lit(level)), F.lit(groups)).alias("group"))
         placed = cut(dealt.groupBy("group").applyInPandas(packer.function(), PLACED), f"packed{level}")
         closed.append(placed.where(~F.col("open")).select("piece_key", "sequence_id", "offset"))
-        if last:
-            break
         left = placed.where("open").select("piece_key", "length")
-        before, n, level = n, left.count(), level + 1
+        n = 0 if last else left.count()
+        if not n:
+            break
     at = closed[0]
     for more in closed[1:]:
         at = at.unionByName(more)
