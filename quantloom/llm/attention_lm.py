@@ -18,7 +18,7 @@ a document's other words are joined to their counts.
 
 Cases: null and empty texts are the end token alone. Without training documents all counts are 0 and the
 class model is uniform. Long texts are scored window by window. Rows that repeat an id are scored each for
-itself (rows are numbered once, in a written table); a null id counts as the id's empty text. Only id
+itself (rows are numbered once, in a written table), those that repeat id and text are of one shard; a null id counts as the id's empty text. Only id
 and text are read. An empty table gives an empty result.
 """
 
@@ -159,7 +159,7 @@ class Model:
     width: int
     weights: dict[str, np.ndarray]
     #: what a unit's share in its class after any unit counts for
-    shrink: float = 1.5
+    shrink: float = 3.0
 
     @classmethod
     def fresh(cls, counts: np.ndarray, word_end: np.ndarray, width: int, seed: int) -> Model:
@@ -298,28 +298,41 @@ class CountPairs:
 
 @dataclass
 class TrainShard:
-    """Weights after a task's own windows, times how many they are."""
+    """Weights after each shard's own windows, times how many they are, summed over a task's shards.
+
+    Rows come sorted by shard. A shard of over `most` windows starts from the given weights again behind every `most`.
+    """
 
     model: Broadcast
-    most: int = 100_000
+    most: int = 65_536
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = self.model.value
-        held, n = [], 0
+        total, seen = 0.0, 0
+        shard, held, n = None, [], 0
 
-        def out(windows: np.ndarray) -> pa.RecordBatch:
+        def learnt(windows: np.ndarray) -> np.ndarray:
             order = np.random.default_rng(len(windows)).permutation(len(windows))
-            flat = replace(model, weights=model.trained(windows[order])).packed().astype(float) * len(windows)
-            return record_batch(["i", "x", "n"], [pa.int64(), pa.float64(), pa.int64()], [np.arange(len(flat)), flat, np.full(len(flat), len(windows))])
-
-        for b in slices(batches, text=0, max_bytes=2 << 20):
-            held.append(window_table(*joined(b), model.width))
-            n += len(held[-1])
-            if n >= self.most:
-                yield out(np.concatenate(held))
-                held, n = [], 0
+            return replace(model, weights=model.trained(windows[order])).packed().astype(float) * len(windows)
+
+        for b in slices(batches, text=1, max_bytes=2 << 20):
+            of_row = b.column(0).to_numpy()
+            starts = [0, *(np.flatnonzero(np.diff(of_row)) + 1).tolist(), len(of_row)]
+            for i, j in zip(starts, starts[1:], strict=False):
+                if of_row[i] != shard and n:
+                    total, seen = total + learnt(np.concatenate(held)), seen + n
+                    held, n = [], 0
+                shard = of_row[i]
+                held.append(window_table(*joined(b.slice(i, j - i), 1), model.width))
+                n += len(held[-1])
+                while n >= self.most:
+                    windows = np.concatenate(held)
+                    total, seen = total + learnt(windows[: self.most]), seen + self.most
+                    held, n = [windows[self.most :]], n - self.most
         if n:
-            yield out(np.concatenate(held))
+            total, seen = total + learnt(np.concatenate(held)), seen + n
+        if seen:
+            yield record_batch(["i", "x", "n"], [pa.int64(), pa.float64(), pa.int64()], [np.arange(len(total)), total, np.full(len(total), seen)])
 
 
 @dataclass
@@ -374,7 +387,7 @@ def counts_of(df: DataFrame, fn, size: int) -> np.ndarray:
     return out
 
 
-def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap: int = 8, rounds: int = 1, frequent: int = 150_000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap: int = 8, rounds: int = 1, shard: int = 32_768, frequent: int = 150_000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     from tokenizers import Tokenizer
 
@@ -398,16 +411,22 @@ def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap:
     kind = texts.schema[0].dataType.simpleString()
     numbered = texts.select(F.monotonically_increasing_id().alias("_row"), "doc_id", held_out("doc_id").alias("held"), "text")
     rows = cut(in_batches(numbered, Encode(tokenizer, send(known)), f"_row long, doc_id {kind}, held boolean, n_tokens long, known long, logs double, rare array<binary>, ids binary"), "sequences")
-    train = rows.where("not held").select("ids")
+    train = rows.where("not held").select("doc_id", "ids")
 
     tok = Tokenizer.from_file(tokenizer)
     word_end = np.array([(tok.id_to_token(i) or "").endswith("</w>") for i in range(VOCABULARY)], np.int64)
-    ids = counts_of(train, CountIds(), VOCABULARY)
+    ids = counts_of(train.select("ids"), CountIds(), VOCABULARY)
     model = Model.fresh(ids, word_end, width, seed)
-    model = model.counted(ids, counts_of(train, CountPairs(send(model.unit_of)), UNITS * UNITS).reshape(UNITS, UNITS))
-    for _ in range(rounds):
+    model = model.counted(ids, counts_of(train.select("ids"), CountPairs(send(model.unit_of)), UNITS * UNITS).reshape(UNITS, UNITS))
+    shards = max(1, int(ids.sum()) // (width * shard))
+    text_hash = F.xxhash64(F.col("doc_id").cast("string"), "ids")
+    dealt = train.select(F.pmod(text_hash, F.lit(shards)).alias("shard"), "ids", text_hash.alias("_order"))
+    # A given number of tasks: small shards would else be merged into one.
+    tasks = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for part in [F.col("shard") == 0, F.col("shard") > 0] * rounds:
+        own = dealt.where(part).repartition(tasks, "shard").sortWithinPartitions("shard", "_order").select("shard", "ids")
         flat = model.packed().astype(float)
-        for r in in_batches(train, TrainShard(send(replace(model, within=None))), "i long, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect():
+        for r in in_batches(own, TrainShard(send(replace(model, within=None))), "i long, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect():
             flat[r.i] = r.x / r.n
         model.weights = model.unpacked(flat)
 

@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 import zlib
+from dataclasses import dataclass
 from collections import Counter
 from types import SimpleNamespace
 
@@ -303,6 +304,44 @@ def test_attention_scores(docs, empty):
     assert attention_lm.attention_scores(empty, BPE).count() == 0
 
 
+def test_attention_scores_do_not_depend_on_partitions(docs, spark):
+    """Shards of two windows; how rows are cut into tasks changes neither the shards nor their order."""
+    scores = lambda n: {r.doc_id: r.score for r in attention_lm.attention_scores(docs.repartition(n), BPE, width=8, overlap=2, shard=2).collect()}
+    two, nine = scores(2), scores(9)
+    assert two.keys() == nine.keys() and all(two[i] == pytest.approx(nine[i], rel=1e-5) for i in two)
+
+
+def test_attention_shards():
+    """Each shard learns from its own windows, whatever batches they come in; long ones by parts of `most`."""
+    seen = []
+
+    @dataclass
+    class Plain:
+        width: int = 4
+        weights: dict | None = None
+
+        def trained(self, windows):
+            seen.append(sorted(map(tuple, windows.tolist())))
+            return {"w": np.full(2, len(windows), float)}
+
+        def packed(self):
+            return self.weights["w"]
+
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.integers(1, 99, rng.integers(2, 30)).astype("<u2")) for k in (0, 0, 0, 2, 2, 7)]
+    runs = []
+    for cuts in ([6], [1, 2, 3], [2, 2, 2]):
+        seen.clear()
+        at = np.cumsum([0, *cuts])
+        batches = [pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows[i:j]], pa.int32()), pa.array([x.tobytes() for _, x in rows[i:j]], pa.binary())], names=["shard", "ids"]) for i, j in zip(at, at[1:], strict=False)]
+        (got,) = attention_lm.TrainShard(SimpleNamespace(value=Plain()), most=5)(iter(batches))
+        runs.append((list(map(tuple, seen)), got.to_pydict()))
+    sizes = [sum(-(-(len(x) - 1) // 4) for k, x in rows if k == shard) for shard in (0, 2, 7)]
+    parts = [p for n in sizes for p in [5] * (n // 5) + [n % 5] * (n % 5 > 0)]
+    assert [len(p) for p in runs[0][0]] == parts and all(r == runs[0] for r in runs)
+    assert runs[0][1]["x"] == [sum(p * p for p in parts)] * 2 and runs[0][1]["n"] == [sum(parts)] * 2
+
+
 def pieces(texts):
     return [[attention_lm.END, *x, attention_lm.END] for x in attention_lm.ids_of(packing.WordCoder(BPE), [t or "" for t in texts])]
 
