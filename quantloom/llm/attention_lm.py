@@ -24,20 +24,20 @@ and text are read. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_batches, record_batch, ship, slices
+from .common import cut, in_batches, record_batch, ship, slices, worker_store
 from .packing import WordCoder
 
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: The vocabulary's own end id, also the start of every text.
 END, VOCABULARY = 49407, 49408
 UNITS, OWN_UNITS, CLASSES, OWN_CLASSES, DIM = 2048, 2016, 64, 48, 16
@@ -48,6 +48,20 @@ def ids_of(coder: WordCoder, texts: list[str]) -> list[np.ndarray]:
     return [np.frombuffer(x, "<u4").astype(np.int64) for x in coder(texts)]
 
 
+def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of texts with A-Z lower-cased: each one's text and place in the array of distinct words, which comes last."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words = lists.flatten().cast(pa.binary()).dictionary_encode()
+    of_text = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).fill_null(0).to_numpy())
+    at, distinct = words.indices.to_numpy(), words.dictionary
+    # White space at a text's ends leaves empty words.
+    real = pc.binary_length(distinct).to_numpy() > 0
+    if not real.all():
+        of_text, at = of_text[real[at]], (np.cumsum(real) - 1)[at[real[at]]]
+        distinct = distinct.filter(pa.array(real))
+    return of_text, at, distinct
+
+
 @dataclass
 class CountWords:
     """Words of training texts and the number of texts; counts leave a task once, or when the table is full."""
@@ -55,44 +69,105 @@ class CountWords:
     most: int = 400_000
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[bytes] = Counter()
-        out = lambda mark, keys, n: record_batch(["kind", "token", "n"], [pa.string(), pa.binary(), pa.int64()], [[mark] * len(keys), keys, n])
+        held: list[tuple[pa.Array, np.ndarray]] = []
         seen = 0
-        for b in slices(batches, text=0, max_bytes=2 << 20):
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                words.update((t or b"").translate(LOWER).split())
+
+        def merged() -> tuple[pa.Array, np.ndarray]:
+            words = pa.concat_arrays([pa.array([], pa.binary()), *(w for w, _ in held)]).dictionary_encode()
+            return words.dictionary, np.bincount(words.indices.to_numpy(), np.concatenate([[], *(n for _, n in held)]), len(words.dictionary)).astype(np.int64)
+
+        def out(mark: str, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+            return record_batch(["kind", "token", "n"], [pa.string(), pa.binary(), pa.int64()], [[mark] * len(words), words, n])
+
+        for b in slices(batches, text=0, max_bytes=8 << 20):
+            _, at, words = split(b.column(0))
+            held.append((words, np.bincount(at, minlength=len(words)).astype(np.int64)))
             seen += b.num_rows
-            if len(words) > self.most:
-                yield out(WORD, list(words), list(words.values()))
-                words.clear()
-        yield out(WORD, list(words), list(words.values()))
+            if sum(len(w) for w, _ in held) > 2 * self.most:
+                held = [merged()]
+                if len(held[0][0]) > self.most:
+                    yield out(WORD, *held.pop())
+        yield out(WORD, *merged())
         if seen:
-            yield out(TEXTS, [b""], [seen])
+            yield out(TEXTS, pa.array([b""]), np.array([seen]))
+
+
+class WordTable:
+    """Places of words, and by place their ids and logs (none: a rare word), as a worker keeps them from task to task."""
+
+    def __init__(self):
+        self.known: dict[bytes, float] = {}
+        self.drop(set())
+
+    def drop(self, kept: set[bytes]) -> None:
+        """Begins anew with those of the kept words that it has."""
+        old = vars(self).get("place", {})
+        words = [w for w in old if w in kept]
+        at = np.array([old[w] for w in words], np.int64)
+        start, length = (self.start[at], self.length[at]) if words else (at, at)
+        ends = np.cumsum(length)
+        self.ids = self.ids[np.repeat(start - ends + length, length) + np.arange(length.sum())] if words else np.zeros(0, "<u2")
+        self.place, self.start, self.length = dict(zip(words, range(len(words)), strict=True)), ends - length, length
+        self.logs = np.array([self.known.get(w, np.nan) for w in words], float)
+
+    def add(self, coder: WordCoder, words: list[bytes]) -> None:
+        # The coder takes many words at a time, and plain ASCII faster.
+        words = [w for w in words if w.isascii()] + [w for w in words if not w.isascii()]
+        as_text = [w.decode() for w in words]
+        found = coder.encode(as_text)
+        ids = [found[w] for w in as_text]
+        length = np.array([len(x) // 4 for x in ids], np.int64)
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4").astype("<u2")])
+        self.logs = np.concatenate([self.logs, [self.known.get(w, np.nan) for w in words]])
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
 
 
 @dataclass
 class Encode:
-    """A text's ids between two ends, and what the base score needs: words, known words, their logs, rare words."""
+    """A text's ids between two ends, and what the base score needs: words, known words, their logs, rare words.
+
+    Whatever white space stands between words, the tokenizer splits there: a text's ids are those of its words, one
+    after another. Words meet the tokenizer once a table; from a full one the known words and those at hand stay. Only
+    texts that may name special tokens, whose case counts, are encoded whole.
+    """
 
     tokenizer: str
     words: Broadcast
+    most: int = 500_000
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, known, end = WordCoder(self.tokenizer, most=500_000), self.words.value, [END]
+        coder, known, end = WordCoder(self.tokenizer, most=100_000), self.words.value, np.array([END], "<u2").tobytes()
+        table: WordTable = worker_store("subwords", f"table {self.tokenizer}").setdefault("it", WordTable())
+        if table.known is not known:
+            table.known = known
+            table.drop(set())
         names = ["_row", "doc_id", "held", "n_tokens", "known", "logs", "rare", "ids"]
         types = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.binary()]
-        for b in slices(batches, text=3, max_bytes=2 << 20):
-            n, hits, logs, rare = [], [], [], []
-            for t in b.column(3).cast(pa.binary()).to_pylist():
-                words = (t or b"").translate(LOWER).split()
-                found = list(map(known.get, words))
-                missing = [w for w, x in zip(words, found, strict=True) if x is None] if None in found else []
-                n.append(len(words) + 1)
-                hits.append(n[-1] - len(missing) - (b"" not in known))
-                logs.append(sum(filter(None, found)) + known.get(b"", 0.0))
-                rare.append(missing)
-            ids = [np.concatenate([end, x, end]).astype("<u2").tobytes() for x in ids_of(coder, [t or "" for t in b.column(3).to_pylist()])]
-            yield record_batch(names, [*b.schema.types[:3], *types], [*b.columns[:3], n, hits, logs, rare, ids])
+        for b in slices(batches, text=3, max_bytes=4 << 20):
+            n, texts = b.num_rows, b.column(3).cast(pa.string())
+            of_text, at, distinct = split(texts)
+            words = distinct.to_pylist()
+            place = list(map(table.place.get, words))
+            if None in place:
+                new = [w for w, p in zip(words, place, strict=True) if p is None]
+                if len(table.place) + len(new) > self.most:
+                    table.drop({*known, *words})
+                table.add(coder, new)
+                place = list(map(table.place.__getitem__, words))
+            place = np.array(place, np.int64)[at]
+            logs, size = table.logs[place], table.length[place]
+            rare = np.isnan(logs)
+            count, n_rare = np.bincount(of_text, minlength=n), np.bincount(of_text[rare], minlength=n)
+            missing = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n_rare]), pa.int32()), distinct.take(pa.array(at[rare])))
+            ends = np.cumsum(size)
+            found = table.ids[np.repeat(table.start[place] - ends + size, size) + np.arange(size.sum())]
+            stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])].tolist()
+            ids = [end + found[a:z].tobytes() + end for a, z in zip(stops, stops[1:], strict=False)]
+            for i in np.flatnonzero(pc.match_substring(texts, "<|").fill_null(False).to_numpy(zero_copy_only=False)).tolist():
+                ids[i] = end + ids_of(coder, [texts[i].as_py()])[0].astype("<u2").tobytes() + end
+            yield record_batch(names, [*b.schema.types[:3], *types], [*b.columns[:3], count + 1, count + 1 - n_rare - (b"" not in known), np.bincount(of_text, np.where(rare, 0, logs), n) + known.get(b"", 0.0), missing, ids])
 
 
 class CountIds:
@@ -107,41 +182,83 @@ class CountIds:
         yield record_batch(["i", "n"], [pa.int64(), pa.int64()], [at, total[at]])
 
 
+class Room:
+    """Arrays by name that are used again: at these sizes new memory costs more than what is computed in it."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.held or self.held[name].size < size:
+            self.held[name] = np.empty(size, np.float32)
+        return self.held[name][:size].reshape(shape)
+
+
+def exponentials(s: np.ndarray, shifted: bool) -> np.ndarray:
+    """exp(s) in place; shifted: by row times a factor that makes the largest 1."""
+    if shifted:
+        s -= s.max(-1, keepdims=True)
+    with np.errstate(over="ignore"):
+        return np.exp(s, out=s)
+
+
+def in_range(sums: np.ndarray) -> bool:
+    """Whether sums of plain exponentials are far from where float32 ends; else they are computed again, shifted."""
+    return bool(sums.min(initial=1) > 1e-25 and sums.max(initial=1) < 1e25)
+
+
+def sums_by(units: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Sums by unit (a row each) of columns, which lie one after another in memory."""
+    out = np.empty((len(columns), UNITS), np.float32)
+    for row, c in zip(out, columns, strict=True):
+        row[:] = np.bincount(units, c, UNITS)
+    return np.ascontiguousarray(out.T)
+
+
 @dataclass
 class Ready:
     """The same model with its projections looked up by input, for scoring."""
 
-    q: np.ndarray
-    k: np.ndarray
-    v: np.ndarray
+    qkv: np.ndarray
     distance: np.ndarray
     o: np.ndarray
     bigram: np.ndarray
+    #: exponentials of bigram
+    chance: np.ndarray
+    room: Room
 
     def log_class(self, x: np.ndarray, classes: np.ndarray, skip: int = 0, block: int = 20) -> np.ndarray:
         """Log probability of the classes after all inputs of x but each row's first `skip`, which are context only.
 
         Queries go by blocks, so that keys that lie wholly ahead of a block aren't read.
         """
-        rows, width = x.shape
-        flat = x.reshape(-1)
-        q, k, v = (t.take(flat, 0).reshape(rows, width, DIM) for t in (self.q, self.k, self.v))
-        h = np.empty((rows, width - skip, DIM), np.float32)
-        for a in range(skip, width, block):
-            z = min(a + block, width)
-            s = q[:, a:z] @ k[:, :z].transpose(0, 2, 1)
-            s += self.distance[a:z, :z]
-            s -= s.max(-1, keepdims=True)
-            np.exp(s, out=s)
-            part = s @ v[:, :z]
-            part /= s @ np.ones((z, 1), np.float32)
-            h[:, a - skip : z - skip] = part
-        odds = h.reshape(-1, DIM) @ self.o
-        odds += self.bigram.take(x[:, skip:].reshape(-1), 0)
-        odds -= odds.max(-1, keepdims=True)
-        at = odds.take(np.arange(len(odds)) * CLASSES + classes[:, skip:].reshape(-1))
-        np.exp(odds, out=odds)
-        return (at - np.log(odds @ np.ones(CLASSES, np.float32))).reshape(rows, width - skip)
+        (rows, width), room = x.shape, self.room
+        n = rows * (width - skip)
+        qkv = np.take(self.qkv, x.reshape(-1), 0, out=room("qkv", rows * width, 3 * DIM + 1), mode="clip").reshape(rows, width, -1)
+        q, k, v = qkv[..., :DIM], room("keys", rows, DIM, width), qkv[..., 2 * DIM :]
+        k[:] = qkv[..., DIM : 2 * DIM].transpose(0, 2, 1)
+        sums = room("sums", rows, width - skip, DIM + 1)
+        for shifted in (False, True):
+            for a in range(skip, width, block):
+                z = min(a + block, width)
+                s = np.matmul(q[:, a:z], k[..., :z], out=room("s", rows, z - a, z))
+                s += self.distance[a:z, :z]
+                with np.errstate(invalid="ignore"):
+                    np.matmul(exponentials(s, shifted), v[:, :z], out=sums[:, a - skip : z - skip])
+            if shifted or in_range(sums[..., DIM]):
+                break
+        h = np.divide(sums[..., :DIM], sums[..., DIM:], out=room("h", rows, width - skip, DIM)).reshape(n, DIM)
+        at = np.arange(0, n * CLASSES, CLASSES) + classes[:, skip:].reshape(-1)
+        before = x[:, skip:].reshape(-1)
+        odds = exponentials(np.matmul(h, self.o, out=room("odds", n, CLASSES)), False)
+        chance = np.take(self.chance, before, 0, out=room("chance", n, CLASSES), mode="clip")
+        total, found = np.einsum("ij,ij->i", odds, chance), odds.take(at) * chance.take(at)
+        if not (in_range(total) and in_range(found)):
+            odds = h @ self.o + self.bigram[before]
+            odds -= odds.max(-1, keepdims=True)
+            return (odds.take(at) - np.log(np.exp(odds).sum(-1))).reshape(rows, width - skip)
+        return np.log(found / total).reshape(rows, width - skip)
 
 
 @dataclass
@@ -190,67 +307,96 @@ class Model:
         within = np.log((pairs + self.shrink * share) / (of_class[:, self.class_of] + self.shrink))
         return replace(self, bigram=bigram.astype(np.float32), within=within.astype(np.float32))
 
-    def forward(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Class log-odds after each input of windows x (rows, width)."""
-        w, (rows, width) = self.weights, x.shape
-        e = w["e"][x]
-        flat = e.reshape(-1, DIM)
-        q, k, v = ((flat @ w[n]).reshape(rows, width, DIM) for n in "qkv")
-        s = q @ k.transpose(0, 2, 1)
-        s += self.distance()[:width, :width]
-        s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
-        s /= s @ np.ones((width, 1), np.float32)
-        h = (s @ v).reshape(-1, DIM)
-        z = h @ w["o"]
-        z += self.bigram[x.reshape(-1)]
-        return z, h, s, q, k, v, e
-
     def ready(self) -> Ready:
         w = self.weights
-        q, k, v = (w["e"] @ w[n] for n in "qkv")
-        return Ready(*(np.ascontiguousarray(x, np.float32) for x in (q, k, v, self.distance(), w["o"], self.bigram)))
+        # Behind values stands a one, so that a row's sum of exponentials stands behind its sum of values.
+        of_unit = np.hstack([w["e"] @ w["q"], w["e"] @ w["k"], w["e"] @ w["v"], np.ones((UNITS, 1))])
+        return Ready(of_unit.astype(np.float32), self.distance(), np.asfortranarray(w["o"], np.float32), self.bigram, np.exp(self.bigram), Room())
 
     def distance(self) -> np.ndarray:
         """Bias by distance back; what lies ahead is masked."""
         gap = np.arange(self.width)[:, None] - np.arange(self.width)[None]
         return np.where(gap >= 0, self.weights["r"][np.abs(gap)], np.float32(-1e9)).astype(np.float32)
 
-    def gradients(self, x: np.ndarray, classes: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
-        w, (rows, width) = self.weights, x.shape
-        z, h, s, q, k, v, e = self.forward(x)
-        z -= z.max(-1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z @ np.ones((CLASSES, 1), np.float32)
-        z[np.arange(len(z)), classes.reshape(-1)] -= 1
-        z *= (counted.reshape(-1, 1) / max(1, counted.sum())).astype(np.float32)
-        dh = (z @ w["o"].T).reshape(rows, width, DIM)
-        ds = dh @ v.transpose(0, 2, 1)
-        # A row's sum of ds * s is that of dh * h.
-        ds -= (dh * h.reshape(rows, width, DIM)).sum(-1, keepdims=True)
-        ds *= s
-        back = {"q": ds @ k, "k": ds.transpose(0, 2, 1) @ q, "v": s.transpose(0, 2, 1) @ dh}
-        flat = e.reshape(-1, DIM)
-        out = {n: flat.T @ d.reshape(-1, DIM) for n, d in back.items()} | {"o": h.T @ z}
-        de = sum(d.reshape(-1, DIM) @ w[n].T for n, d in back.items())
-        out["e"] = np.stack([np.bincount(x.reshape(-1), de[:, i], UNITS) for i in range(DIM)], 1)
+    def gradients(self, x: np.ndarray, classes: np.ndarray, counted: np.ndarray, room: Room | None = None, some: int = 32) -> dict[str, np.ndarray]:
+        """Slopes of the mean loss of the counted targets behind windows of units x (rows, width).
+
+        `some` windows at a time, so that their arrays stay in a processor's cache.
+        """
+        w, (rows, width), room = self.weights, x.shape, room or Room()
+        flat, classes = x.reshape(-1), classes.reshape(-1)
+        weight = (counted.reshape(-1) / max(1, counted.sum())).astype(np.float32)
+        to_qkv, to_class, distance = np.hstack([w["q"], w["k"], w["v"]]), np.asfortranarray(w["o"]), self.distance()[:width, :width]
+        of_qkv, of_o, ahead = np.zeros((DIM, 3 * DIM), np.float32), np.zeros(w["o"].shape, np.float32), np.zeros(width * width, np.float32)
+        de = room("de", DIM, len(flat))
+        for begin in range(0, rows, some):
+            r = min(some, rows - begin)
+            n, part = r * width, slice(begin * width, (begin + r) * width)
+            e = np.take(w["e"], flat[part], 0, out=room("e", n, DIM), mode="clip")
+            qkv = np.matmul(e, to_qkv, out=room("qkv", n, 3 * DIM)).reshape(r, width, 3 * DIM)
+            q, k, v = qkv[..., :DIM], qkv[..., DIM : 2 * DIM], qkv[..., 2 * DIM :]
+            # Products with keys and values as columns are faster if those lie side by side.
+            columns = room("columns", r, 2 * DIM + 1, width)
+            columns[:, : 2 * DIM] = qkv[..., DIM:].transpose(0, 2, 1)
+            columns[:, 2 * DIM] = 1
+            for shifted in (False, True):
+                s = np.matmul(q, columns[:, :DIM], out=room("s", r, width, width))
+                s += distance
+                sums = exponentials(s, shifted) @ np.ones(width, np.float32)
+                if in_range(sums):
+                    break
+            s *= (1 / sums)[..., None]
+            h = np.matmul(s, v, out=room("h", r, width, DIM)).reshape(n, DIM)
+            for shifted in (False, True):
+                odds = np.matmul(h, to_class, out=room("odds", n, CLASSES))
+                odds += np.take(self.bigram, flat[part], 0, out=room("bigram", n, CLASSES), mode="clip")
+                sums = exponentials(odds, shifted) @ np.ones(CLASSES, np.float32)
+                if in_range(sums):
+                    break
+            odds *= (weight[part] / sums)[:, None]
+            odds.reshape(-1)[np.arange(0, n * CLASSES, CLASSES) + classes[part]] -= weight[part]
+            of_o += (h.reshape(r, width, DIM).transpose(0, 2, 1) @ odds.reshape(r, width, CLASSES)).sum(0)
+            dh = room("dh", n, DIM + 1)
+            np.matmul(odds, w["o"].T, out=dh[:, :DIM])
+            # A row's sum of ds * s is that of dh * h; it meets the ones behind the values.
+            dh[:, DIM] = -np.einsum("ij,ij->i", dh[:, :DIM], h)
+            dh = dh.reshape(r, width, DIM + 1)
+            back = room("back", r, width, 3 * DIM)
+            ds = np.matmul(dh, columns[:, DIM:], out=room("ds", r, width, width))
+            ds *= s
+            ahead += np.ones(r, np.float32) @ ds.reshape(r, -1)
+            np.matmul(ds, k, out=back[..., :DIM])
+            np.matmul(ds.transpose(0, 2, 1), q, out=back[..., DIM : 2 * DIM])
+            np.matmul(s.transpose(0, 2, 1), dh[..., :DIM], out=back[..., 2 * DIM :])
+            of_qkv += (e.reshape(r, width, DIM).transpose(0, 2, 1) @ back).sum(0)
+            np.matmul(to_qkv, back.reshape(n, 3 * DIM).T, out=de[:, part])
         gap = np.arange(width)[:, None] - np.arange(width)[None]
-        out["r"] = np.bincount(gap[gap >= 0], ds.sum(0)[gap >= 0], self.width)
-        return out
+        of_r = np.bincount(gap[gap >= 0], ahead.reshape(width, width)[gap >= 0], self.width).astype(np.float32)
+        return dict(zip("qkv", np.hsplit(of_qkv, 3), strict=True)) | {"o": of_o, "e": sums_by(flat, de), "r": of_r}
 
     def trained(self, windows: np.ndarray, steps_of: int = 64, rate: float = 0.01) -> dict[str, np.ndarray]:
         """Adam over windows of width + 1 ids (-1: none), in the given order."""
-        here = replace(self, weights={n: x.copy() for n, x in self.weights.items()})
+        here, room = replace(self, weights={n: x.copy() for n, x in self.weights.items()}), Room()
         m = {n: np.zeros_like(x) for n, x in here.weights.items()}
         v = {n: np.zeros_like(x) for n, x in here.weights.items()}
         for step, at in enumerate(range(0, len(windows), steps_of), 1):
             part = windows[at : at + steps_of]
             counted = part[:, 1:] >= 0
             units = self.unit_of[np.maximum(part, 0)]
-            for n, g in here.gradients(units[:, :-1], self.class_of[units[:, 1:]], counted).items():
-                m[n] = 0.9 * m[n] + 0.1 * g
-                v[n] = 0.99 * v[n] + 0.01 * g * g
-                here.weights[n] -= (rate * (m[n] / (1 - 0.9**step)) / (np.sqrt(v[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+            for n, g in here.gradients(units[:, :-1], self.class_of[units[:, 1:]], counted, room).items():
+                t = np.subtract(g, m[n], out=room("step", *g.shape))
+                t *= 0.1
+                m[n] += t
+                np.multiply(g, g, out=t)
+                t -= v[n]
+                t *= 0.01
+                v[n] += t
+                np.divide(v[n], 1 - 0.99**step, out=t)
+                np.sqrt(t, out=t)
+                t += 1e-8
+                np.divide(m[n], t, out=t)
+                t *= rate / (1 - 0.9**step)
+                here.weights[n] -= t
         return here.weights
 
     def packed(self) -> np.ndarray:
@@ -344,20 +490,24 @@ class Score:
     rows: int = 64
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = self.model.value
+        ready = model.ready()
         for b in slices(batches, text=b_ids, max_bytes=4 << 20):
             ids, n = joined(b, b_ids)
-            yield pa.RecordBatch.from_arrays([*b.columns[:b_ids], pa.array(self.scores(self.model.value, ids, n))], names=[*b.schema.names[:b_ids], "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:b_ids], pa.array(self.scores(model, ids, n, ready))], names=[*b.schema.names[:b_ids], "score"])
 
-    def scores(self, model: Model, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def scores(self, model: Model, ids: np.ndarray, lengths: np.ndarray, ready: Ready | None = None) -> np.ndarray:
         units = model.unit_of[ids]
         n, first = lengths - 1, np.cumsum(lengths) - lengths
         width, new = model.width, model.width - self.overlap
         count = 1 + np.maximum(0, -(-(n - width) // new))
         doc = np.repeat(np.arange(len(n)), count)
         k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        ready = model.ready()
-        after = np.delete(np.arange(len(ids)), first)
-        total = np.bincount(np.repeat(np.arange(len(n)), n), model.in_unit[ids[after]] + model.within[units[after - 1], units[after]], len(n))
+        ready = ready or model.ready()
+        shares = model.in_unit[ids[1:]] + model.within.reshape(-1).take(units[:-1] * UNITS + units[1:])
+        # From a sequence's last id to the next one's first there is no step.
+        shares[first[1:] - 1] = 0
+        total = np.add.reduceat(shares, first)
         classes = model.class_of[units]
         # In a text's first window all ids are new; in the others the overlap is context.
         for skip, those in ((0, np.flatnonzero(k == 0)), (self.overlap, np.flatnonzero(k > 0))):
@@ -397,14 +547,14 @@ def attention_scores(docs: DataFrame, tokenizer: str, width: int = 48, overlap:
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     counts = cut(in_batches(texts.where(~held_out("doc_id")).select("text"), CountWords(), "kind string, token binary, n long").groupBy("kind", "token").agg(F.sum("n").alias("n")), "counts")
     words = counts.where(F.col("kind") == WORD).select("token", "n")
-    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_train = counts.where(F.col("kind") == TEXTS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    n_all, distinct = size.n + n_train, size.v + (n_train > 0)
     # The most frequent words by whole bands of counts: never more than `frequent` rows reach the driver.
-    band = F.floor(8 * F.log2("n"))
-    bands = words.where(F.octet_length("token") <= 64).groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("band")).collect()
+    band, short = F.floor(8 * F.log2("n")), F.octet_length("token") <= 64
+    bands = counts.groupBy("kind", short.alias("short"), band.alias("band")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).orderBy(F.desc("band")).collect()
+    n_train = sum(r.n for r in bands if r.kind == TEXTS)
+    n_all, distinct = sum(r.n for r in bands), sum(r.v for r in bands if r.kind == WORD) + (n_train > 0)
+    bands = [r for r in bands if r.kind == WORD and r.short]
     fits = [r.band for r, total in zip(bands, np.cumsum([r.v for r in bands]), strict=True) if total <= frequent]
-    known = {bytes(r.token): float(np.log10(r.n + 1)) for r in words.where((F.octet_length("token") <= 64) & (band >= min(fits))).collect()} if fits else {}
+    known = {bytes(r.token): float(np.log10(r.n + 1)) for r in words.where(short & (band >= min(fits))).collect()} if fits else {}
     known |= {b"": float(np.log10(n_train + 1))} if n_train else {}
 
     # Texts become ids once, for counts, training and scores.

@@ -401,6 +401,65 @@ def test_attention_score_is_that_of_a_plain_loop():
         assert score == pytest.approx(total, rel=1e-3)
 
 
+ODD = [None, "", " \n\t ", "x", "a\tb\x0bc\x0cd\re  f\x1cg\x85h\u3000i j", "<|EndOfText|> Foo <|endoftext|>bar", "A<|B C", "İ É x\u0301 \u0301y", ".a..b . . 'S don't STOP.", " lead", "trail ", "Word " * 300, "1 2 33 4.5.6 a.B.c"]
+
+
+def test_attention_words_meet_the_tokenizer_once(monkeypatch):
+    """Ids are those of whole texts, also when the table of words is full; a later task of a worker encodes no word again."""
+    attention_lm.worker_store("none", "none")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(BPE)
+    want = [[attention_lm.END, *tokenizer.encode(t or "", add_special_tokens=False).ids, attention_lm.END] for t in ODD]
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(ODD))), pa.array(range(len(ODD))), pa.array([False] * len(ODD)), pa.array(ODD, pa.string())], names=["_row", "doc_id", "held", "text"])
+    met = []
+    encode = packing.WordCoder.encode
+    monkeypatch.setattr(packing.WordCoder, "encode", lambda self, words: met.extend(words) or encode(self, words))
+    known = SimpleNamespace(value={b"": 1.0, b"word": 0.5, b"a": 0.25})
+    for most, parts in ((1000, 1), (1000, 13), (9, 13)):
+        met.clear()
+        got = [r for i in range(parts) for x in attention_lm.Encode(BPE, known, most)(iter([b.slice(i, 1) if parts > 1 else b])) for r in x.to_pylist()]
+        assert [np.frombuffer(r["ids"], "<u2").tolist() for r in got] == want
+        for t, r in zip(ODD, got, strict=True):
+            words = [w.encode() for w in re.findall(SPACE, low(t))]
+            assert (r["n_tokens"], r["rare"]) == (len(words) + 1, [w for w in words if w not in known.value])
+            assert r["known"] == len(words) + 1 - len(r["rare"]) and r["logs"] == pytest.approx(1 + sum(known.value.get(w, 0) for w in words))
+        if parts > 1 and most == 1000:
+            assert not set(met) & {w for t in ODD if "<|" not in (t or "") for w in re.findall(SPACE, low(t))}
+
+
+def test_attention_counts_words_in_parts():
+    got, texts = Counter(), ODD * 3
+    batches = [pa.RecordBatch.from_arrays([pa.array([t], pa.string())], names=["text"]) for t in texts]
+    sent = list(attention_lm.CountWords(most=4)(iter(batches)))
+    for b in sent:
+        for r in b.to_pylist():
+            got[r["kind"], r["token"]] += r["n"]
+    assert len(sent) > 3 and got == Counter(("word", w.encode()) for t in texts for w in re.findall(SPACE, low(t))) + Counter({("texts", b""): len(texts)})
+
+
+def test_attention_step_in_used_arrays():
+    """Slopes don't depend on what arrays held before nor on how many windows go at a time, also beyond plain exponentials."""
+    r = np.random.default_rng(5)
+    m = attention_lm.Model.fresh(np.ones(attention_lm.VOCABULARY), np.zeros(attention_lm.VOCABULARY, np.int64), 12, 3)
+    m.weights["o"] = r.normal(0, 0.3, m.weights["o"].shape).astype(np.float32)
+    x, y = r.integers(0, attention_lm.UNITS, (7, 12)), r.integers(0, attention_lm.CLASSES, (7, 12))
+    room = attention_lm.Room()
+    for scale in (1, 200):
+        m.weights["q"] *= scale
+        plain = m.gradients(x, y, np.ones(x.shape, bool))
+        m.gradients(r.integers(0, attention_lm.UNITS, (20, 12)), r.integers(0, attention_lm.CLASSES, (20, 12)), np.ones((20, 12), bool), room)
+        for some in (1, 3, 7):
+            again = m.gradients(x, y, np.ones(x.shape, bool), room, some)
+            assert all(np.isfinite(again[n]).all() and np.allclose(again[n], plain[n], atol=1e-6, rtol=1e-3) for n in plain)
+        old, loss = m.weights["o"][3, 5], lambda: -m.ready().log_class(x, y).mean()
+        m.weights["o"][3, 5] = old + 0.05
+        up = loss()
+        m.weights["o"][3, 5] = old - 0.05
+        assert (up - loss()) / 0.1 == pytest.approx(plain["o"][3, 5], rel=0.05, abs=1e-4)
+        m.weights["o"][3, 5] = old
+
+
 def test_attention_beats_counts_of_words_and_of_pairs():
     """Held-out texts of a language in which the word before last matters: pairs can't see it, attention can."""
     r = np.random.default_rng(4)
