@@ -297,9 +297,10 @@ def last_of_year(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT CAST(entity AS VARCHAR) AS entity, date, close AS value FROM panel", "entity, date", "value")
 def wide_and_back(spark: SparkSession, d: str) -> DataFrame:
-    """U5, U7, U8."""
-    entities = [r.s_suppkey for r in tables.read(spark, d, "supplier").select("s_suppkey").orderBy("s_suppkey").collect()]  # the export's columns
-    return tables.melt(tables.pivot(panel(spark, d), "close", entities))
+    """A column an entity of the panel, in blocks of columns."""
+    p = panel(spark, d).select("entity", "date", "close")
+    columns = tables.columns_of(p)
+    return tables.melt_blocks(tables.pivot_blocks(p, "close", columns), columns)
 
 
 @query("SELECT p.entity, p.date, e.f AS value FROM panel p ASOF JOIN (SELECT o_custkey AS entity, CAST(o_orderdate AS DATE) AS date, max(sqrt(o_totalprice)) AS f FROM orders GROUP BY 1, 2) e ON p.entity = e.entity AND p.date >= e.date", doubles="value")

@@ -34,6 +34,32 @@ def pivot(long: DataFrame, value: str, entities: list[str]) -> DataFrame:
     return long.groupBy("date").pivot("entity", entities).agg(F.first(value))
 
 
+def columns_of(long: DataFrame, width: int = 64) -> DataFrame:
+    """entity, block, place: the columns of a wide panel of any number of entities, in their order, cut into blocks of up to `width`.
+
+    A task of the sort numbers its own entities, so none holds all; stored, as both ways must number alike.
+    """
+    named = long.select("entity").distinct().orderBy("entity").withColumn("_id", F.monotonically_increasing_id())
+    return stored(named.select("entity", F.floor(F.col("_id") / width).alias("block"), F.pmod("_id", F.lit(width)).cast("int").alias("place")), "columns")
+
+
+def pivot_blocks(long: DataFrame, value: str, columns: DataFrame, width: int = 64) -> DataFrame:
+    """Export form in blocks: a row a date and block, a column a place of the block (`columns_of`), with the number of rows beside its value.
+
+    A plan has `width` columns whatever the number of entities, and a row is bounded. The number tells a NULL that was there from a missing cell.
+    """
+    placed = long.join(columns, long["entity"].eqNullSafe(columns["entity"])).select("date", "block", "place", F.col(value).alias("value"))
+    # Exchanged as cells: partial aggregates would be rows of mostly empty columns.
+    return placed.repartition("date", "block").groupBy("date", "block").pivot("place", list(range(width))).agg(F.first("value").alias("value"), F.count(F.lit(1)).alias("rows"))
+
+
+def melt_blocks(wide: DataFrame, columns: DataFrame, value: str = "value") -> DataFrame:
+    """A wide panel in blocks as a long table of the cells that were there; entities are names of columns, so text."""
+    places = [c.removesuffix("_value") for c in wide.columns if c.endswith("_value")]
+    cells = wide.select("date", "block", F.inline(F.array(*(F.struct(F.lit(int(k)).alias("place"), F.col(f"{k}_value").alias(value), F.col(f"{k}_rows").alias("_rows")) for k in places))))
+    return cells.where("_rows > 0").join(columns, ["block", "place"]).select(F.col("entity").cast("string").alias("entity"), "date", value)
+
+
 def adjusted(daily: DataFrame, factors: DataFrame, prices: list[str], volume: str | None = None) -> DataFrame:
     """Prices times the cumulative factor in force (1 before the first); volume divided by it."""
     on = as_of(daily, factors, "cum_factor", default=1.0)
