@@ -6,8 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.expr import clean, div, ln
 from ..functions.windows import rank, series, zscore
@@ -59,10 +62,14 @@ def neutralize(df: DataFrame, y: str, size: str, industry: str, output: str = "n
     return df.drop("_y", "_x", "_dy", "_dx")
 
 
+def ahead(horizon: int, price: str = "close") -> Column:
+    w = series()
+    return div(F.lead(price, horizon + 1).over(w), F.lead(price, 1).over(w)) - 1
+
+
 def forward_returns(prices: DataFrame, horizons: list[int], price: str = "close") -> DataFrame:
     """Long: entity, date, horizon, ret = p[t + 1 + h] / p[t + 1] - 1."""
-    w = series()
-    each = F.array(*(F.struct(F.lit(h).alias("horizon"), (div(F.lead(price, h + 1).over(w), F.lead(price, 1).over(w)) - 1).alias("ret")) for h in horizons))
+    each = F.array(*(F.struct(F.lit(h).alias("horizon"), ahead(h, price).alias("ret")) for h in horizons))
     return prices.select("entity", "date", each.alias("r")).select("entity", "date", F.inline("r"))
 
 
@@ -86,6 +93,51 @@ def ic_series(df: DataFrame, factor: str, ret: str, groups: list[str], joint: bo
     return out.where(F.col("n") >= least).select(*groups, "n", ic.alias("ic"))
 
 
+def wide_ic_series(wide: DataFrame, factors: list[str], rets: dict[int, str], least: int = 2, at_once: int = 16) -> DataFrame:
+    """factor, horizon, date, n, ic: joint `ic_series` by date of many factors that stand beside each other; rets: the returns' columns by horizon.
+
+    A value crosses one exchange once, with the returns once for `at_once` factors, where rows of one factor each cross one for every rank
+    and join. A group is a date's cross-section of so many factors, 8 bytes a value; ranks are numpy's. Keys that are NULL
+    join with nothing, so such rows have no coefficient.
+    """
+    most = -(-len(factors) // -(-len(factors) // at_once))  # in parts of about one length
+    parts, none = [factors[k : k + most] for k in range(0, len(factors), most)], F.lit(None).cast("double")
+    each = F.array(*(F.struct(F.lit(k).alias("part"), *((F.col(part[i]).cast("double") if i < len(part) else none).alias(f"x{i}") for i in range(most))) for k, part in enumerate(parts)))
+    there = wide.where(F.col("entity").isNotNull() & F.col("date").isNotNull() & F.coalesce(*rets.values()).isNotNull())
+    split = there.select("date", *(F.col(c).cast("double").alias(f"r{h}") for h, c in rets.items()), F.inline(each))
+
+    def twice(v: np.ndarray) -> np.ndarray:
+        """Twice the average rank less its mean: whole numbers that sum up to 0. NaN is equal to NaN and above all."""
+        order = np.argsort(v)
+        s = v[order]
+        starts = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) & ~np.isnan(s[:-1])]))
+        times = np.diff(np.append(starts, len(s)))
+        out = np.empty(len(s), np.int64)
+        out[order] = np.repeat(2 * starts + times - len(s), times)
+        return out
+
+    def coefficients(key: tuple, rows: pa.Table) -> pa.Table:
+        there = {c: rows[c].is_valid().to_numpy() for c in rows.column_names}
+        value = lambda c: rows[c].fill_null(0.0).to_numpy()
+        # Products in pieces that 64 bits hold; their sums are Python's whole numbers.
+        total = lambda a, b: sum(int(a[k : k + 16384] @ b[k : k + 16384]) for k in range(0, len(a), 16384))
+        made = []
+        for i, name in enumerate(parts[key[1].as_py()]):
+            x = value(f"x{i}")
+            for h in rets:
+                ok = there[f"x{i}"] & there[f"r{h}"]
+                n = int(ok.sum())
+                if n >= max(least, 1):
+                    a, b = twice(x[ok]), twice(value(f"r{h}")[ok])
+                    xx, yy, xy = n * total(a, a), n * total(b, b), n * total(a, b)
+                    made.append((name, h, key[0].as_py(), n, float(xy) / float(np.sqrt(float(xx) * float(yy))) if xx and yy else None))
+        return pa.Table.from_pylist([dict(zip(arrow.names, x, strict=True)) for x in made], arrow)
+
+    schema = StructType().add("factor", "string").add("horizon", "integer").add(wide.schema["date"]).add("n", "long").add("ic", "double")
+    arrow = to_arrow_schema(schema)
+    return split.groupBy("date", "part").applyInArrow(coefficients, schema)
+
+
 def ic_summary(ics: DataFrame, groups: list[str]) -> DataFrame:
     """Mean, deviation (population), ratio, t, shares, and bias-corrected skewness and excess kurtosis."""
     x, n = F.col("ic"), F.col("n_days")
@@ -133,7 +185,13 @@ def factor_correlation(long: DataFrame, centred: bool = False, names: list[str]
     """
     there = long.where(F.col("value").isNotNull())
     names = sorted(names or [r.factor for r in there.select("factor").distinct().collect()])
-    wide = there.groupBy("entity", "date").pivot("factor", names).agg(F.first("value")).select(*(F.col(f"`{n}`").cast("double").alias(f"c{k}") for k, n in enumerate(names)))
+    return wide_correlation(there.groupBy("entity", "date").pivot("factor", names).agg(F.first("value")), names, centred)
+
+
+def wide_correlation(cells: DataFrame, names: list[str], centred: bool = False) -> DataFrame:
+    """`factor_correlation` of columns that stand beside each other, a row a cell: nothing is exchanged but sums."""
+    names = sorted(names)
+    wide = cells.select(*(F.col(f"`{n}`").cast("double").alias(f"c{k}") for k, n in enumerate(names)))
     columns = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -297,7 +355,15 @@ def evaluate_factor(factor: DataFrame, mask: DataFrame, prices: DataFrame, style
 def inventory(long: DataFrame, prices: DataFrame, horizons: tuple[int, ...] = (5, 10, 20), joint: bool = True) -> DataFrame:
     """Per factor and horizon: dates, first and last day, mean, deviation and ratio of its coefficients; one job for all factors."""
     on = long.join(forward_returns(prices, list(horizons)), ["entity", "date"])
-    ics = ic_series(on, "value", "ret", ["factor", "horizon", "date"], joint, 3)
+    return inventory_of(ic_series(on, "value", "ret", ["factor", "horizon", "date"], joint, 3))
+
+
+def wide_inventory(wide: DataFrame, factors: list[str], rets: dict[int, str]) -> DataFrame:
+    """`inventory` of factors and returns (their columns by horizon) that stand beside each other."""
+    return inventory_of(wide_ic_series(wide, factors, rets, 3))
+
+
+def inventory_of(ics: DataFrame) -> DataFrame:
     return ics.groupBy("factor", "horizon").agg(F.count("ic").alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.avg("ic").alias("ic_mean"), F.stddev_pop("ic").alias("ic_std")).withColumn("icir", div("ic_mean", "ic_std"))
 
 

@@ -168,8 +168,8 @@ def factor_names(windows: tuple[int, ...] = WINDOWS) -> list[str]:
     return [*CANDLES, *(f"{n}{w}" for n in FAMILIES for w in windows)]
 
 
-def all_factors(panel: DataFrame, windows: tuple[int, ...] = WINDOWS, only: list[str] | None = None, as_float: bool = False) -> DataFrame:
-    """entity, date and the factors asked for (all 158 by default); panel: entity, date, OHLC, volume, vwap.
+def all_factors(panel: DataFrame, windows: tuple[int, ...] = WINDOWS, only: list[str] | None = None, as_float: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """entity, date and the factors asked for (all 158 by default); panel: entity, date, OHLC, volume, vwap (open and vwap for candles only); `keep`: columns of it that go along.
 
     One exchange and one sort by entity; candles are columns, window factors one pass over the sorted series (`sliding`).
     """
@@ -181,9 +181,9 @@ def all_factors(panel: DataFrame, windows: tuple[int, ...] = WINDOWS, only: list
         raise ValueError(f"no factors {sorted(unknown)}")
     asked, plain = [n for n in names if n in of], [n for n in names if n in candles]
     bars = [F.col(c).cast("double").alias(c) for c in BARS]
-    rows = panel.select(ENTITY, "date", *bars, F.row_number().over(series()).cast("double").alias("_place"), *(candles[n].alias(f"_{n}") for n in plain))
-    schema = StructType([rows.schema[ENTITY], rows.schema["date"], *(StructField(n, DoubleType()) for n in [*asked, *plain])])
+    rows = panel.select(ENTITY, "date", *bars, F.row_number().over(series()).cast("double").alias("_place"), *(candles[n].alias(f"_{n}") for n in plain), *(F.col(c).alias(f"_{c}") for c in keep))
+    schema = StructType([rows.schema[ENTITY], rows.schema["date"], *(StructField(n, DoubleType()) for n in [*asked, *plain]), *(StructField(c, rows.schema[f"_{c}"].dataType) for c in keep)])
     # The window's order is the sort's: no second one.
     made = rows.sortWithinPartitions(ENTITY, "date").mapInArrow(Slide(2, [of[n] for n in asked], to_arrow_schema(schema)), schema)
     kind = "float" if as_float else "double"
-    return made.select(ENTITY, "date", *(F.col(n).cast(kind).alias(n) for n in names))
+    return made.select(ENTITY, "date", *(F.col(n).cast(kind).alias(n) for n in names), *keep)

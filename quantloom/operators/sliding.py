@@ -18,7 +18,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 
 EPS = 1e-12
-BARS = ("open", "high", "low", "close", "volume")
+BARS = ("high", "low", "close", "volume")
 BLOCK = 4096
 
 

@@ -9,6 +9,7 @@ from ..functions.expr import div, greater, less
 from ..operators import evaluation as ev
 from ..operators import attribution, events, learning, minute, steps
 from ..operators import panel as pan
+from ..operators.sliding import BARS
 from ..shipping import shared_dir, stored
 from ..sources import tables
 from . import spec
@@ -565,10 +566,11 @@ def attribution_report(spark: SparkSession, d: str) -> DataFrame:
 def clustered_factors(spark: SparkSession, d: str) -> DataFrame:
     """From the factors of one width to clusters to each cluster's strongest; no SQL (a dendrogram)."""
     names = [f"{n}5" for n in pan.FAMILIES]
-    p = panel(spark, d)
-    every = pan.all_factors(p.withColumn("vwap", F.col("close")), (5,), names).unpivot(["entity", "date"], names, "factor", "value").where("value is not null")
-    found = ev.clusters(ev.factor_correlation(every), names)
-    return ev.representatives(found, ev.inventory(every, p, (1,)))
+    # Two jobs read the bars; the factors, many times their size, are made in each and stay beside each other.
+    bars = stored(panel(spark, d).select("entity", "date", *BARS), "bars").withColumn("ret", ev.ahead(1))
+    every = pan.all_factors(bars, (5,), names, keep=("ret",))
+    found = ev.clusters(ev.wide_correlation(every, names), names)
+    return ev.representatives(found, ev.wide_inventory(every, names, {1: "ret"}))
 
 
 @query("SELECT entity, date, volume * open AS money FROM panel WHERE close > 0 AND volume > 0 OR open > 1000", doubles="money", ctes=PANEL_SQL)
